@@ -66,51 +66,29 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def _ordinal_bounded(df: DataFrame, order: list[Column], name: str, start: int) -> DataFrame:
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long") + F.lit(start - 1))
-
+def with_ordinal(df: DataFrame, order: list[str | Column], name: str = "ordinal", start: int = 1) -> DataFrame:
+    """Number rows ``start, start+1, …`` in the given total order.
 
-def _ordinal_ranged(df: DataFrame, order: list[Column], name: str, start: int) -> DataFrame:
-    ranged = cut_lineage(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_slot", F.monotonically_increasing_id()),
-        "ordinal",
-    )
-    slot = F.shiftright("_slot", _POSITION_BITS)
-    ranged = ranged.withColumn("_part", slot).withColumn(
+    Rows are range-partitioned, sorted per partition and shifted by the row
+    counts of the partitions before, so no task sees more than its own range.
+    The sorted rows are written to the shared folder first: the numbers depend
+    on where each partition ends, which must not change between the two reads.
+    ``order`` must be unique for the numbering to be deterministic.
+    """
+    columns = [F.col(c) if isinstance(c, str) else c for c in order]
+    sorted_rows = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    placed = cut_lineage(sorted_rows.withColumn("_slot", F.monotonically_increasing_id()), "ordinal")
+    # The id holds the partition number above the row's position in it.
+    placed = placed.withColumn("_part", F.shiftright("_slot", _POSITION_BITS)).withColumn(
         "_pos", F.col("_slot").bitwiseAND((1 << _POSITION_BITS) - 1)
     )
     # One row per partition of the sort: bounded by the partition count.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("_part")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
+    offsets = placed.groupBy("_part").agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     return (
-        ranged.join(F.broadcast(offsets), "_part")
+        placed.join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_offset") + F.col("_pos") + F.lit(start))
         .drop("_part", "_pos", "_slot", "_offset")
     )
-
-
-def with_ordinal(
-    df: DataFrame,
-    order: list[str | Column],
-    name: str = "ordinal",
-    start: int = 1,
-    single_task_rows: int = SMALL_ROWS,
-) -> DataFrame:
-    """Number rows ``start, start+1, …`` in the given total order.
-
-    Small inputs are numbered in one task. Larger ones are range-partitioned,
-    sorted per partition and shifted by the row counts of the partitions
-    before, so no task ever sees more than its own range. ``order`` must be
-    unique for the numbering to be deterministic.
-    """
-    columns = [F.col(c) if isinstance(c, str) else c for c in order]
-    if fits(df, single_task_rows):
-        return _ordinal_bounded(df, columns, name, start)
-    return _ordinal_ranged(df, columns, name, start)

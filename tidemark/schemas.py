@@ -5,14 +5,45 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def struct_of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "binary": T.BinaryType(),
+    "price": T.DecimalType(10, 4),
+    "rate": T.DecimalType(18, 6),
+}
+
+
+def struct_of(fields: str | dict[str, str | T.DataType]) -> T.StructType:
+    """Struct of ``"name type, name type"`` or of a mapping; made without a session."""
+    if isinstance(fields, str):
+        fields = dict(part.split() for part in fields.split(","))
+    return T.StructType(
+        [T.StructField(name, _TYPES[kind] if isinstance(kind, str) else kind) for name, kind in fields.items()]
+    )
+
 
+def texts(*names: str) -> T.StructType:
+    return struct_of(dict.fromkeys(names, "string"))
+
+
+_TEXT_LIST = T.ArrayType(T.StringType())
 
 # --- event envelope and its two payload kinds -------------------------------
 
 ENVELOPE = struct_of(
-    "object_id string, object_type string, sent_dttm timestamp, payload map<string,string>"
+    {
+        "object_id": "string",
+        "object_type": "string",
+        "sent_dttm": "timestamp",
+        "payload": T.MapType(T.StringType(), T.StringType()),
+    }
 )
 MESSAGE_COLUMNS = ["object_id", "object_type", "sent_dttm", "payload"]
 
@@ -22,18 +53,14 @@ TRANSACTION = struct_of(
     " amount bigint, transaction_dt timestamp"
 )
 CURRENCY = struct_of(
-    "date_update timestamp, currency_code string, currency_code_with string,"
-    " currency_with_div decimal(18,6)"
+    "date_update timestamp, currency_code string, currency_code_with string, currency_with_div rate"
 )
 PAYLOADS = {"TRANSACTION": TRANSACTION, "CURRENCY": CURRENCY}
 
 # --- price bars --------------------------------------------------------------
 
-PRICE_TEXT = struct_of("time string, open string, high string, low string, close string, volume string")
-PRICE = struct_of(
-    "time timestamp, open decimal(10,4), high decimal(10,4), low decimal(10,4),"
-    " close decimal(10,4), volume bigint"
-)
+PRICE_TEXT = texts("time", "open", "high", "low", "close", "volume")
+PRICE = struct_of("time timestamp, open price, high price, low price, close price, volume bigint")
 # Field names of the JSON price form.
 PRICE_JSON_FIELDS = {
     "open": "1. open",
@@ -47,36 +74,50 @@ PRICE_JSON_FIELDS = {
 # One superset of all object kinds and versions; every leaf is text and is cast
 # later, because versions disagree on types.
 
-_TYPE_NAME = "struct<`@Type`:string,`@Name`:string>"
-_TYPE_VALUE = "struct<`@Type`:string,`@Value`:string,`@Name`:string>"
-_LOCATION = (
-    "struct<FIAS:string,OKATO:string,KLADR:string,Note:string,Other:string,`@Other`:string,"
-    + ",".join(
-        f"{part}:{_TYPE_NAME}"
-        for part in ("District", "City", "UrbanDistrict", "SovietVillage", "Locality", "Street")
+_YEARS = texts("@YearBuilt", "@YearUsed")
+_NUMBERS = struct_of({"CadastralNumber": _TEXT_LIST})
+_LOCATION = struct_of(
+    dict.fromkeys(("FIAS", "OKATO", "KLADR", "Note", "Other", "@Other"), "string")
+    | dict.fromkeys(
+        ("District", "City", "UrbanDistrict", "SovietVillage", "Locality", "Street"), texts("@Type", "@Name")
     )
-    + ","
-    + ",".join(f"{part}:{_TYPE_VALUE}" for part in ("Level1", "Level2", "Level3", "Apartment"))
-    + ">"
+    | dict.fromkeys(("Level1", "Level2", "Level3", "Apartment"), texts("@Type", "@Value", "@Name"))
 )
-_YEARS = "struct<`@YearBuilt`:string,`@YearUsed`:string>"
-_NUMBERS = "struct<CadastralNumber:array<string>>"
 
 REGISTRY_OBJECT = struct_of(
-    "`@CadastralNumber` string, `@DateCreated` string, `@FoundationDate` string,"
-    " CadastralBlock string, Category string, ObjectType string, Name string, DegreeReadiness string,"
-    f" Location {_LOCATION},"
-    f" ParentOKS struct<CadastralNumberOKS:string,ObjectType:string,AssignationBuilding:string,ExploitationChar:{_YEARS}>,"
-    f" ParentCadastralNumbers {_NUMBERS}, InnerCadastralNumbers {_NUMBERS},"
-    " Utilization struct<`@Utilization`:string,`@LandUse`:string,`@ByDoc`:string,`@PermittedUseText`:string>,"
-    " ObjectPermittedUses struct<ObjectPermittedUse:array<string>>,"
-    " PositionInObject struct<`@Number`:string>,"
-    " AssignationBuilding string, AssignationName string, Assignation struct<AssignationCode:string>,"
-    " Area struct<Area:string,_VALUE:string>,"
-    " Material array<struct<`@Wall`:string>>,"
-    " KeyParameters array<struct<KeyParameter:array<struct<`@Type`:string,`@Value`:string>>>>,"
-    f" Floors struct<`@Floors`:string>, ExploitationChar {_YEARS},"
-    " CadastralCost struct<`@Value`:string>"
+    {
+        "@CadastralNumber": "string",
+        "@DateCreated": "string",
+        "@FoundationDate": "string",
+        "CadastralBlock": "string",
+        "Category": "string",
+        "ObjectType": "string",
+        "Name": "string",
+        "DegreeReadiness": "string",
+        "Location": _LOCATION,
+        "ParentOKS": struct_of(
+            {
+                "CadastralNumberOKS": "string",
+                "ObjectType": "string",
+                "AssignationBuilding": "string",
+                "ExploitationChar": _YEARS,
+            }
+        ),
+        "ParentCadastralNumbers": _NUMBERS,
+        "InnerCadastralNumbers": _NUMBERS,
+        "Utilization": texts("@Utilization", "@LandUse", "@ByDoc", "@PermittedUseText"),
+        "ObjectPermittedUses": struct_of({"ObjectPermittedUse": _TEXT_LIST}),
+        "PositionInObject": texts("@Number"),
+        "AssignationBuilding": "string",
+        "AssignationName": "string",
+        "Assignation": texts("AssignationCode"),
+        "Area": texts("Area", "_VALUE"),
+        "Material": T.ArrayType(texts("@Wall")),
+        "KeyParameters": T.ArrayType(struct_of({"KeyParameter": T.ArrayType(texts("@Type", "@Value"))})),
+        "Floors": texts("@Floors"),
+        "ExploitationChar": _YEARS,
+        "CadastralCost": texts("@Value"),
+    }
 )
 
 # Containers of a registry document and the element inside each.
@@ -92,7 +133,7 @@ REGISTRY_KINDS = {
 
 REGISTRY_DOCUMENT = T.StructType(
     [
-        T.StructField("ListInfo", struct_of("`@DateForm` string")),
+        T.StructField("ListInfo", texts("@DateForm")),
         T.StructField(
             "Objects",
             T.StructType(
@@ -140,7 +181,7 @@ RESPONSE = struct_of(
 REJECTED = struct_of(
     "table_name string, description string, src string, file_name string, row string, date timestamp"
 )
-SHEET_ROWS = struct_of("file string, sheet string, row_no int, cells array<string>")
+SHEET_ROWS = struct_of({"file": "string", "sheet": "string", "row_no": "int", "cells": _TEXT_LIST})
 
 # --- listings -------------------------------------------------------------------
 

@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.temporal import iso_date_in
 from tidemark.functions.text import file_name
+from tidemark.schemas import texts
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -99,6 +99,6 @@ def request_header(listing: DataFrame, run_date: Column, type_id: int = 0, folde
 
 def load_classifier(spark: SparkSession, path: str, fmt: str = "csv", **options: str) -> DataFrame:
     """Code/value pairs, codes trimmed and unique."""
-    schema = T.StructType.fromDDL("code string, value string")
+    schema = texts("code", "value")
     rows = spark.read.format(fmt).schema(schema).options(**{"header": "true", **options}).load(path)
     return rows.groupBy(F.trim("code").alias("code")).agg(F.min("value").alias("value"))

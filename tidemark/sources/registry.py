@@ -9,14 +9,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import file_name, strip_bom, strip_control
-from tidemark.schemas import REGISTRY_DOCUMENT, REGISTRY_KINDS, REGISTRY_OBJECT
+from tidemark.schemas import REGISTRY_DOCUMENT, REGISTRY_KINDS, REGISTRY_OBJECT, struct_of, texts
 
 XML_OPTIONS = {"attributePrefix": "@", "valueTag": "_VALUE", "mode": "PERMISSIVE"}
 
 # Result documents: only the parts that are read further on.
-_PARCEL = (
-    "struct<`@CadastralNumber`:string,Ground_Payments:array<struct<"
-    "CadastralCost:struct<`@Value`:string>,Specific_CadastralCost:struct<`@Value`:string>>>>"
+COST_PARCEL = struct_of(
+    {
+        "@CadastralNumber": "string",
+        "Ground_Payments": T.ArrayType(
+            struct_of({"CadastralCost": texts("@Value"), "Specific_CadastralCost": texts("@Value")})
+        ),
+    }
+)
+GROUP = texts("ID_Group", "Name_Group")
+MEMBER = texts("@ID_Group", "CadastralNumber")
+
+# Containers above the cadastral blocks of a cost document, and
+# the lists of a group document.
+COST_PATH = ["Package", "Federal", "Cadastral_Regions", "Cadastral_Region", "Cadastral_Districts",
+             "Cadastral_District", "Cadastral_Blocks"]
+GROUP_LISTS = struct_of(
+    {
+        "Groups_Real_Estate": T.ArrayType(struct_of({"Group_Real_Estate": T.ArrayType(GROUP)})),
+        "Real_Estates": T.ArrayType(struct_of({"Real_Estate": T.ArrayType(MEMBER)})),
+    }
 )
 
 
@@ -94,17 +111,6 @@ def read_result_xml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
     return files.filter(F.col("kind").isNotNull()), files.filter(F.col("kind").isNull()).drop("kind")
 
 
-# Containers above the cadastral blocks of a cost document, and
-# the lists of a group document.
-COST_PATH = ["Package", "Federal", "Cadastral_Regions", "Cadastral_Region", "Cadastral_Districts",
-             "Cadastral_District", "Cadastral_Blocks"]
-GROUP_LISTS = T.StructType.fromDDL(
-    "Groups_Real_Estate array<struct<Group_Real_Estate:array<struct<ID_Group:string,Name_Group:string>>>>,"
-    "Real_Estates array<struct<Real_Estate:array<struct<`@ID_Group`:string,CadastralNumber:string>>>>"
-)
-COST_PARCEL = T.StructType.fromDDL(f"p {_PARCEL}")["p"].dataType
-
-
 def _rows_of(spark: SparkSession, path: str, glob: str, tag: str, schema: T.StructType) -> DataFrame:
     """One row per element of a tag, at any depth of any matching file."""
     rows = (
@@ -136,20 +142,19 @@ def read_cost_xml(spark: SparkSession, path: str) -> DataFrame:
 def read_group_xml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Groups and members of the group files, each with its file's path."""
     groups = _rows_of(
-        spark, path, "FD*.xml", "Group_Real_Estate", T.StructType.fromDDL("ID_Group string, Name_Group string")
+        spark, path, "FD*.xml", "Group_Real_Estate", GROUP
     ).select("path", F.col("e.ID_Group").alias("id_group"), F.col("e.Name_Group").alias("name_group"))
     members = _rows_of(
-        spark, path, "FD*.xml", "Real_Estate", T.StructType.fromDDL("`@ID_Group` string, CadastralNumber string")
+        spark, path, "FD*.xml", "Real_Estate", MEMBER
     ).select("path", F.col("e.CadastralNumber").alias("cad_num"), F.col("e.`@ID_Group`").alias("id_group"))
     return groups, members
 
 
 def _nested(path: list[str]) -> T.StructType:
-    block = f"struct<Parcels:struct<Parcel:array<{_PARCEL}>>>"
-    name, inside = "Cadastral_Block", block
+    name, inside = "Cadastral_Block", struct_of({"Parcels": struct_of({"Parcel": T.ArrayType(COST_PARCEL)})})
     for box in reversed(path):
-        name, inside = box, f"struct<{name}:array<{inside}>>"
-    return T.StructType.fromDDL(f"{name} array<{inside}>")
+        name, inside = box, struct_of({name: T.ArrayType(inside)})
+    return struct_of({name: T.ArrayType(inside)})
 
 
 def cost_records(files: DataFrame, path: list[str] = COST_PATH, text: str = "text") -> DataFrame:

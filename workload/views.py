@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.scale import micros, packed_order, with_ordinal
+from tidemark.scale import micros, packed_order
 
 BAR_SECONDS = 300
 
@@ -88,7 +88,8 @@ def prices(spark: SparkSession, sf: str) -> DataFrame:
 def ledger(spark: SparkSession, sf: str) -> DataFrame:
     """One load per symbol and day: uploaded, refused or open."""
     days = table(spark, sf, "events").select(F.col("event_type").alias("symbol_name"), F.to_date("ts").alias("date"))
-    loads = with_ordinal(days.distinct(), ["symbol_name", "date"], "upload_id")
+    first = F.datediff("date", F.lit("2024-01-01").cast("date")).cast("bigint")
+    loads = days.distinct().withColumn("upload_id", first * 1000 + F.ascii("symbol_name"))
     turn = F.dayofmonth("date") % 3
     return loads.select(
         "upload_id",
@@ -139,7 +140,7 @@ SQL = {
                arg_max(cast(value AS decimal(10, 4)), {'t': ts, 'i': event_id}) AS close, count(*) AS volume
         FROM events GROUP BY 1, 2""",
     "ledger": """
-        SELECT row_number() OVER (ORDER BY symbol_name, date) AS upload_id, date, symbol_name,
+        SELECT datediff('day', DATE '2024-01-01', date) * 1000 + ascii(symbol_name) AS upload_id, date, symbol_name,
                CASE WHEN day(date) % 2 = 0 THEN '5min' ELSE '15min' END AS interval_name,
                CASE day(date) % 3 WHEN 0 THEN true WHEN 1 THEN false END AS uploaded
         FROM (SELECT DISTINCT event_type AS symbol_name, ts::date AS date FROM events)""",
