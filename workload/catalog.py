@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import prices
+from workload import prices, transactions
 
-MODULES = [prices]
+MODULES = [prices, transactions]
 
 
 def all_queries() -> dict:

@@ -156,3 +156,60 @@ def sql(names: str, body: str, **more: str) -> str:
     parts = {name: SQL[name] for name in names.split()} | more
     ctes = ",\n".join(f"{name} AS ({text})" for name, text in parts.items())
     return f"WITH {ctes}\n{body}" if parts else body
+
+
+def messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Transactions and rates as stored messages; some payloads are misshapen."""
+    log = tx_log(spark, sf)
+    fields = [
+        F.struct(F.lit(name).alias("key"), F.col(name).cast("string").alias("value"))
+        for name in log.columns
+        if name not in ("amount", "transaction_type")
+    ]
+    amount = F.when(F.col("amount") < 0, "n/a").otherwise(F.col("amount").cast("string"))
+    fields.append(F.struct(F.lit("amount").alias("key"), amount.alias("value")))
+    # One type of operation lacks a key, another has one too many.
+    typed = F.struct(F.lit("transaction_type").alias("key"), F.col("transaction_type").alias("value"))
+    extra = F.struct(F.lit("comment").alias("key"), F.lit("x").alias("value"))
+    optional = (
+        F.when(F.col("transaction_type") == "5-LOW", F.array().cast("array<struct<key:string,value:string>>"))
+        .when(F.col("transaction_type") == "1-URGENT", F.array(typed, extra))
+        .otherwise(F.array(typed))
+    )
+    operations = log.select(
+        F.concat_ws("/", "operation_id", "status").alias("object_id"),
+        F.lit("TRANSACTION").alias("object_type"),
+        F.col("transaction_dt").alias("sent_dttm"),
+        F.map_from_entries(F.concat(F.array(*fields), optional)).alias("payload"),
+    )
+    quotes = rates(spark, sf).select(
+        F.concat_ws("/", "currency_code", "currency_code_with", F.date_format("date_update", "yyyy-MM-dd")).alias(
+            "object_id"
+        ),
+        F.lit("CURRENCY").alias("object_type"),
+        F.col("date_update").alias("sent_dttm"),
+        F.create_map(
+            *[
+                x
+                for name in ("date_update", "currency_code", "currency_code_with", "currency_with_div")
+                for x in (F.lit(name), F.col(name).cast("string"))
+            ]
+        ).alias("payload"),
+    )
+    return operations.unionByName(quotes)
+
+
+def envelopes(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as raw message bytes; those of errors are cut off, as on a broken link."""
+    events = table(spark, sf, "events")
+    payload = F.from_json("props", "map<string,string>")
+    text = F.to_json(
+        F.struct(
+            F.col("event_id").cast("string").alias("object_id"),
+            F.col("event_type").alias("object_type"),
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("sent_dttm"),
+            payload.alias("payload"),
+        )
+    )
+    cut = F.when(F.col("event_type") == "error", F.substring(text, 1, 30)).otherwise(text)
+    return events.select(cut.cast("binary").alias("value"))
