@@ -57,13 +57,12 @@ def registry_objects(docs: DataFrame, document: str = "document") -> DataFrame:
     """One row per object of any kind: the other columns, ``kind`` and ``object``."""
     rest = [c for c in docs.columns if c != document]
     none = F.array().cast(T.ArrayType(REGISTRY_OBJECT))
-    lists = [
-        F.transform(
-            F.coalesce(F.col(f"{document}.Objects.{box}.{item}"), none),
-            lambda o, item=item: F.struct(F.lit(item).alias("kind"), o.alias("object")),
-        )
-        for box, item in REGISTRY_KINDS.items()
-    ]
+
+    def objects_of(box: str, item: str) -> Column:
+        found = F.coalesce(F.col(f"{document}.Objects.{box}.{item}"), none)
+        return F.transform(found, lambda o: F.struct(F.lit(item).alias("kind"), o.alias("object")))
+
+    lists = [objects_of(box, item) for box, item in REGISTRY_KINDS.items()]
     return docs.select(*rest, F.explode(F.concat(*lists)).alias("_o")).select(*rest, "_o.kind", "_o.object")
 
 

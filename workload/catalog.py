@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import prices, transactions
+from workload import ads, prices, registry, transactions
 
-MODULES = [prices, transactions]
+MODULES = [prices, transactions, registry, ads]
 
 
 def all_queries() -> dict:

@@ -213,3 +213,228 @@ def envelopes(spark: SparkSession, sf: str) -> DataFrame:
     )
     cut = F.when(F.col("event_type") == "error", F.substring(text, 1, 30)).otherwise(text)
     return events.select(cut.cast("binary").alias("value"))
+
+
+def _cells(*columns) -> F.Column:
+    return F.array(*[c if isinstance(c, F.Column) else F.lit(c).cast("string") for c in columns])
+
+
+def code_sheets(spark: SparkSession, sf: str) -> DataFrame:
+    """Cell rows of workbooks of codes: one per nation, a sheet per half of its suppliers.
+
+    Every fifth workbook starts with its header, the others with two rows of preamble.
+    """
+    suppliers = table(spark, sf, "supplier").select(
+        F.concat(F.lit("codes_"), F.col("s_nationkey").cast("string"), F.lit(".xlsx")).alias("file"),
+        F.when(F.col("s_suppkey") % 2 == 0, "ОКС").otherwise("ЗУ").alias("sheet"),
+        "s_nationkey",
+        "s_suppkey",
+        "s_acctbal",
+        "s_name",
+    )
+    number = F.when(F.col("s_acctbal") >= 0, F.concat(F.lit("05:"), F.col("s_suppkey").cast("string")))
+    data = suppliers.select(
+        "file", "sheet", (F.col("s_suppkey") + 10).cast("int").alias("row_no"),
+        _cells(F.col("s_suppkey").cast("string"), number, F.col("s_nationkey").cast("string"), F.col("s_name"), "again").alias("cells"),
+    )
+    sheets = suppliers.select("file", "sheet", "s_nationkey").distinct()
+    key = F.when(F.col("sheet") == "ОКС", "Кадастровый № ОКС").otherwise("Кад №")
+    header = sheets.select("file", "sheet", F.lit(2).alias("row_no"), _cells("№", key, "код", None, "Код").alias("cells"))
+    preamble = sheets.filter(F.col("s_nationkey") % 5 != 0).select(
+        "file", "sheet", F.explode(F.array(F.lit(0), F.lit(1))).alias("row_no"), _cells("List", None, None, None, None).alias("cells")
+    )
+    return data.unionByName(header).unionByName(preamble)
+
+
+def act_sheets(spark: SparkSession, sf: str) -> DataFrame:
+    """Cell rows of acts: accepted customers on sheet II, refused ones on sheet III."""
+    people = table(spark, sf, "customer").select(
+        F.concat(F.lit("act_"), F.col("c_nationkey").cast("string"), F.lit(".ods")).alias("file"),
+        F.when(F.col("c_acctbal") >= 0, "II").otherwise("III").alias("sheet"),
+        "c_custkey", "c_nationkey", "c_mktsegment",
+    )
+    first = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_custkey").cast("string"))
+    data = people.select(
+        "file", "sheet", (F.col("c_custkey") + 10).cast("int").alias("row_no"), _cells(first, F.col("c_mktsegment")).alias("cells")
+    )
+    sheets = people.select("file", "sheet", "c_nationkey").distinct()
+    header = sheets.select("file", "sheet", F.lit(2).alias("row_no"), _cells("№", "segment").alias("cells"))
+    preamble = sheets.filter(F.col("c_nationkey") % 5 != 0).select(
+        "file", "sheet", F.lit(0).alias("row_no"), _cells("Act", None).alias("cells")
+    )
+    return data.unionByName(header).unionByName(preamble)
+
+
+def _part_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Largest quantity of each line number of a part, one column per number."""
+    lines = table(spark, sf, "lineitem")
+    return lines.groupBy("l_partkey").agg(
+        *[
+            F.max(F.when(F.col("l_linenumber") == n, F.col("l_quantity").cast("int"))).alias(f"k{n}")
+            for n in range(1, 8)
+        ]
+    )
+
+
+def _attr(name: str, column) -> F.Column:
+    return F.concat(F.lit(f' {name}="'), column.cast("string"), F.lit('"'))
+
+
+def _tag(name: str, content, *attrs) -> F.Column:
+    """An element, or nothing where its content or an attribute is NULL."""
+    text = F.concat(F.lit(f"<{name}"), *attrs, F.lit(">"), content, F.lit(f"</{name}>"))
+    return F.coalesce(text, F.lit(""))
+
+
+def registry_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """One registry document per part: a construction and a plot."""
+    parts = table(spark, sf, "part")
+    rows = parts.join(_part_lines(spark, sf), F.col("p_partkey") == F.col("l_partkey"), "left")
+    key, size = F.col("p_partkey"), F.col("p_size")
+    text = lambda c: F.col(c).cast("string")
+    parameters = F.concat(
+        *[_tag("KeyParameter", F.lit(""), _attr("Type", F.lit(f"0{n}")), _attr("Value", F.col(f"k{n}"))) for n in range(1, 8)]
+    )
+    location = _tag(
+        "Location",
+        F.concat(
+            _tag("FIAS", F.concat(F.lit("f-"), key.cast("string"))),
+            _tag("Note", F.concat(F.lit("near\t"), F.col("p_name"))),
+            _tag("District", F.lit(""), _attr("Type", F.lit("р-н")), _attr("Name", F.col("p_brand"))),
+            _tag("Street", F.lit(""), _attr("Type", F.lit("ул")), _attr("Name", F.col("p_type"))),
+            _tag("Level1", F.lit(""), _attr("Type", F.lit("д")), _attr("Value", size)),
+            _tag("Level2", F.lit(""), _attr("Type", F.lit("корп")), _attr("Value", F.when(size > 25, size))),
+        ),
+    )
+    construction = _tag(
+        "Construction",
+        F.concat(
+            _tag("CadastralBlock", F.concat(F.lit("05:"), size.cast("string"))),
+            _tag("ObjectType", size.cast("string")),
+            _tag("Name", F.col("p_name")),
+            location,
+            _tag("AssignationName", F.concat(F.lit(" "), size.cast("string"), F.lit(" "))),
+            _tag("Area", text("p_retailprice")),
+            _tag("Material", F.lit(""), _attr("Wall", size)),
+            _tag("Material", F.lit(""), _attr("Wall", F.when(size % 2 == 0, key % 30))),
+            _tag("KeyParameters", F.nullif(parameters, F.lit(""))),
+            _tag("ExploitationChar", F.lit(""), _attr("YearBuilt", 1950 + size), _attr("YearUsed", 1951 + size)),
+        ),
+        _attr("CadastralNumber", F.concat_ws(":", F.lit("05"), key.cast("string"), F.lit("1"))),
+        _attr("DateCreated", F.when(size == 13, "2020-02-31").otherwise("2020-02-03")),
+    )
+    plot = _tag(
+        "Parcel",
+        F.concat(
+            _tag("Category", size.cast("string")),
+            _tag("Area", _tag("Area", size.cast("string"))),
+            _tag("Utilization", F.lit(""), _attr("Utilization", key % 30), _attr("ByDoc", F.col("p_type"))),
+            _tag("ObjectPermittedUses", F.concat(_tag("ObjectPermittedUse", F.col("p_type")), _tag("ObjectPermittedUse", F.col("p_brand")))),
+            _tag("InnerCadastralNumbers", _tag("CadastralNumber", F.concat_ws(":", F.lit("05"), key.cast("string"), F.lit("1")))),
+            _tag("CadastralCost", F.lit(""), _attr("Value", F.col("p_retailprice"))),
+        ),
+        _attr("CadastralNumber", F.concat_ws(":", F.lit("05"), key.cast("string"), F.lit("2"))),
+    )
+    body = F.concat(_tag("Constructions", construction), F.lit("\r\n"), _tag("Parcels", plot), F.lit("<Flats/>"))
+    document = F.concat(
+        F.lit('﻿<?xml version="1.0" encoding="UTF-8"?>\n<ListForRating><ListInfo DateForm="2023-05-06" Quantity="2"/>'),
+        _tag("Objects", body),
+        F.lit("</ListForRating>"),
+    )
+    return rows.select(key.alias("request_file_id"), document.alias("text"))
+
+
+def registry_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Sheet rows of suppliers as header -> cell, with changing header names."""
+    key, nation = F.col("s_suppkey"), F.col("s_nationkey")
+    number = F.concat_ws(":", F.lit("07"), key.cast("string"))
+    pairs = [
+        ("КАД №", F.when(key % 2 == 0, number)),
+        ("КАДАСТРОВЫЙ № ОКС", number),
+        ("АДРЕС 1", F.col("s_name")),
+        ("КОД КАТЕГОРИИ", (key % 30).cast("string")),
+        ("НАЗНАЧЕНИЕ ТЕКСТ", nation.cast("string")),
+        ("ВИД ОБЪЕКТА", F.lit("building")),
+        ("ПЛОЩАДЬ ОКС", key.cast("string")),
+        ("МАТЕРИАЛ СТЕН", F.when(key % 3 == 0, F.concat(F.lit(" "), nation.cast("string")))),
+        ("КОД МАТЕРИАЛА СТЕН ОКС", (key % 30).cast("string")),
+        ("ОБЪЕМ ОКС", F.when(key % 2 == 0, "7")),
+        ("ОБЪЕМ", F.lit("8")),
+    ]
+    record = F.create_map(*[x for name, value in pairs for x in (F.lit(name), value)])
+    return table(spark, sf, "supplier").select(
+        (-1 - key).alias("request_file_id"), F.lit('{"@DateForm":"2023-07-08"}').alias("options"), record.alias("record")
+    )
+
+
+def document_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines of every document."""
+    docs = table(spark, sf, "documents")
+    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+
+
+SQL |= {
+    "code_sheets": """
+        SELECT *, 'codes_' || s_nationkey || '.xlsx' AS file, CASE WHEN s_suppkey % 2 = 0 THEN 'ОКС' ELSE 'ЗУ' END AS sheet,
+               cast(s_suppkey + 10 AS integer) AS row_no, CASE WHEN s_acctbal >= 0 THEN '05:' || s_suppkey END AS cad_num
+        FROM supplier""",
+    "part_lines": """
+        SELECT p.*, k.* EXCLUDE (l_partkey) FROM part p LEFT JOIN (
+            SELECT l_partkey, """ + ", ".join(
+        f"max(cast(l_quantity AS integer)) FILTER (l_linenumber = {n}) AS k{n}" for n in range(1, 8)
+    ) + """ FROM lineitem GROUP BY 1) k ON l_partkey = p_partkey""",
+    "document_lines": """
+        SELECT doc_id, cast(line_no - 1 AS integer) AS line_no, lines[line_no] AS line FROM (
+            SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS line_no
+            FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))""",
+}
+
+
+NOW = "2024-03-10 12:00:00"
+# Kinds of listings in turn.
+AD_KINDS = ["flat", "house", "zu", "garage", "commercial"]
+
+
+def ad_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """A listing page per part, of changing kind and completeness."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    number = key.cast("string")
+    kind = F.element_at(F.array(*[F.lit(k) for k in AD_KINDS]), (size % 5 + 1).cast("int"))
+    date = (
+        F.when(size % 4 == 0, "сегодня в 09:05")
+        .when(size % 4 == 1, F.concat(F.lit("№ "), number, F.lit(" · вчера в 18:30")))
+        .when(size % 4 == 2, "5 мая в 10:15")
+        .when(size > 40, "давно")
+        .otherwise("2 февраля в 07:00")
+    )
+    area = F.concat((size + 10).cast("string"), F.lit(",5 м²"))
+    item = lambda label, value: F.concat(F.lit(f"<li><span>{label}</span>: "), value, F.lit("</li>"))
+    params = (
+        F.when(size % 5 == 0, F.concat(
+            item("Количество комнат", (size % 3 + 1).cast("string")), item("Общая площадь", area),
+            item("Этаж", F.concat((size % 20 + 1).cast("string"), F.lit(" из 25"))), item("Тип дома", F.lit("кирпичный")),
+        ))
+        .when(size % 5 == 1, F.concat(
+            item("Площадь дома", area), item("Площадь участка", F.lit("6 сот.")), item("Этажей в доме", F.lit("2")),
+            item("Материал стен", F.lit("брус")), item("Расстояние до города", F.lit("в черте города")),
+        ))
+        .when(size % 5 == 2, F.concat(item("Площадь", area), item("Расстояние до города", F.lit("7 км"))))
+        .otherwise(item("Площадь", area))
+    )
+    html = F.concat(
+        F.lit('<html><head><title>x</title><script>var a="<div>";</script></head><body><h1><span itemprop="name">'),
+        F.col("p_name"), F.lit(" &amp; co</span></h1>"),
+        F.when(size % 7 != 0, F.concat(F.lit('<div itemprop="address">\n  '), F.col("p_brand"), F.lit("\n</div>"))).otherwise(""),
+        F.lit('<div><span class="js price-value-string">'), size.cast("string"), F.lit(' 000 ₽</span><span itemprop="price" content="'),
+        F.col("p_retailprice").cast("string"), F.lit('"></span><span itemprop="priceCurrency" content="RUB"></span></div>'),
+        F.when(size % 6 != 0, F.lit('<div class="map" data-map-lat="42.98" data-map-lon="47.5"><br></div>')).otherwise(""),
+        F.when(size % 9 != 0, F.lit('<div itemprop="description"><p>One</p><p>two <b>three</b></p></div>')).otherwise(""),
+        F.lit('<div data-marker="item-view/item-params"><ul>'), params,
+        F.lit('</ul></div><div><span class="breadcrumbs-link">Все · Недвижимость · Продажа · </span></div>'),
+        F.lit('<span data-marker="item-view/item-date">'), date, F.lit("</span></body></html>"),
+    )
+    html = F.when(size == 33, F.concat(html, F.lit("Доступ ограничен"))).otherwise(html)
+    return table(spark, sf, "part").select(
+        F.concat(F.lit("https://ads.example/x/item_"), number).alias("url"), html.alias("html"), kind.alias("kind"),
+        F.col("p_type").alias("locality"), F.lit(7).alias("section_id"),
+    )
