@@ -74,10 +74,8 @@ def relative_ts(text: str | Column, now: Column) -> Column:
         return F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), time_text).try_cast("timestamp")
 
     parts = rf"{UNICODE}(\d+)\s+(\w+)\s+{clock}"
-    month = None
-    for word, number in MONTHS.items():
-        hit = F.regexp_extract(text, parts, 2) == word
-        month = F.when(hit, number) if month is None else month.when(hit, number)
+    months = F.create_map(*[x for word, number in MONTHS.items() for x in (F.lit(word), F.lit(number))])
+    month = F.try_element_at(months, F.regexp_extract(text, parts, 2))
     day_number = extract_or_null(text, parts, 1).try_cast("int")
 
     def on(year: Column) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +18,7 @@ from tidemark.functions.text import (
     url_tail_id,
 )
 from tidemark.operators.filters import MISSING_PAGE_PHRASES, blocked, exclude_category, has_phrase
+from tidemark.scale import cut_lineage
 from tidemark.schemas import AD_BASE, AD_EXTRAS
 from tidemark.sinks.write import insert_ignore
 from tidemark.sources.pages import Field, fields_of, list_links
@@ -116,7 +115,8 @@ def parse_ads(pages: DataFrame, run_ts: Column, known: DataFrame | None = None)
     """Pages (``url, html, kind, locality, section_id``) to ads, and the pages that gave none.
 
     The ads hold the base columns, those of every kind, and ``kind``; they are
-    unique on (ad, time) and new against ``known``.
+    unique on (ad, time) and new against ``known``. Pages are read once: what
+    was found on them is written to the shared folder before it is split.
     """
     fields = pages.select("url", "kind", "locality", "section_id", "html", fields_of("html", PAGE_FIELDS).alias("f"))
     texts = fields.select(
@@ -166,7 +166,7 @@ def parse_ads(pages: DataFrame, run_ts: Column, known: DataFrame | None = None)
         .when(F.col("price_value").isNull() | F.col("price_currency").isNull(), "no price")
         .when(F.col("square_value").isNull(), "no area")
     )
-    checked = ads.withColumn("reason", reason)
+    checked = cut_lineage(ads.withColumn("reason", reason), "ads")
     columns = list(dict.fromkeys(["kind", *AD_BASE.names, *[n for s in AD_EXTRAS.values() for n in s.names]]))
     good = checked.filter(F.col("reason").isNull()).select(*_limited(columns))
     bad = checked.filter(F.col("reason").isNotNull()).select("url", "kind", "reason")
@@ -190,7 +190,11 @@ def _limited(columns: list[str]) -> list[Column]:
     return result
 
 
+def ad_columns(kind: str) -> list[str]:
+    """Columns of a kind's own table."""
+    return [*AD_BASE.names, *AD_EXTRAS[kind].names]
+
+
 def ad_tables(ads: DataFrame) -> dict[str, DataFrame]:
     """Each kind's rows with the columns of its own table."""
-    tables: Mapping[str, list[str]] = {kind: [*AD_BASE.names, *extra.names] for kind, extra in AD_EXTRAS.items()}
-    return {kind: ads.filter(F.col("kind") == kind).select(*cols) for kind, cols in tables.items()}
+    return {kind: ads.filter(F.col("kind") == kind).select(*ad_columns(kind)) for kind in AD_EXTRAS}

@@ -24,6 +24,17 @@ def mark_uploaded(ledger: DataFrame, day: dt.date | str | Column, date: str = "d
     return ledger.withColumn("uploaded", F.when(F.to_date(date) == value, F.lit(True)).otherwise(F.col("uploaded")))
 
 
+def mark_loaded(ledger: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Mark the loads of the given ``(symbol_name, date)`` as done."""
+    keys = ["symbol_name", "date"]
+    flags = loaded.select(*keys).distinct().withColumn("_done", F.lit(True))
+    return (
+        ledger.join(flags, keys, "left")
+        .withColumn("uploaded", F.coalesce("_done", "uploaded"))
+        .select(*ledger.columns)
+    )
+
+
 def open_uploads(ledger: DataFrame, wanted: DataFrame) -> DataFrame:
     """Ledger rows to add for ``(symbol_name, interval_name, date)`` not yet in the ledger."""
     keys = ["symbol_name", "date"]

@@ -202,3 +202,39 @@ AD_QUEUE = struct_of(
     "id bigint, url string, ad_id bigint, status string, kind string, locality string,"
     " time_stamp timestamp, section_id int"
 )
+
+# --- vault, mart and star tables ---------------------------------------------------
+
+_AUDIT = ", load_dt timestamp, load_src string"
+VAULT = {
+    "h_transactions": struct_of(
+        "hk bigint, operation_id string, amount bigint, transaction_type string, transaction_dt timestamp" + _AUDIT
+    ),
+    "h_accounts": struct_of("hk bigint, account_number bigint" + _AUDIT),
+    "h_countries": struct_of("hk bigint, country_name string" + _AUDIT),
+    "h_currencies": struct_of("hk bigint, currency_code string" + _AUDIT),
+    "l_transaction_account": struct_of(
+        "hk bigint, hk_transaction bigint, hk_account_from bigint, hk_account_to bigint" + _AUDIT
+    ),
+    "l_transaction_country": struct_of("hk bigint, hk_transaction bigint, hk_country bigint" + _AUDIT),
+    "l_transaction_currency": struct_of("hk bigint, hk_transaction bigint, hk_currency bigint" + _AUDIT),
+    "s_transaction_status": struct_of("hk_transaction bigint, status string, status_dt timestamp" + _AUDIT),
+    "s_currency_div": struct_of(
+        "hk_currency bigint, hk_currency_with bigint, div rate, date_update timestamp" + _AUDIT
+    ),
+}
+LEDGER = struct_of("upload_id bigint, date date, symbol_name string, interval_name string, uploaded boolean")
+STAR = {
+    "d_interval": struct_of("interval_id bigint, interval_name string"),
+    "d_symbol_act": struct_of("symbol_id bigint, symbol_name string"),
+    "d_symbol_hist": struct_of(
+        "symbol_id bigint, symbol_name string, symbol_valid_from timestamp, symbol_valid_to timestamp"
+    ),
+    "d_time_serial": struct_of(
+        "time_serial_id bigint, time_serial_time timestamp, time_serial_interval_id bigint"
+    ),
+    "f_price": struct_of(
+        "price_open price, price_high price, price_low price, price_close price, price_volume bigint,"
+        " price_symbol_id bigint, price_time_id bigint"
+    ),
+}

@@ -13,7 +13,10 @@ from tidemark.schemas import texts
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """``(path, name, modified, length)`` of every file below a folder; contents are not read."""
+    """``(path, name, modified, length)`` of the files below a folder; contents are not read.
+
+    Empty files and hidden ones (such as markers starting with a dot) do not appear.
+    """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
     )
@@ -73,7 +76,7 @@ def new_files_only(listing: DataFrame, ledger: DataFrame, key: str = "path") ->
 
 
 def unmarked_folders(listing: DataFrame, folder: str = "folder", marker: str = ".success") -> DataFrame:
-    """Folders that hold no marker file yet."""
+    """Folders that hold no marker file yet, by a listing that shows markers."""
     marks = listing.groupBy(folder).agg(F.bool_or(F.col("name") == marker).alias("_marked"))
     return marks.filter(~F.coalesce("_marked", F.lit(False))).select(folder)
 

@@ -128,4 +128,5 @@ def fields_of(html: str | Column, fields: Mapping[str, Field]) -> Column:
         for batch in batches:
             yield pd.DataFrame([read_fields(page, fields) for page in batch], columns=list(fields))
 
-    return extract(F.col(html) if isinstance(html, str) else html)
+    # Marked as not repeatable, or a filter on a field would read every page once more.
+    return extract.asNondeterministic()(F.col(html) if isinstance(html, str) else html)

@@ -10,6 +10,8 @@ from tidemark.operators import joins
 from tidemark.operators.aggregates import row_counts
 from tidemark.operators.sets import union_tagged
 from tidemark.plans import ads, state
+from tidemark.scale import scratch_path
+from tidemark.sinks.write import write_by_kind
 from tidemark.sources import pages
 from workload import views
 from workload.base import Registry
@@ -221,7 +223,9 @@ def ad_rejects(spark, sf):
 def ads_by_kind(spark, sf):
     """The five tables that the ads are routed to."""
     good, _ = _ads(spark, sf)
-    tables = ads.ad_tables(good)
+    path = scratch_path(spark, "ads-by-kind")
+    write_by_kind(good, path)
+    tables = ads.ad_tables(spark.read.parquet(path))
     summary = {
         kind: rows.agg(F.count("*").alias("ads"), F.sum("square_value").alias("square"), F.lit(len(rows.columns)).alias("columns"))
         for kind, rows in tables.items()
