@@ -52,6 +52,17 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *cols: str | Column) -> DataFrame:
+    """Equal shares of rows for all tasks, ahead of work that is heavy per row.
+
+    Small rows may come in few partitions, by the layout of their files or
+    merged by size at run time; a fixed partition count is left as it is.
+    Apply it while rows are narrow, before large values are made of them.
+    """
+    count = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(count, *cols)
+
+
 def packed_order(major: Column, minor: Column) -> Column:
     """One sortable number for (``major``, ``minor``), both whole numbers.
 

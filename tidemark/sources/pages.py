@@ -56,28 +56,35 @@ class _Reader(HTMLParser):
 
     def __init__(self, fields: Mapping[str, Field]):
         super().__init__(convert_charrefs=True)
-        self.fields = fields
+        self.by_attr: dict[str, list[tuple[str, Field]]] = {}
+        for name, field in fields.items():
+            self.by_attr.setdefault(field.attr, []).append((name, field))
         self.found: dict[str, list[str]] = {name: [] for name in fields}
-        self.open: list[tuple[str, list[tuple[str, list[str]]]]] = []
+        # Open elements, and how many texts were being collected before each.
+        self.open: list[tuple[str, int]] = []
+        self.texts: list[tuple[str, list[str]]] = []
 
     def _write(self, text: str) -> None:
-        for _, captures in self.open:
-            for _, parts in captures:
-                parts.append(text)
+        for _, parts in self.texts:
+            parts.append(text)
 
     def handle_starttag(self, tag, attrs):
-        if tag not in _INLINE:
+        if self.texts and tag not in _INLINE:
             self._write("\n")
-        held = dict(attrs)
-        captures = []
-        for name, field in self.fields.items():
-            if field.hits(tag, held):
-                if field.take == "text":
-                    captures.append((name, []))
-                else:
-                    self.found[name].append(held.get(field.take) or "")
+        before = len(self.texts)
+        if attrs:
+            held = dict(attrs)
+            for attr in held:
+                for name, field in self.by_attr.get(attr, ()):
+                    if not field.hits(tag, held):
+                        continue
+                    if field.take == "text":
+                        if tag not in _VOID:
+                            self.texts.append((name, []))
+                    else:
+                        self.found[name].append(held.get(field.take) or "")
         if tag not in _VOID:
-            self.open.append((tag, captures))
+            self.open.append((tag, before))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -88,17 +95,18 @@ class _Reader(HTMLParser):
         if all(t != tag for t, _ in self.open):
             return
         while self.open:
-            name, captures = self.open.pop()
-            for field, parts in captures:
+            name, before = self.open.pop()
+            for field, parts in self.texts[before:]:
                 lines = (" ".join(line.split()) for line in "".join(parts).split("\n"))
                 self.found[field].append("\n".join(line for line in lines if line))
+            del self.texts[before:]
             if name == tag:
                 break
-        if tag not in _INLINE:
+        if self.texts and tag not in _INLINE:
             self._write("\n")
 
     def handle_data(self, data):
-        if not self.open or self.open[-1][0] not in _HIDDEN:
+        if self.texts and self.open[-1][0] not in _HIDDEN:
             self._write(" ".join(data.splitlines()) if "\n" in data or "\r" in data else data)
 
 

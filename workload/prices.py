@@ -10,6 +10,7 @@ from tidemark.operators import aggregates as agg
 from tidemark.operators.filters import align_schema
 from tidemark.operators.paging import sorted_by
 from tidemark.plans import marts, quality, star
+from tidemark.scale import cut_lineage
 from tidemark.schemas import PRICE, struct_of
 from tidemark.sources.prices import bars_from_json, typed_bars
 from workload import views
@@ -296,23 +297,28 @@ _TIMES = """
 TIME_KEYS = ["time_serial_time", "time_serial_interval_id"]
 
 
-def _times(spark, sf, intervals):
-    values = star.time_serial_values(views.stocks(spark, sf), views.ledger(spark, sf), intervals)
+def _stocks(spark, sf):
+    """The staged bars as a stored table."""
+    return cut_lineage(views.stocks(spark, sf), "stocks")
+
+
+def _times(spark, stocks, loads, intervals):
+    values = star.time_serial_values(stocks, loads, intervals)
     empty = _dim(spark, "time_serial_id bigint, time_serial_time timestamp_ntz, time_serial_interval_id bigint")
     return star.load_dimension(empty, values, TIME_KEYS, "time_serial_id")
 
 
 @query("dim_time_serial", sql("prices ledger stocks", "SELECT * FROM times", intervals=_INTERVALS, times=_TIMES))
 def dim_time_serial(spark, sf):
-    return _times(spark, sf, _intervals(spark, sf))
+    return _times(spark, views.stocks(spark, sf), views.ledger(spark, sf), _intervals(spark, sf))
 
 
 def _fact(spark, sf):
     intervals, symbols = _intervals(spark, sf), _symbols(spark, sf)
-    stocks, loads = views.stocks(spark, sf), views.ledger(spark, sf)
+    stocks, loads = _stocks(spark, sf), views.ledger(spark, sf)
     # Each bar is delivered twice by its load.
     twice = stocks.unionByName(stocks)
-    return star.load_fact_price(None, twice, loads, intervals, symbols, _times(spark, sf, intervals))
+    return star.load_fact_price(None, twice, loads, intervals, symbols, _times(spark, stocks, loads, intervals))
 
 
 _FACT = """
@@ -451,9 +457,8 @@ def check_ohlcv(spark, sf):
 def star_to_mart(spark, sf):
     """The mart over the fact joined with its dimensions."""
     intervals = _intervals(spark, sf)
-    symbols, times = _symbols(spark, sf), _times(spark, sf, intervals)
-    fact = star.load_fact_price(
-        None, views.stocks(spark, sf), views.ledger(spark, sf), intervals, symbols, times
-    )
+    stocks, loads = _stocks(spark, sf), views.ledger(spark, sf)
+    symbols, times = _symbols(spark, sf), _times(spark, stocks, loads, intervals)
+    fact = star.load_fact_price(None, stocks, loads, intervals, symbols, times)
     mart = marts.daily_price_change(star.fact_bars(fact, symbols, times))
     return plain(mart.select("symbol", "day", "sum_vol", "price_open", "price_close"))

@@ -12,6 +12,7 @@ from tidemark.operators import joins, lines, sets
 from tidemark.operators.paging import renumber
 from tidemark.plans import registry as reg
 from tidemark.schemas import KEY_PARAMETERS, PARCEL_COLUMNS
+from tidemark.scale import spread
 from tidemark.sinks import write
 from tidemark.sources import files, sheets
 from tidemark.sources import registry as src
@@ -398,7 +399,7 @@ def _cost_texts(spark, sf):
     body = views._tag("Parcel", pay, views._attr("CadastralNumber", F.concat(F.lit("05:"), F.col("p_partkey").cast("string"))))
     for box in ["Parcels", "Cadastral_Block", *reversed(src.COST_PATH)]:
         body = views._tag(box, body)
-    return table(spark, sf, "part").select(
+    return spread(table(spark, sf, "part"), "p_partkey").select(
         F.col("p_partkey").alias("response_file_id"),
         F.col("p_size").cast("bigint").alias("response_id"),
         views._tag("Root", body).alias("text"),
@@ -412,7 +413,8 @@ def _group_texts(spark, sf):
         "Real_Estate", views._tag("CadastralNumber", F.concat(F.lit("05:"), F.col("p_partkey").cast("string"))), views._attr("ID_Group", F.col("p_brand"))
     )
     document = views._tag("Root", F.concat(views._tag("Groups_Real_Estate", group), views._tag("Real_Estates", member)))
-    return table(spark, sf, "part").filter(F.col("p_type") != "ECONOMY").select(F.col("p_size").cast("bigint").alias("response_id"), document.alias("text"))
+    parts = table(spark, sf, "part").filter(F.col("p_type") != "ECONOMY")
+    return spread(parts, "p_partkey").select(F.col("p_size").cast("bigint").alias("response_id"), document.alias("text"))
 
 
 @query(

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.scale import micros, packed_order
+from tidemark.scale import micros, packed_order, spread
 
 BAR_SECONDS = 300
 
@@ -289,7 +289,7 @@ def _tag(name: str, content, *attrs) -> F.Column:
 def registry_texts(spark: SparkSession, sf: str) -> DataFrame:
     """One registry document per part: a construction and a plot."""
     parts = table(spark, sf, "part")
-    rows = parts.join(_part_lines(spark, sf), F.col("p_partkey") == F.col("l_partkey"), "left")
+    rows = spread(parts.join(_part_lines(spark, sf), F.col("p_partkey") == F.col("l_partkey"), "left"), "p_partkey")
     key, size = F.col("p_partkey"), F.col("p_size")
     text = lambda c: F.col(c).cast("string")
     parameters = F.concat(
@@ -434,7 +434,7 @@ def ad_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.lit('<span data-marker="item-view/item-date">'), date, F.lit("</span></body></html>"),
     )
     html = F.when(size == 33, F.concat(html, F.lit("Доступ ограничен"))).otherwise(html)
-    return table(spark, sf, "part").select(
+    return spread(table(spark, sf, "part"), "p_partkey").select(
         F.concat(F.lit("https://ads.example/x/item_"), number).alias("url"), html.alias("html"), kind.alias("kind"),
         F.col("p_type").alias("locality"), F.lit(7).alias("section_id"),
     )
