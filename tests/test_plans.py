@@ -326,10 +326,13 @@ def test_parse_ads(spark):
 
 
 def test_partition_writer_spreads_a_large_day(spark, tmp_path):
-    rows = spark.range(2000).select("id", F.lit(D1).alias("ts"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = spark.range(200_000).repartition(4).select("id", F.lit(D1).alias("ts"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "100KB")
     try:
         append_partition(rows, str(tmp_path / "t"), "ts")
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set(size, before)
     assert len(list((tmp_path / "t" / "day=2024-01-01").glob("*.parquet"))) > 1
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 200_000

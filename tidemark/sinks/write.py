@@ -14,11 +14,12 @@ from tidemark.scale import scratch_path
 
 
 def append_partition(df: DataFrame, path: str, ts_col: str, day_col: str = "day", order: Sequence[str] = ()) -> None:
-    """Write the days in ``df`` in place of what the table held for them."""
-    days = df.withColumn(day_col, F.to_date(ts_col))
-    # A large day keeps many writers: rows are spread by day and a hash of the row.
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(32))
-    days = days.repartition(F.col(day_col), spread)
+    """Write the days in ``df`` in place of what the table held for them.
+
+    Rows are brought together by day; days larger than the advisory partition
+    size are split over several writers, small ones share one.
+    """
+    days = df.withColumn(day_col, F.to_date(ts_col)).hint("rebalance", F.col(day_col))
     if order:
         days = days.sortWithinPartitions(day_col, *order)
     days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(path)

@@ -60,7 +60,8 @@ def sheet_rows(spark, sf):
 )
 def sheet_codes_union(spark, sf):
     """Codes of both sheets, of workbooks not in the ledger."""
-    known = table(spark, sf, "nation").filter(F.col("n_name") == "NATION_7").select(F.lit("codes_7.xlsx").alias("file"))
+    name = F.concat(F.lit("codes_"), F.col("n_nationkey").cast("string"), F.lit(".xlsx"))
+    known = table(spark, sf, "nation").filter(F.col("n_name") == "NATION_7").select(name.alias("file"))
     return reg.load_codes(views.code_sheets(spark, sf), known)
 
 

@@ -8,7 +8,7 @@ from tidemark.operators import aggregates as agg
 from tidemark.operators import filters as flt
 from tidemark.operators import joins, paging, sets
 from tidemark.plans import marts, staging, state, vault
-from tidemark.scale import scratch_path
+from tidemark.scale import cut_lineage, scratch_path
 from tidemark.schemas import CURRENCY, MESSAGE_COLUMNS, TRANSACTION
 from tidemark.sinks import write
 from tidemark.sinks.quarantine import copy_with_rejects, quarantine, reject_counts
@@ -264,7 +264,8 @@ def _stamp(value):
 
 
 def _two_rounds(src, load, ts="transaction_dt"):
-    first = load(None, _early(src, ts), _stamp(EARLY))
+    """Both rounds; the first is a stored table by the time of the second."""
+    first = cut_lineage(load(None, _early(src, ts), _stamp(EARLY)), "vault")
     return first.unionByName(load(first, src, _stamp(LATE)))
 
 
@@ -355,6 +356,11 @@ def _named(links, hub, key, out):
     return links.join(names, out).drop(out)
 
 
+def _stored(*hubs):
+    """Hubs as the tables that links and satellites find."""
+    return [cut_lineage(hub, "hub") for hub in hubs]
+
+
 def _tx_ref(operations):
     return vault.Ref(operations, "operation_id", "operation_id", "hk_transaction")
 
@@ -372,7 +378,7 @@ def _link(log, refs):
 )
 def link_tx_account(spark, sf):
     log = views.tx_log(spark, sf)
-    operations, accounts = _operations(log), _accounts(log)
+    operations, accounts = _stored(_operations(log), _accounts(log))
     links = _link(
         log,
         [
@@ -394,7 +400,7 @@ def link_tx_account(spark, sf):
 )
 def link_tx_country(spark, sf):
     log = views.tx_log(spark, sf)
-    operations, countries = _operations(log), _countries(log)
+    operations, countries = _stored(_operations(log), _countries(log))
     links = _link(log, [_tx_ref(operations), vault.Ref(countries, "country_name", "country", "hk_country")]).drop("hk")
     return _named(_named(links, operations, "operation_id", "hk_transaction"), countries, "country_name", "hk_country")
 
@@ -407,7 +413,7 @@ def link_tx_country(spark, sf):
 )
 def link_tx_currency(spark, sf):
     log = views.tx_log(spark, sf)
-    operations, currencies = _operations(log), _currencies(log, views.rates(spark, sf))
+    operations, currencies = _stored(_operations(log), _currencies(log, views.rates(spark, sf)))
     refs = [_tx_ref(operations), vault.Ref(currencies, "currency_code", "currency_code", "hk_currency")]
     links = _link(log, refs).drop("hk")
     return _named(_named(links, operations, "operation_id", "hk_transaction"), currencies, "currency_code", "hk_currency")
@@ -421,7 +427,7 @@ def link_tx_currency(spark, sf):
 )
 def sat_tx_status(spark, sf):
     log = views.tx_log(spark, sf)
-    operations = _operations(log)
+    (operations,) = _stored(_operations(log))
     statuses = _two_rounds(
         log,
         lambda target, src, at: vault.load_satellite(
@@ -441,7 +447,7 @@ def sat_tx_status(spark, sf):
 )
 def sat_currency_div(spark, sf):
     quotes = views.rates(spark, sf)
-    currencies = _currencies(views.tx_log(spark, sf), quotes)
+    (currencies,) = _stored(_currencies(views.tx_log(spark, sf), quotes))
     refs = [
         vault.Ref(currencies, "currency_code", "currency_code", "hk_currency"),
         vault.Ref(currencies, "currency_code", "currency_code_with", "hk_currency_with"),
