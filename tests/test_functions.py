@@ -187,6 +187,14 @@ def test_map_class_array(spark, classifier, small_rows):
     assert {r["id"]: r["v"] for r in got} == {1: "two,9,one", 2: None, 3: None, 4: None, 5: "one,one"}
 
 
+@pytest.mark.parametrize("small_rows", [0, 100])
+def test_several_arrays_without_a_key(spark, classifier, small_rows):
+    rows = [(["1"], ["2", "x"]), (["1"], ["2", "x"]), (None, [" 1"])]
+    df = spark.createDataFrame(rows, "a array<string>, b array<string>")
+    got = lookup.map_class_arrays(df, {"a": "a", "b": "b"}, classifier, small_rows=small_rows).collect()
+    assert sorted((r["a"] or "", r["b"]) for r in got) == [("", "one"), ("one", "two,x"), ("one", "two,x")]
+
+
 def test_json_paths(spark):
     doc = '{"O":{"A":{"X":[{"n":1},{"n":2}]},"B":{"Y":{"n":3,"deep":{"n":4}}}}}'
     df = spark.createDataFrame([(doc,), ("not json",)], "t string").select(documents.parse_document("t").alias("d"))
