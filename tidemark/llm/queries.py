@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import simhash
+from tidemark.llm import decontaminate, simhash, token_files
+from tidemark.llm.common import Scratch
+
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +25,20 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = Scratch(spark, "tokens").folder("files")
+    manifest = token_files.write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary(BYTE_BPE))
+    return token_files.digests(token_files.read_tokens(manifest))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op5_decontaminate": op5_decontaminate,
+    "op7_token_files": op7_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {}
