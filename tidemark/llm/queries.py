@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, simhash, token_files, toxicity, vectors
+from tidemark.llm import decontaminate, pieces, simhash, token_counts, token_files, toxicity, vectors
 from tidemark.llm.common import Scratch
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def vocabulary(name: str) -> str:
@@ -39,6 +40,14 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.read_tokens(manifest))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary(PIECES))
+
+
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), vocabulary(PIECES), with_ids=False)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -49,6 +58,8 @@ QUERIES = {
     "op3_embeddings": op3_embeddings,
     "op5_decontaminate": op5_decontaminate,
     "op7_token_files": op7_token_files,
+    "op8_token_counts": op8_token_counts,
+    "op9_pieces": op9_pieces,
     "op10_toxicity": op10_toxicity,
 }
 

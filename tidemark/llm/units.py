@@ -39,6 +39,22 @@ class UnitCache:
         return found
 
 
+class UnitTable(dict):
+    """Like ``UnitCache`` for a function of one unit: looks up, or works out and remembers."""
+
+    def __init__(self, encode: Callable, size: int = CACHED_UNITS):
+        super().__init__()
+        self._encode, self._size = encode, size
+
+    def __missing__(self, unit: str):
+        value = self._encode(unit)
+        if len(unit) <= CACHED_LENGTH:
+            if len(self) >= self._size:
+                self.clear()
+            self[unit] = value
+        return value
+
+
 def runs(items: list, size: Callable, most: int) -> Iterable[list]:
     """Consecutive items in lists of at most about ``most`` by ``size``; one large item stands alone."""
     held, total = [], 0
