@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, pieces, simhash, token_counts, token_files, toxicity, vectors
+from tidemark.llm import decontaminate, pieces, pii, simhash, token_counts, token_files, toxicity, vectors
 from tidemark.llm.common import Scratch
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -34,6 +34,11 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digests(pii.find(docs, pii.train(docs)))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = Scratch(spark, "tokens").folder("files")
     manifest = token_files.write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary(BYTE_BPE))
@@ -57,6 +62,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_embeddings": op3_embeddings,
     "op5_decontaminate": op5_decontaminate,
+    "op6_pii": op6_pii,
     "op7_token_files": op7_token_files,
     "op8_token_counts": op8_token_counts,
     "op9_pieces": op9_pieces,
