@@ -58,6 +58,18 @@ def worker_state(key: str, make: Callable):
     return getattr(registry, key)
 
 
+# Rows up to which a narrow table may be sent to every task.
+SENT_ROWS = 2_000_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """``df``, a kept table of a few numbers a row, marked for broadcast where its counted rows are few enough.
+
+    Above the bound the join shuffles instead; the result is the same.
+    """
+    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns under the operator's own names; any others are left behind."""
     return df.select(*[df[source].alias(name) for name, source in columns.items()])

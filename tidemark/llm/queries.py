@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, pieces, pii, simhash, token_counts, token_files, toxicity, vectors
+from tidemark.llm import decontaminate, lines, pieces, pii, simhash, token_counts, token_files, toxicity, vectors
 from tidemark.llm.common import Scratch
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -26,6 +27,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_kept", F.length("text").alias("kept_chars"), F.md5("text").alias("kept_md5"))
+
+
 def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -60,6 +66,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_lines": op2_lines,
     "op3_embeddings": op3_embeddings,
     "op5_decontaminate": op5_decontaminate,
     "op6_pii": op6_pii,
