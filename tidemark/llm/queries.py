@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, lines, pieces, pii, simhash, token_counts, token_files, toxicity, vectors
+from tidemark.llm import decontaminate, language, lines, pieces, pii, simhash, token_counts, token_files, toxicity, vectors
 from tidemark.llm.common import Scratch
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -36,6 +36,10 @@ def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.score_texts(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -68,6 +72,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_lines": op2_lines,
     "op3_embeddings": op3_embeddings,
+    "op4_language": op4_language,
     "op5_decontaminate": op5_decontaminate,
     "op6_pii": op6_pii,
     "op7_token_files": op7_token_files,
