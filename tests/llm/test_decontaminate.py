@@ -81,7 +81,9 @@ def test_find_items_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(dc, "BLOCK_CHARS", 300)
     again = {(r.doc_id, r.n_items): sorted(tuple(i) for i in r["items"]) for r in dc.find_items(frame, bench).collect()}
     assert again == first
-    kept = {r.doc_id for r in dc.keep_clean(frame, bench).collect()}
+    clean = dc.keep_clean(frame, bench)
+    assert clean.columns == frame.columns
+    kept = {r.doc_id for r in clean.collect()}
     assert kept == {i for (i, n) in first if n == 0}
 
 

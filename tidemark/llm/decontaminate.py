@@ -134,6 +134,16 @@ class Matcher:
         return sorted(found)
 
 
+def _blocks(benchmark: DataFrame, item_id: str, item_text: str) -> Iterator[list[tuple[int, str]]]:
+    """The items with their normalised texts, in lists of bounded size."""
+    wanted = pick(benchmark, item_id=item_id, text=item_text).where("text IS NOT NULL AND item_id IS NOT NULL").distinct()
+    chars = wanted.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = 1 + chars // BLOCK_CHARS
+    for block in range(blocks):
+        part = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        yield sorted((r.item_id, t) for r in part.collect() if (t := normal(r.text)))
+
+
 def find_items(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -155,13 +165,8 @@ def find_items(
     """
     rows = pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = rows.withColumn("items", F.array().cast("array<struct<item_id:long,distance:int>>"))
-    wanted = pick(benchmark, item_id=item_id, text=item_text).where("text IS NOT NULL AND item_id IS NOT NULL").distinct()
-    chars = wanted.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = 1 + chars // BLOCK_CHARS
-    for block in range(blocks):
-        part = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        items = [(r.item_id, t) for r in part.collect() if (t := normal(r.text))]
-        rows = rows.mapInArrow(_search(sorted(items), rate), rows.schema)
+    for items in _blocks(benchmark, item_id, item_text):
+        rows = rows.mapInArrow(_search(items, rate), rows.schema)
     return rows.select("doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").alias("n_items"), "items")
 
 
@@ -179,8 +184,17 @@ def _search(items: list[tuple[int, str]], rate: float):
     return run
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", rate: float = ERROR_RATE) -> DataFrame:
-    """Rows of ``docs`` whose document holds no item; rows without id stay."""
-    found = find_items(docs, benchmark, doc_id, text, rate=rate)
-    bad = found.where("contaminated").select(F.col("doc_id").alias("_dropped")).where("_dropped IS NOT NULL").distinct()
-    return docs.join(bad, docs[doc_id] == bad["_dropped"], "left_anti")
+def keep_clean(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", rate: float = ERROR_RATE
+) -> DataFrame:
+    """Rows of ``docs`` whose text holds no item, with their own columns; found as by ``find_items``."""
+    for items in _blocks(benchmark, item_id, item_text):
+
+        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(items, rate)
+            for batch in batches:
+                texts = batch.column(batch.schema.get_field_index(text))
+                yield batch.filter(pa.array([not matcher.find(normal(t.as_py())) for t in texts], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, close_blocks, components, pick
+from tidemark.llm.common import Scratch, close_blocks, components, pick, small_side
 from tidemark.scale import with_ordinal
 
 SHINGLE_WORDS = 3
@@ -188,4 +188,5 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     """Rows of ``docs`` whose document is the smallest of its near-duplicate group, plus rows without id."""
     found = near_duplicates(docs, doc_id, text, words, max_bits)
     dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
+    dropped = small_side(Scratch(docs.sparkSession, "simhash").keep(dropped, "dropped"))
     return docs.join(dropped, docs[doc_id] == dropped["_dropped"], "left_anti")
