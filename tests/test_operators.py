@@ -31,10 +31,6 @@ def test_ordinal(spark, partitions):
     assert scale.with_ordinal(df.limit(0), ["v"]).count() == 0
 
 
-def test_fits(spark):
-    assert scale.fits(spark.range(5), 5) and not scale.fits(spark.range(6), 5)
-
-
 def test_packed_order(spark):
     df = spark.createDataFrame([(2, 1), (1, 9_000_000_000_000_000_000), (1, 0)], "a bigint, b bigint")
     got = df.orderBy(scale.packed_order(F.col("a"), F.col("b"))).collect()

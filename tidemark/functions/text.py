@@ -54,9 +54,10 @@ def spaced_line(parts: Sequence[Column | str], trim: bool = True) -> Column:
     return F.trim(line) if trim else line
 
 
-def repair_decimal(text: str | Column, type_: str = "decimal(20,4)") -> Column:
-    """First number in a text that may use a decimal comma; NULL if none parses."""
-    return extract_or_null(F.replace(_col(text), F.lit(","), F.lit(".")), r"[0-9.]+").try_cast(type_)
+def repair_decimal(text: str | Column, type_: str = "decimal(38,18)") -> Column:
+    """First number in a text, with sign and exponent, that may use a decimal comma; NULL if none parses."""
+    number = r"[-+]?[0-9.]+(?:[eE][-+]?[0-9]+)?"
+    return extract_or_null(F.replace(_col(text), F.lit(","), F.lit(".")), number).try_cast(type_)
 
 
 def safe_cast(c: str | Column, type_: str) -> Column:

@@ -97,8 +97,10 @@ def last_in_group(df: DataFrame, by: Sequence[str], value: str, order: str | Col
 
 def arg_max(df: DataFrame, by: Sequence[str], value: str, measure: str | Column, out: str = "arg_max") -> DataFrame:
     """Smallest ``value`` among the rows with the largest measure."""
-    best = F.max_by(value, F.struct(_col(measure), -F.col(value)))
-    return df.groupBy(*by).agg(best.alias(out))
+    by_value = df.groupBy(*by, value).agg(F.max(_col(measure)).alias("_measure")).filter("_measure IS NOT NULL")
+    top = by_value.groupBy(*by).agg(F.max("_measure").alias("_top"))
+    best = by_value.join(top, list(by)).filter("_measure = _top")
+    return best.groupBy(*by).agg(F.min(value).alias(out))
 
 
 def earliest_at_max(ts: str, measure: str | Column) -> Column:

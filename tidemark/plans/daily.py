@@ -29,9 +29,10 @@ def stage_day(spark: SparkSession, messages: DataFrame, root: str, day: dt.date
         ("CURRENCY", "currencies", "date_update"),
     ):
         good, bad, misfits = stage_messages(today, object_type)
-        append_partition(good, f"{root}/{table}", "sent_dttm", order=[ts])
-        append_partition(bad, f"{root}/{table}_rej", "sent_dttm")
-        append_partition(misfits, f"{root}/{table}_misfit", "sent_dttm")
+        # By business day, so that a day's vault load opens that day alone; a rerun replaces what this day sent.
+        append_partition(good, f"{root}/{table}", ts, order=[ts], part=("sent_day", str(day)))
+        append_partition(bad, f"{root}/{table}_rej", "sent_dttm", days=[day])
+        append_partition(misfits, f"{root}/{table}_misfit", "sent_dttm", days=[day])
 
 
 class _Tables:
@@ -48,6 +49,13 @@ class _Tables:
         return self.read(name)
 
 
+def _of_day(rows: DataFrame, ts: str, day: dt.date | str) -> DataFrame:
+    """A day's rows; where the table is partitioned by ``day``, its other folders are not opened."""
+    if "day" in rows.columns:
+        rows = rows.filter(F.col("day") == F.lit(str(day)).cast("date"))
+    return day_slice(rows, ts, day)
+
+
 def load_vault_day(
     spark: SparkSession,
     transactions: DataFrame,
@@ -59,8 +67,8 @@ def load_vault_day(
     """Hubs, then links, then satellites of a day."""
     tables = _Tables(spark, root, VAULT)
     run = F.lit(str(day)).cast("timestamp")
-    tx = day_slice(transactions, "transaction_dt", day)
-    quotes = day_slice(rates, "date_update", day)
+    tx = _of_day(transactions, "transaction_dt", day)
+    quotes = _of_day(rates, "date_update", day)
 
     def hub(name: str, src: DataFrame, key: str, **more) -> DataFrame:
         return tables.append(name, vault.load_hub(tables.read(name), src, key, run, load_src, **more))
@@ -110,22 +118,24 @@ def load_currency_mart(
 ) -> None:
     """The day's metrics in place of what the mart held for that day."""
     metrics = marts.daily_currency_metrics(transactions, rates, day, mode=mode)
-    append_partition(metrics, path, "date_update")
+    append_partition(metrics, path, "date_update", days=[day])
 
 
 def load_prices(spark: SparkSession, bars: DataFrame, interval: str, root: str) -> None:
     """Bars (with ``symbol``) through ledger, staging, dimensions and fact.
 
-    Loads already in the ledger are refused; afterwards the new ones are
-    marked as uploaded. A load that broke off is taken up again.
+    Loads of a symbol, interval and day already in the ledger are refused;
+    afterwards the new ones are marked as uploaded. A load that broke off is
+    taken up again.
     """
     tables = _Tables(spark, root, {**STAR, "ledger": LEDGER})
     ledger = tables.read("ledger")
     # Days of the bars that are new, or whose load never finished.
     wanted = distinct_rows(bars.select(F.col("symbol").alias("symbol_name"), F.to_date("time").alias("date")), ["symbol_name", "date"])
-    opened = star.open_uploads(ledger, wanted.withColumn("interval_name", F.lit(interval)))
+    wanted = wanted.withColumn("interval_name", F.lit(interval))
+    opened = star.open_uploads(ledger, wanted)
     ledger = tables.append("ledger", opened)
-    pending = star.pending_uploads(ledger)
+    pending = star.pending_uploads(ledger).filter(F.col("interval_name") == interval)
     stocks = star.stamp_uploads(bars, pending)
 
     def dimension(name: str, values: DataFrame, keys: list[str], id_col: str) -> DataFrame:

@@ -16,7 +16,7 @@ from tidemark.operators.joins import matching, only_new
 from tidemark.operators.sets import union_padded
 from tidemark.schemas import KEY_PARAMETERS, PARCEL_COLUMNS
 from tidemark.sinks.quarantine import quarantine
-from tidemark.sources.sheets import read_sheet_rows
+from tidemark.sources.sheets import read_sheet_rows, sheet_headers
 
 # Parts of an address and the member that holds each part's text.
 ADDRESS_PARTS = [
@@ -242,7 +242,7 @@ def export_view(parcels: DataFrame, files: DataFrame, requests: DataFrame) -> Da
 
 
 def result_parcels(
-    costs: DataFrame, groups: DataFrame, members: DataFrame, number_type: str = "decimal(20,4)"
+    costs: DataFrame, groups: DataFrame, members: DataFrame, number_type: str = "decimal(38,18)"
 ) -> DataFrame:
     """Costs with the group of each number in the same response.
 
@@ -311,14 +311,18 @@ ACT_SHEETS = {"II": "count_ok", "III": "count_bad"}
 
 
 def load_act_counts(rows: DataFrame, sheets: Mapping[str, str] = ACT_SHEETS) -> DataFrame:
-    """Accepted and refused records per act file; files with an unfound header are left out."""
+    """Accepted and refused records per act file; files with an unfound header are left out.
+
+    A sheet with a header and no rows counts 0.
+    """
     wanted = rows.filter(F.col("sheet").isin(list(sheets)))
+    complete = sheet_headers(wanted).filter("found").groupBy("file").agg(F.count_distinct("sheet").alias("_sheets"))
+    complete = complete.filter(F.col("_sheets") == len(sheets)).select("file")
     data = read_sheet_rows(wanted).withColumn("_first", F.try_element_at("record", F.get("names", F.lit(0))))
-    counts = [
-        F.count(F.when((F.col("sheet") == sheet), F.col("_first"))).alias(out) for sheet, out in sheets.items()
-    ]
-    complete = F.count_distinct("sheet") == len(sheets)
-    return data.groupBy("file").agg(*counts, complete.alias("_complete")).filter("_complete").drop("_complete")
+    counts = data.groupBy("file").agg(
+        *[F.count(F.when(F.col("sheet") == sheet, F.col("_first"))).alias(out) for sheet, out in sheets.items()]
+    )
+    return complete.join(counts, "file", "left").na.fill(0, list(sheets.values()))
 
 
 # Key column of each code sheet, and the code's column.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.filters import is_not_true
@@ -25,8 +25,8 @@ def mark_uploaded(ledger: DataFrame, day: dt.date | str | Column, date: str = "d
 
 
 def mark_loaded(ledger: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Mark the loads of the given ``(symbol_name, date)`` as done."""
-    keys = ["symbol_name", "date"]
+    """Mark the loads of the given ``(symbol_name, interval_name, date)`` as done."""
+    keys = ["symbol_name", "interval_name", "date"]
     flags = loaded.select(*keys).distinct().withColumn("_done", F.lit(True))
     return (
         ledger.join(flags, keys, "left")
@@ -37,10 +37,8 @@ def mark_loaded(ledger: DataFrame, loaded: DataFrame) -> DataFrame:
 
 def open_uploads(ledger: DataFrame, wanted: DataFrame) -> DataFrame:
     """Ledger rows to add for ``(symbol_name, interval_name, date)`` not yet in the ledger."""
-    keys = ["symbol_name", "date"]
-    fresh = only_new(
-        wanted.groupBy(*keys).agg(F.min("interval_name").alias("interval_name")), ledger, keys
-    )
+    keys = ["symbol_name", "interval_name", "date"]
+    fresh = only_new(wanted.select(*keys).distinct(), ledger, keys)
     top = ledger.agg(F.coalesce(F.max("upload_id"), F.lit(0))).first()[0]
     numbered = with_ordinal(fresh, keys, "upload_id", top + 1)
     return numbered.withColumn("uploaded", F.lit(None).cast("boolean")).select(*ledger.columns)
@@ -149,15 +147,21 @@ def scd4_rename(
     closed and one for the new name opened, found by the symbol's id. Renames
     of names that are not current have no effect.
     """
-    changes = act.join(renames, act["symbol_name"] == renames["old_name"]).select("symbol_id", "new_name", "at")
+    changes = act.join(renames, act["symbol_name"] == renames["old_name"]).select("symbol_id", "new_name", "at").distinct()
+    # Several renames of a symbol follow each other by time, then by name: each
+    # closes the one before, the last one is current.
+    in_order = Window.partitionBy("symbol_id").orderBy("at", "new_name")
+    changes = changes.withColumn("_until", F.lead("at").over(in_order))
+    first = changes.groupBy("symbol_id").agg(F.min("at").alias("at"))
+    last = changes.withColumn("_last", F.lead(F.lit(1)).over(in_order)).filter("_last IS NULL").select("symbol_id", "new_name")
     new_act = (
-        act.join(changes, "symbol_id", "left")
+        act.join(last, "symbol_id", "left")
         .withColumn("symbol_name", F.coalesce("new_name", "symbol_name"))
         .select(*act.columns)
     )
     closing = F.col("symbol_valid_to").isNull() & F.col("at").isNotNull()
     closed = (
-        hist.join(changes, "symbol_id", "left")
+        hist.join(first, "symbol_id", "left")
         .withColumn("symbol_valid_to", F.when(closing, F.col("at")).otherwise(F.col("symbol_valid_to")))
         .select(*hist.columns)
     )
@@ -166,6 +170,6 @@ def scd4_rename(
         F.col("symbol_id"),
         F.col("new_name").alias("symbol_name"),
         F.col("at").cast(types["symbol_valid_from"]).alias("symbol_valid_from"),
-        F.lit(None).cast(types["symbol_valid_to"]).alias("symbol_valid_to"),
+        F.col("_until").cast(types["symbol_valid_to"]).alias("symbol_valid_to"),
     )
     return new_act, closed.unionByName(opened)

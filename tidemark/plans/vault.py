@@ -64,25 +64,32 @@ class Ref:
     out: str
 
 
-def resolve(src: DataFrame, refs: Sequence[Ref], how: str = "inner") -> DataFrame:
-    """Replace business keys by hub keys; the same hub may serve several roles."""
+def resolve(src: DataFrame, refs: Sequence[Ref], checked: bool = False) -> DataFrame:
+    """Replace business keys by hub keys; the same hub may serve several roles.
+
+    The hub key is a function of the business key, so nothing is joined.
+    With ``checked`` rows whose key a hub lacks are left out as well.
+    """
     rows = src
     for ref in refs:
-        hub = ref.hub.select(F.col("hk").alias(ref.out), F.col(ref.hub_key).alias(f"_{ref.out}"))
-        rows = rows.join(hub, rows[ref.src_col] == hub[f"_{ref.out}"], how).drop(f"_{ref.out}")
-    return rows
+        rows = rows.filter(F.col(ref.src_col).isNotNull())
+        if checked:
+            rows = rows.join(ref.hub.select(F.col(ref.hub_key).alias(ref.src_col)), ref.src_col, "left_semi")
+    return rows.withColumns({ref.out: hash_key(ref.src_col) for ref in refs})
 
 
 def load_link(
-    target: DataFrame | None, src: DataFrame, refs: Sequence[Ref], run_ts: Column, load_src: str
+    target: DataFrame | None, src: DataFrame, refs: Sequence[Ref], run_ts: Column, load_src: str, checked: bool = False
 ) -> DataFrame:
-    """Distinct key combinations not yet linked; the first reference names the link's key."""
+    """Distinct key combinations not yet linked, under a key of all references.
+
+    The result of several loads does not depend on how their rows are cut.
+    """
     columns = list(dict.fromkeys(ref.src_col for ref in refs))
-    # Repeated rows go before the joins, not after.
-    pairs = src.select(*columns).distinct()
-    resolved = resolve(pairs, refs).select(hash_key(refs[0].out).alias("hk"), *[ref.out for ref in refs])
+    outs = [ref.out for ref in refs]
+    resolved = resolve(src.select(*columns).distinct(), refs, checked).select(hash_key(*outs).alias("hk"), *outs)
     if target is not None:
-        resolved = only_new(resolved, target, "hk")
+        resolved = only_new(resolved, target, outs)
     return _audited(resolved, run_ts, load_src)
 
 

@@ -9,17 +9,10 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Upper bound on the rows that may be placed in one task or one literal.
-SMALL_ROWS = 10_000
 _POSITION_BITS = 33
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
-def fits(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than needed."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -41,6 +34,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a glob pattern names, on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return [status.getPath().toString() for status in found or []]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]
+    if not paths[0].getFileSystem(spark._jsc.hadoopConfiguration()).rename(*paths):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -53,14 +64,12 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
 
 
 def spread(df: DataFrame, *cols: str | Column) -> DataFrame:
-    """Equal shares of rows for all tasks, ahead of work that is heavy per row.
+    """Rows dealt anew, evenly, ahead of work that is heavy per row.
 
-    Small rows may come in few partitions, by the layout of their files or
-    merged by size at run time; a fixed partition count is left as it is.
-    Apply it while rows are narrow, before large values are made of them.
+    Adaptive execution chooses the number of partitions by size and splits
+    large ones. Apply it while rows are narrow, before large values are made.
     """
-    count = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
-    return df.repartition(count, *cols)
+    return df.hint("rebalance", *[F.col(c) if isinstance(c, str) else c for c in cols])
 
 
 def packed_order(major: Column, minor: Column) -> Column:

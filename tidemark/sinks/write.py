@@ -2,27 +2,52 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.aggregates import first_per_key
-from tidemark.scale import scratch_path
-
-
-def append_partition(df: DataFrame, path: str, ts_col: str, day_col: str = "day", order: Sequence[str] = ()) -> None:
+from tidemark.scale import delete_path, matching_paths, rename_path
+
+
+def append_partition(
+    df: DataFrame,
+    path: str,
+    ts_col: str,
+    day_col: str = "day",
+    order: Sequence[str] = (),
+    days: Sequence[str | dt.date] = (),
+    part: tuple[str, str] | None = None,
+) -> None:
     """Write the days in ``df`` in place of what the table held for them.
 
-    Rows are brought together by day; days larger than the advisory partition
-    size are split over several writers, small ones share one.
+    ``days`` are replaced even where ``df`` has no rows of theirs. With
+    ``part``, a column and a value, each day is partitioned by it once more
+    and only folders of that value are replaced, in all days. Rows are brought
+    together by day; days larger than the advisory partition size are split
+    over several writers, small ones share one.
     """
-    days = df.withColumn(day_col, F.to_date(ts_col)).hint("rebalance", F.col(day_col))
+    spark = df.sparkSession
+    rows = df.withColumn(day_col, F.to_date(ts_col))
+    columns = [day_col]
+    if part:
+        rows, columns = rows.withColumn(part[0], F.lit(part[1])), [day_col, part[0]]
+    below = f"/{part[0]}={part[1]}" if part else ""
+    patterns = [f"{path}/{day_col}=*{below}"] if part else [f"{path}/{day_col}={d}" for d in days]
+    held = [p for pattern in patterns for p in matching_paths(spark, pattern)]
+    rows = rows.hint("rebalance", F.col(day_col))
     if order:
-        days = days.sortWithinPartitions(day_col, *order)
-    days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(path)
+        rows = rows.sortWithinPartitions(day_col, *order)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
+    if held:
+        # One row per day of this load.
+        written = {f"{day_col}={r[0] or '__HIVE_DEFAULT_PARTITION__'}{below}" for r in df.select(F.to_date(ts_col)).distinct().collect()}
+        for old in held:
+            if not any(old.endswith(f"/{name}") for name in written):
+                delete_path(spark, old)
 
 
 def insert_ignore(target: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -43,21 +68,26 @@ def upsert_state(state: DataFrame, changes: DataFrame, key: str, version: str) -
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Overwrite a table that ``df`` may itself read from."""
+    """Overwrite a table that ``df`` may itself read from.
+
+    The new version is complete beside the table before the old one goes, and
+    takes its place by a rename. Should the process end between the two,
+    ``read_or_empty`` finds the new version under its own name.
+    """
     spark = df.sparkSession
-    staged = scratch_path(spark, "replace")
-    df.write.parquet(staged)
-    spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(path)
+    fresh = f"{path.rstrip('/')}.new"
+    delete_path(spark, fresh)
+    df.write.parquet(fresh)
+    delete_path(spark, path)
+    rename_path(spark, fresh, path)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table's rows, or none if it was never written."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    for place in (path, f"{path.rstrip('/')}.new"):
+        if matching_paths(spark, f"{place}/_SUCCESS") or (place == path and matching_paths(spark, f"{place}/*")):
+            return spark.read.schema(schema).parquet(place)
+    return spark.createDataFrame([], schema)
 
 
 def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, mode: str = "append") -> None:

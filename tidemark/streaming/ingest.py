@@ -37,16 +37,23 @@ def dedup_stream(
     return marked.dropDuplicates(sorted({*keys, ts}))
 
 
-def write_microbatch(path: str, cols: Sequence[str] = MESSAGE_COLUMNS) -> BatchSink:
-    """Batch sink: the message columns of complete rows, one folder per batch.
+def _query_id(df: DataFrame) -> str:
+    """Id of the running stream, which stays the same over restarts from its checkpoint."""
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
-    A batch that is run again after a failure replaces its own folder, so the
-    table holds every row once.
+
+def write_microbatch(path: str, cols: Sequence[str] = MESSAGE_COLUMNS, ts: str = "sent_dttm") -> BatchSink:
+    """Batch sink: the message columns of complete rows, by day and batch.
+
+    A batch is named by its stream and its number. Run again after a failure
+    it replaces its own folders, so the table holds every row once; a stream
+    with a new checkpoint has another name and replaces nothing.
     """
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        rows = drop_incomplete(batch.select(*cols), cols).withColumn("epoch_id", F.lit(epoch_id))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch_id").parquet(path)
+        rows = drop_incomplete(batch.select(*cols), cols)
+        rows = rows.withColumns({"day": F.to_date(ts), "batch": F.lit(f"{_query_id(batch)}-{epoch_id}")})
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(path)
 
     return write
 

@@ -228,16 +228,32 @@ def _known_loads(spark, sf):
 @query(
     "open_upload",
     sql("ledger", """
-    SELECT row_number() OVER (ORDER BY symbol_name, date) + (SELECT max(upload_id) FROM ledger WHERE uploaded) AS upload_id,
+    SELECT row_number() OVER (ORDER BY symbol_name, interval_name, date) + (SELECT max(upload_id) FROM ledger WHERE uploaded) AS upload_id,
            date, symbol_name, interval_name, cast(NULL AS boolean) AS uploaded
     FROM ledger l WHERE NOT EXISTS (
-        SELECT 1 FROM ledger k WHERE k.uploaded AND k.symbol_name = l.symbol_name AND k.date = l.date)"""),
+        SELECT 1 FROM ledger k WHERE k.uploaded AND k.symbol_name = l.symbol_name AND k.interval_name = l.interval_name
+        AND k.date = l.date)"""),
 )
 def open_upload(spark, sf):
     wanted = views.ledger(spark, sf).select("symbol_name", "interval_name", "date")
     return star.open_uploads(_known_loads(spark, sf), wanted)
 
 
+@query(
+    "open_upload_intervals",
+    sql("ledger", """
+    SELECT symbol_name, date, interval_name FROM (
+        SELECT symbol_name, date, unnest(['5min', '15min']) AS interval_name FROM ledger WHERE uploaded) l
+    WHERE NOT EXISTS (SELECT 1 FROM ledger k WHERE k.uploaded AND k.symbol_name = l.symbol_name
+        AND k.interval_name = l.interval_name AND k.date = l.date)"""),
+)
+def open_upload_intervals(spark, sf):
+    """Other intervals of a loaded symbol and day are loads of their own."""
+    known = _known_loads(spark, sf)
+    names = F.explode(F.array(F.lit("5min"), F.lit("15min"))).alias("interval_name")
+    return star.open_uploads(known, known.select("symbol_name", "date", names)).select("symbol_name", "date", "interval_name")
+
+
 @query(
     "stamp_uploads",
     sql("prices ledger", """
@@ -377,6 +393,43 @@ def scd4_rename(spark, sf):
     return star.scd4_rename(symbols, _history(spark, sf, symbols), renames)[1]
 
 
+_TWICE = """
+    SELECT symbol_id, symbol_name, symbol_valid_from,
+           CASE WHEN symbol_name < 'm' THEN TIMESTAMP '2024-06-01 00:00:00' END AS symbol_valid_to FROM hist
+    UNION ALL
+    SELECT symbol_id, symbol_name || '_b', TIMESTAMP '2024-06-01 00:00:00', TIMESTAMP '2024-07-01 00:00:00'
+    FROM symbols WHERE symbol_name < 'm'
+    UNION ALL
+    SELECT symbol_id, symbol_name || '_c', TIMESTAMP '2024-07-01 00:00:00', NULL FROM symbols WHERE symbol_name < 'm'"""
+
+
+def _renamed_twice(spark, sf):
+    symbols = _symbols(spark, sf)
+    old = symbols.filter(F.col("symbol_name") < "m").select(F.col("symbol_name").alias("old_name"))
+    steps = F.array(*[
+        F.struct(F.concat("old_name", F.lit(tail)).alias("new_name"), F.lit(at).cast("timestamp_ntz").alias("at"))
+        for tail, at in (("_c", "2024-07-01 00:00:00"), ("_b", "2024-06-01 00:00:00"))
+    ])
+    renames = old.select("old_name", F.explode(steps).alias("step")).select("old_name", "step.*")
+    return star.scd4_rename(symbols, _history(spark, sf, symbols), renames)
+
+
+@query("scd4_two_renames", sql("ledger", _TWICE, symbols=_SYMBOLS, hist=_HIST))
+def scd4_two_renames(spark, sf):
+    """Two renames of a symbol in a batch: the history follows their order."""
+    return _renamed_twice(spark, sf)[1]
+
+
+@query(
+    "scd4_two_renames_current",
+    sql("ledger", """
+    SELECT symbol_id, CASE WHEN symbol_name < 'm' THEN symbol_name || '_c' ELSE symbol_name END AS symbol_name
+    FROM symbols""", symbols=_SYMBOLS),
+)
+def scd4_two_renames_current(spark, sf):
+    return _renamed_twice(spark, sf)[0]
+
+
 @query(
     "scd4_current",
     sql("ledger", """

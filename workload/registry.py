@@ -89,9 +89,8 @@ def sheets_union_renamed(spark, sf):
     "act_counts",
     """SELECT 'act_' || c_nationkey || '.ods' AS file,
               count(*) FILTER (c_acctbal >= 0 AND c_mktsegment <> 'BUILDING') AS count_ok,
-              count(*) FILTER (c_acctbal < 0 AND c_mktsegment <> 'BUILDING') AS count_bad
-       FROM customer WHERE c_nationkey % 5 <> 0 GROUP BY c_nationkey
-       HAVING count(*) FILTER (c_acctbal >= 0) > 0 AND count(*) FILTER (c_acctbal < 0) > 0""",
+              count(*) FILTER (c_acctbal < 0 AND c_mktsegment <> 'BUILDING' AND c_nationkey % 7 <> 1) AS count_bad
+       FROM customer WHERE c_nationkey % 5 <> 0 GROUP BY c_nationkey""",
 )
 def act_counts(spark, sf):
     return reg.load_act_counts(views.act_sheets(spark, sf))
@@ -145,10 +144,21 @@ def map_class_array(spark, sf):
 
 @query("map_class_array_joined", _CLASS_LIST)
 def map_class_array_joined(spark, sf):
-    """The form for classifiers too large for a literal."""
-    return lookup.map_class_array(
-        _code_lists(spark, sf), "codes", views.classifier(spark, sf), ["p_partkey"], small_rows=0
-    )
+    """The same over rows without a key of their own."""
+    return lookup.map_class_arrays(_code_lists(spark, sf), {"codes": "codes"}, views.classifier(spark, sf))
+
+
+@query(
+    "map_class_array_null_code",
+    "SELECT p_partkey, 'null,' || CASE WHEN p_size % 2 = 0 THEN 'even' ELSE 'odd' END AS codes FROM part",
+)
+def map_class_array_null_code(spark, sf):
+    """A classifier row without code matches nothing, not the text "null"."""
+    sizes = table(spark, sf, "part").select((F.col("p_size") % 2).cast("string").alias("code")).distinct()
+    names = sizes.select("code", F.when(F.col("code") == "0", "even").otherwise("odd").alias("value"))
+    names = names.unionByName(names.limit(1).select(F.lit(None).cast("string").alias("code"), F.lit("ZZ").alias("value")))
+    codes = F.array(F.lit("null"), (F.col("p_size") % 2).cast("string")).alias("codes")
+    return lookup.map_class_array(table(spark, sf, "part").select("p_partkey", codes), "codes", names, ["p_partkey"])
 
 
 @query(
@@ -350,7 +360,21 @@ def json_path_wildcard(spark, sf):
 @query("json_path_recursive", "SELECT p_partkey, cast(p_partkey * 30 + 6 AS bigint) AS total, 3 AS found FROM part")
 def json_path_recursive(spark, sf):
     docs = _json_docs(spark, sf).select("p_partkey", doc.parse_document("text").alias("doc"))
-    numbers = F.transform(doc.json_find("doc", "@Number", 5), lambda v: F.try_variant_get(v, "$", "bigint"))
+    numbers = F.transform(doc.json_find("doc", "@Number"), lambda v: F.try_variant_get(v, "$", "bigint"))
+    found = docs.select("p_partkey", numbers.alias("n"))
+    total = F.aggregate("n", F.lit(0).cast("bigint"), lambda a, b: a + b)
+    return found.select("p_partkey", total.alias("total"), F.size("n").alias("found"))
+
+
+@query("json_path_recursive_deep", "SELECT p_partkey, cast(p_partkey * 45 AS bigint) AS total, 9 AS found FROM part")
+def json_path_recursive_deep(spark, sf):
+    """Nine levels, each with the member."""
+    text_ = F.lit("null")
+    for level in range(9, 0, -1):
+        number = (F.col("p_partkey") * level).cast("string")
+        text_ = F.concat(F.lit('{"@Number":'), number, F.lit(',"in":[{"x":'), text_, F.lit("}]}"))
+    docs = table(spark, sf, "part").select("p_partkey", doc.parse_document(text_).alias("doc"))
+    numbers = F.transform(doc.json_find("doc", "@Number"), lambda v: F.try_variant_get(v, "$", "bigint"))
     found = docs.select("p_partkey", numbers.alias("n"))
     total = F.aggregate("n", F.lit(0).cast("bigint"), lambda a, b: a + b)
     return found.select("p_partkey", total.alias("total"), F.size("n").alias("found"))
@@ -428,6 +452,26 @@ def cost_group_join(spark, sf):
     return plain(reg.result_parcels(src.cost_records(_cost_texts(spark, sf)), groups, members), 4)
 
 
+@query(
+    "decimal_repair_forms",
+    """SELECT o_orderkey, -cast(o_totalprice AS double) AS negative, round(cast(o_orderkey AS double) / 100000000, 8) AS eighth,
+              cast(o_orderkey AS double) * 10000000 AS exponent, cast(12345678901234567.5 AS double) AS wide FROM orders""",
+)
+def decimal_repair_forms(spark, sf):
+    """Signs, exponents, eight places and seventeen whole digits."""
+    key = F.col("o_orderkey")
+    return plain(
+        table(spark, sf, "orders").select(
+            "o_orderkey",
+            text.repair_decimal(F.concat(F.lit("итого -"), F.translate(F.col("o_totalprice").cast("decimal(15,2)").cast("string"), ".", ","))).alias("negative"),
+            text.repair_decimal((key / F.lit(100_000_000).cast("decimal(12,0)")).cast("decimal(20,8)").cast("string")).alias("eighth"),
+            text.repair_decimal(F.concat(key.cast("string"), F.lit("E7"))).alias("exponent"),
+            text.repair_decimal(F.lit("12345678901234567,5")).alias("wide"),
+        ),
+        8,
+    )
+
+
 @query(
     "decimal_repair",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice AS price, cast(NULL AS double) AS none FROM lineitem""",

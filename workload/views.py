@@ -255,9 +255,12 @@ def act_sheets(spark: SparkSession, sf: str) -> DataFrame:
     )
     first = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_custkey").cast("string"))
     data = people.select(
-        "file", "sheet", (F.col("c_custkey") + 10).cast("int").alias("row_no"), _cells(first, F.col("c_mktsegment")).alias("cells")
+        "file", "sheet", (F.col("c_custkey") + 10).cast("int").alias("row_no"), _cells(first, F.col("c_mktsegment")).alias("cells"),
+        "c_nationkey",
     )
-    sheets = people.select("file", "sheet", "c_nationkey").distinct()
+    # Both sheets of an act have a header; some refuse nobody.
+    data = data.filter((F.col("sheet") == "II") | (F.col("c_nationkey") % 7 != 1)).drop("c_nationkey")
+    sheets = people.select("file", "c_nationkey").distinct().withColumn("sheet", F.explode(F.array(F.lit("II"), F.lit("III"))))
     header = sheets.select("file", "sheet", F.lit(2).alias("row_no"), _cells("№", "segment").alias("cells"))
     preamble = sheets.filter(F.col("c_nationkey") % 5 != 0).select(
         "file", "sheet", F.lit(0).alias("row_no"), _cells("Act", None).alias("cells")
