@@ -38,18 +38,22 @@ def test_price_csv(spark, tmp_path):
 
 
 XML = """<?xml version="1.0" encoding="UTF-8"?>
-<ListForRating><ListInfo DateForm="2023-02-01"/>
+<ListForRating><ListInfo DateForm="2023-02-01" Quantity="3"/>
 <Objects>
  <Buildings>
   <Building CadastralNumber="05:01:1" DateCreated="2020-01-02">
    <Area>05.50</Area><Name>дом\tодин</Name>
    <ExploitationChar YearBuilt="1990"/>
-   <ParentOKS><ExploitationChar YearBuilt="1950" YearUsed="1951"/></ParentOKS>
-   <Material Wall="061"/>
+   <Location><Level1 Type="д" Value="4"/></Location>
+   <ParentOKS><ExploitationChar YearBuilt="1950" YearUsed="1951"/>
+    <ElementsConstruct><Material Wall="063"/></ElementsConstruct></ParentOKS>
+   <ElementsConstruct><Material Wall="061"/></ElementsConstruct>
   </Building>
-  <Building CadastralNumber="05:01:2"><Material Wall="061"/><Material Wall="062"/></Building>
+  <Building CadastralNumber="05:01:2"><ElementsConstruct><Material Wall="061"/><Material Wall="062"/></ElementsConstruct></Building>
  </Buildings>
- <Parcels><Parcel CadastralNumber="05:01:3"><Area><Area>7</Area></Area></Parcel></Parcels>
+ <Parcels><Parcel CadastralNumber="05:01:3"><Area><Area>7</Area></Area>
+  <Location><Address><FIAS>f</FIAS><OKATO>o</OKATO><KLADR>k</KLADR><Note>note</Note><Street Type="ул" Name="Новая"/>
+  <Level3 Type="стр" Value="7"/><Other>край</Other></Address></Location></Parcel></Parcels>
 </Objects></ListForRating>"""
 
 
@@ -72,7 +76,8 @@ def test_registry_documents(spark, registry_folder):
     assert [(r["kind"], r["@CadastralNumber"]) for r in objects] == [
         ("Building", "05:01:1"), ("Building", "05:01:2"), ("Parcel", "05:01:3")
     ]
-    assert objects[0]["Name"] == "домодин" and len(objects[0]["Material"]) == 1 and len(objects[1]["Material"]) == 2
+    assert objects[0]["Name"] == "домодин" and len(objects[1]["ElementsConstruct"]["Material"]) == 2
+    assert {r["name"]: r["options"] for r in docs.collect()}["a.xml"] == '{"@DateForm":"2023-02-01","@Quantity":3}'
 
 
 def test_registry_objects_one_by_one(spark, registry_folder):
@@ -91,7 +96,9 @@ def test_parse_objects(spark, registry_folder):
     assert (first["year_built"], first["year_used"]) == ("1990", None)
     assert (first["parent_year_built"], first["parent_year_used"]) == ("1950", "1951")
     assert (first["area"], third["area"]) == ("05.50", "7")
-    assert (first["wall"], second["wall"], third["wall"]) == ("stone", "stone,062", None)
+    assert (first["wall"], second["wall"], third["wall"]) == ("stone,063", "stone,062", None)
+    assert (first["address2"], third["address1"], third["address2"]) == ("д 4", "note", "ул Новая стр 7 край")
+    assert (third["fias"], third["okato"], third["kladr"]) == ("f", "o", "k")
 
 
 def test_result_files(spark, tmp_path):

@@ -22,7 +22,7 @@ from tidemark.sources.sheets import read_sheet_rows, sheet_headers
 ADDRESS_PARTS = [
     ("District", "@Name"), ("City", "@Name"), ("UrbanDistrict", "@Name"), ("SovietVillage", "@Name"),
     ("Locality", "@Name"), ("Street", "@Name"), ("Level1", "@Value"), ("Level2", "@Value"),
-    ("Level3", "@Name"), ("Apartment", "@Value"),
+    ("Level3", "@Value"), ("Apartment", "@Value"),
 ]
 # Fixed value: parts whose type and text are written without a blank between.
 JOINED_PARTS = {"Level2"}
@@ -118,14 +118,26 @@ EXPORT_NAMES = {
 }
 
 
+def _of_address(location: str, part: str) -> Column:
+    """Part of an address, which stands in the location or in an address inside it."""
+    return first_present(F.col(f"{location}.{part}"), F.col(f"{location}.Address.{part}"))
+
+
 def address_line(location: str, trim: bool = True) -> Column:
     """Types and names of all address parts on one line."""
     pieces: list[Column | str] = []
     for part, member in ADDRESS_PARTS:
-        box = F.col(f"{location}.{part}")
+        box = _of_address(location, part)
         gap = [] if part in JOINED_PARTS else [" "]
         pieces += [box["@Type"], *gap, box[member], " "]
-    return spaced_line([*pieces, F.col(f"{location}.`@Other`")], trim)
+    return spaced_line([*pieces, first_present(_of_address(location, "Other"), _of_address(location, "`@Other`"))], trim)
+
+
+def _walls(*lists: Column) -> Column:
+    """Wall codes of several lists of materials, in order; NULL where no list is present."""
+    none = F.array().cast("array<string>")
+    codes = [F.coalesce(F.transform(materials, lambda m: m["@Wall"]), none) for materials in lists]
+    return F.when(F.coalesce(*lists).isNotNull(), F.concat(*codes))
 
 
 def _quoted_list(values: Column) -> Column:
@@ -153,7 +165,7 @@ def parse_objects(objects: DataFrame, classifier: DataFrame, obj: str = "object"
     pairs = F.flatten(F.transform(at("KeyParameters"), lambda k: k["KeyParameter"]))
     parcels = objects.select(
         at("`@CadastralNumber`").alias("cad_num"),
-        at("Location.Note").alias("address1"),
+        _of_address(f"{obj}.Location", "Note").alias("address1"),
         address_line(f"{obj}.Location").alias("address2"),
         at("Category").alias("category"),
         at("CadastralBlock").alias("cad_num_quarter"),
@@ -181,10 +193,8 @@ def parse_objects(objects: DataFrame, classifier: DataFrame, obj: str = "object"
         at("ObjectType").alias("vid"),
         at("Name").alias("name"),
         first_present(at("Area.Area"), at("Area._VALUE")).alias("area"),
-        F.transform(at("Material"), lambda m: m["@Wall"]).alias("wall"),
-        at("Location.OKATO").alias("okato"),
-        at("Location.FIAS").alias("fias"),
-        at("Location.KLADR").alias("kladr"),
+        _walls(at("Material"), at("ElementsConstruct.Material"), at("ParentOKS.ElementsConstruct.Material")).alias("wall"),
+        *[_of_address(f"{obj}.Location", c.upper()).alias(c) for c in ("okato", "fias", "kladr")],
         at("DegreeReadiness").alias("percent"),
         at("ExploitationChar.`@YearBuilt`").alias("year_built"),
         at("ExploitationChar.`@YearUsed`").alias("year_used"),

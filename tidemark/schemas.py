@@ -76,13 +76,16 @@ PRICE_JSON_FIELDS = {
 
 _YEARS = texts("@YearBuilt", "@YearUsed")
 _NUMBERS = struct_of({"CadastralNumber": _TEXT_LIST})
-_LOCATION = struct_of(
+_ADDRESS = (
     dict.fromkeys(("FIAS", "OKATO", "KLADR", "Note", "Other", "@Other"), "string")
     | dict.fromkeys(
         ("District", "City", "UrbanDistrict", "SovietVillage", "Locality", "Street"), texts("@Type", "@Name")
     )
     | dict.fromkeys(("Level1", "Level2", "Level3", "Apartment"), texts("@Type", "@Value", "@Name"))
 )
+# Buildings hold their address in the location itself, plots one level deeper.
+_LOCATION = struct_of(_ADDRESS | {"Address": struct_of(_ADDRESS)})
+_MATERIALS = struct_of({"Material": T.ArrayType(texts("@Wall"))})
 
 REGISTRY_OBJECT = struct_of(
     {
@@ -101,6 +104,7 @@ REGISTRY_OBJECT = struct_of(
                 "ObjectType": "string",
                 "AssignationBuilding": "string",
                 "ExploitationChar": _YEARS,
+                "ElementsConstruct": _MATERIALS,
             }
         ),
         "ParentCadastralNumbers": _NUMBERS,
@@ -113,6 +117,7 @@ REGISTRY_OBJECT = struct_of(
         "Assignation": texts("AssignationCode"),
         "Area": texts("Area", "_VALUE"),
         "Material": T.ArrayType(texts("@Wall")),
+        "ElementsConstruct": _MATERIALS,
         "KeyParameters": T.ArrayType(struct_of({"KeyParameter": T.ArrayType(texts("@Type", "@Value"))})),
         "Floors": texts("@Floors"),
         "ExploitationChar": _YEARS,
@@ -133,7 +138,8 @@ REGISTRY_KINDS = {
 
 REGISTRY_DOCUMENT = T.StructType(
     [
-        T.StructField("ListInfo", texts("@DateForm")),
+        # The header is kept whole, whatever it holds.
+        T.StructField("ListInfo", T.VariantType()),
         T.StructField(
             "Objects",
             T.StructType(

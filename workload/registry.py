@@ -229,16 +229,17 @@ _XML_PARCELS = """
            p_name AS name, cast(p_retailprice AS varchar) AS area,
            concat_ws(',', coalesce(c.value, cast(p_size AS varchar)),
                      CASE WHEN p_size % 2 = 0 THEN coalesce(k.value, cast(p_partkey % 30 AS varchar)) END) AS wall,
-           'f-' || p_partkey AS fias, cast(1950 + p_size AS varchar) AS year_built,
+           'f-' || p_partkey AS fias, cast(NULL AS varchar) AS okato, cast(1950 + p_size AS varchar) AS year_built,
            cast(1951 + p_size AS varchar) AS year_used,
            {params}, DATE '2023-05-06' AS date_rosreestr_out, p_partkey AS request_file_id
     FROM part_lines p LEFT JOIN classifier c ON c.code = cast(p_size AS varchar)
     LEFT JOIN classifier k ON k.code = cast(p_partkey % 30 AS varchar)
     UNION ALL
-    SELECT '05:' || p_partkey || ':2', NULL, '', coalesce(c.value, cast(p_size AS varchar)), NULL, NULL,
+    SELECT '05:' || p_partkey || ':2', 'by ' || p_brand, concat_ws(' ', 'ул', p_type, 'стр', p_size, 'край'),
+           coalesce(c.value, cast(p_size AS varchar)), NULL, NULL,
            '05:' || p_partkey || ':1', cast(p_retailprice AS varchar), coalesce(k.value, cast(p_partkey % 30 AS varchar)),
-           '["' || p_type || '", "' || p_brand || '"]', p_type, NULL, NULL, NULL, cast(p_size AS varchar), NULL, NULL,
-           NULL, NULL, {nulls}, DATE '2023-05-06', p_partkey
+           '["' || p_type || '", "' || p_brand || '"]', p_type, NULL, NULL, NULL, cast(p_size AS varchar), NULL, 'g-' || p_partkey,
+           cast(p_size AS varchar), NULL, NULL, {nulls}, DATE '2023-05-06', p_partkey
     FROM part p LEFT JOIN classifier c ON c.code = cast(p_size AS varchar)
     LEFT JOIN classifier k ON k.code = cast(p_partkey % 30 AS varchar)""".format(
     params=", ".join(f"cast(k{int(code)} AS varchar) AS {name}" for code, name in KEY_PARAMETERS.items()),

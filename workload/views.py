@@ -318,17 +318,31 @@ def registry_texts(spark: SparkSession, sf: str) -> DataFrame:
             location,
             _tag("AssignationName", F.concat(F.lit(" "), size.cast("string"), F.lit(" "))),
             _tag("Area", text("p_retailprice")),
-            _tag("Material", F.lit(""), _attr("Wall", size)),
-            _tag("Material", F.lit(""), _attr("Wall", F.when(size % 2 == 0, key % 30))),
+            _tag(
+                "ElementsConstruct",
+                F.concat(
+                    _tag("Material", F.lit(""), _attr("Wall", size)),
+                    _tag("Material", F.lit(""), _attr("Wall", F.when(size % 2 == 0, key % 30))),
+                ),
+            ),
             _tag("KeyParameters", F.nullif(parameters, F.lit(""))),
             _tag("ExploitationChar", F.lit(""), _attr("YearBuilt", 1950 + size), _attr("YearUsed", 1951 + size)),
         ),
         _attr("CadastralNumber", F.concat_ws(":", F.lit("05"), key.cast("string"), F.lit("1"))),
         _attr("DateCreated", F.when(size == 13, "2020-02-31").otherwise("2020-02-03")),
     )
+    inner = F.concat(
+        _tag("FIAS", F.concat(F.lit("g-"), key.cast("string"))),
+        _tag("OKATO", size.cast("string")),
+        _tag("Note", F.concat(F.lit("by "), F.col("p_brand"))),
+        _tag("Street", F.lit(""), _attr("Type", F.lit("ул")), _attr("Name", F.col("p_type"))),
+        _tag("Level3", F.lit(""), _attr("Type", F.lit("стр")), _attr("Value", size)),
+        _tag("Other", F.lit("край")),
+    )
     plot = _tag(
         "Parcel",
         F.concat(
+            _tag("Location", _tag("Address", inner)),
             _tag("Category", size.cast("string")),
             _tag("Area", _tag("Area", size.cast("string"))),
             _tag("Utilization", F.lit(""), _attr("Utilization", key % 30), _attr("ByDoc", F.col("p_type"))),
