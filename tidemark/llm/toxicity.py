@@ -13,13 +13,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, fold, pick
+from tidemark.llm.common import Scratch, fold, pick, small_side
 
 # Word starts of these lengths are the features; a shorter word is one by itself.
 STARTS = (4, 5, 7)
 FEATURES = 4096
 LEAST_DOCS = 5
-# Labelled rows the weights are fitted on at most, the first ones by a hash of the id.
+# Labelled rows the weights are fitted on, as expected number: a share of all of them by a hash of the row.
 TRAIN_ROWS = 20_000
 RIDGE = 1e-5
 COUNTERFACTUAL = 1.0
@@ -185,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """A model learned from the labelled rows outside fold ``held_out`` of crc32(doc_id).
 
     Statistics that choose the features come from all of those rows; the
-    weights are fitted on at most ``TRAIN_ROWS`` of them. Only the text is an
+    weights are fitted on about ``TRAIN_ROWS`` of them at most. Only the text is an
     input. Ids labelled more than once count as toxic if one label says so;
     rows without label, id or fold are not learned from. Without labelled rows
     of both kinds the score is the share of toxic ones everywhere.
@@ -194,6 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     marks = pick(labels, mark_id=doc_id, toxic=label).where("mark_id IS NOT NULL AND toxic IN (0, 1)")
     marks = marks.where(fold("mark_id") != held_out).groupBy("mark_id").agg(F.max("toxic").alias("toxic"))
     rows = pick(docs, doc_id=doc_id, text=text)
+    marks = small_side(scratch.keep(marks, "marks"))
     rows = rows.join(marks, rows["doc_id"] == marks["mark_id"]).select("doc_id", "text", "toxic")
     rows = scratch.keep(rows, "labelled")
     n, t = rows.agg(F.count("*"), F.sum("toxic")).first()
@@ -220,7 +221,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                 ["present", "twin", "toxic"],
             )
 
-    sample = rows.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(TRAIN_ROWS).select("text", "toxic")
+    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)) < TRAIN_ROWS
+    sample = rows.where(share).select("text", "toxic")
     found = sample.mapInArrow(run, "present array<int>, twin array<int>, toxic int").toArrow()
     weights, bias = fit(*(found.column(c).to_pylist() for c in ("present", "toxic", "twin")), len(chosen))
     scratch.drop(rows)
