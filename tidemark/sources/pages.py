@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# The reader travels with the job, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def attribute_of(html: str | Column, tag: str, attr: str) -> Column:
+    """Quoted value of an attribute of the first such element that has it; NULL where none has."""
+    column = F.col(html) if isinstance(html, str) else html
+    found = F.regexp_extract_all(column, F.lit(rf'(?is)<{tag}\b[^>]*?\s{attr}\s*=\s*"([^"]*)"'), F.lit(1))
+    return F.try_element_at(found, F.lit(1))
+
+
 def links_of(html: str | Column, marker: str | None = None) -> Column:
     """Link targets of a page, all or only those of anchors that carry a marker."""
     column = F.col(html) if isinstance(html, str) else html

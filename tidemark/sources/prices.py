@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import local_to_utc
 from tidemark.schemas import PRICE, PRICE_JSON_FIELDS, PRICE_TEXT
+from tidemark.sinks.quarantine import copy_with_rejects
 
 ZONE = "US/Eastern"
 
@@ -21,6 +22,18 @@ def typed_bars(text_bars: DataFrame, zone: str = ZONE) -> DataFrame:
     )
 
 
+def checked_bars(text_bars: DataFrame, zone: str = ZONE) -> tuple[DataFrame, DataFrame]:
+    """Typed bars in UTC, and apart from them the rows with a cell that does not parse or without time."""
+    utc = F.date_format(local_to_utc("time", zone), "yyyy-MM-dd HH:mm:ss")
+    return copy_with_rejects(text_bars.withColumn("time", F.coalesce(utc, "time")), PRICE, ["time"])
+
+
+def read_checked_csv(spark: SparkSession, path: str, zone: str = ZONE) -> tuple[DataFrame, DataFrame]:
+    """Header CSV as typed bars, and the rows that are none with their reason."""
+    text = spark.read.csv(path, header=True, schema=PRICE_TEXT)
+    return checked_bars(text.withColumn("file", F.col("_metadata.file_path")), zone)
+
+
 def read_price_csv(spark: SparkSession, path: str, zone: str = ZONE) -> DataFrame:
     """Header CSV, every column read as text and then typed."""
     text = spark.read.csv(path, header=True, schema=PRICE_TEXT)

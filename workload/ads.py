@@ -36,9 +36,8 @@ def page_links(spark, sf):
 
 @query("page_language", """SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang FROM pages""")
 def page_language(spark, sf):
-    fields = {"lang": pages.Field("html", "lang", take="lang")}
-    found = table(spark, sf, "pages").select("page_id", pages.fields_of("html", fields).alias("f"))
-    return found.select("page_id", F.coalesce("f.lang", F.lit("")).alias("lang"))
+    lang = pages.attribute_of("html", "html", "lang")
+    return table(spark, sf, "pages").select("page_id", F.coalesce(lang, F.lit("")).alias("lang"))
 
 
 @query(

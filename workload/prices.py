@@ -9,10 +9,10 @@ from tidemark.functions.temporal import local_to_utc
 from tidemark.operators import aggregates as agg
 from tidemark.operators.filters import align_schema
 from tidemark.operators.paging import sorted_by
-from tidemark.plans import marts, quality, star
-from tidemark.scale import cut_lineage
+from tidemark.plans import daily, marts, quality, star
+from tidemark.scale import cut_lineage, scratch_path
 from tidemark.schemas import PRICE, struct_of
-from tidemark.sources.prices import bars_from_json, typed_bars
+from tidemark.sources.prices import bars_from_json, read_checked_csv, typed_bars
 from workload import views
 from workload.base import Registry, plain
 from workload.views import sql
@@ -175,6 +175,61 @@ def price_csv_typed(spark, sf):
     return plain(bars.withColumn("time", F.col("time").cast("timestamp_ntz")))
 
 
+def _bar_files(spark, sf):
+    """The bars as CSV files; volumes of 1 and the times of one symbol hold no value of their kind."""
+    path = scratch_path(spark, "bars-csv")
+    text = _bar_text(spark, sf)
+    text = text.select(
+        F.when(F.col("symbol") == "click", F.lit("bad")).otherwise(F.col("time")).alias("time"), "open", "high", "low", "close",
+        F.when(F.col("volume") == "1", F.lit("x")).otherwise(F.col("volume")).alias("volume"),
+    )
+    text.write.csv(path, header=True)
+    return read_checked_csv(spark, path)
+
+
+_GOOD = "symbol <> 'click' AND volume <> 1"
+
+
+@query(
+    "price_csv_files",
+    sql("prices", f"SELECT timezone('UTC', timezone('US/Eastern', time)) AS time, cast(open AS double) AS open, cast(volume AS bigint) AS volume FROM prices WHERE {_GOOD}"),
+)
+def price_csv_files(spark, sf):
+    """Bars written out as CSV and read again: what is typed."""
+    good = _bar_files(spark, sf)[0].select(F.col("time").cast("timestamp_ntz").alias("time"), "open", "volume")
+    return plain(good)
+
+
+@query(
+    "price_csv_rejects",
+    sql("prices", f"SELECT volume = 1 AS bad_volume, symbol = 'click' AS bad_time, count(*) AS rows FROM prices WHERE NOT ({_GOOD}) GROUP BY 1, 2"),
+)
+def price_csv_rejects(spark, sf):
+    """The same files: what is refused, with its reason."""
+    bad = _bar_files(spark, sf)[1]
+    marks = [F.contains("reject_reason", F.lit(c)).alias(f"bad_{c}") for c in ("volume", "time")]
+    return bad.groupBy(*marks).agg(F.count("*").alias("rows"))
+
+
+@query(
+    "price_load",
+    sql("prices", _CHANGE.format(last="close", vol="max_vol_time", times="""
+           arg_max(time, {'v': high, 't': -epoch_us(time)}) AS max_price_time,
+           arg_min(time, {'v': low, 't': epoch_us(time)}) AS min_price_time,""")),
+)
+def price_load(spark, sf):
+    """The whole load, in two halves and the first one again, through ledger and star to the mart."""
+    root = scratch_path(spark, "price-load")
+    bars = views.prices(spark, sf)
+    half = F.dayofmonth("time") % 2 == 0
+    for part in (bars.filter(half), bars.filter(~half), bars.filter(half)):
+        daily.load_prices(spark, part, "5min", root)
+    mart = daily.price_mart(spark, root)
+    times = [c for c in mart.columns if c.endswith("_time")]
+    mart = mart.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
+    return plain(mart.withColumn("change_per", F.round(F.col("change_per").cast("double"), 6)))
+
+
 @query("price_json_bars", sql("prices", _TYPED))
 def price_json_bars(spark, sf):
     """A price document per bar time and symbol, exploded by its time key."""

@@ -12,7 +12,7 @@ from tidemark.operators import joins, lines, sets
 from tidemark.operators.paging import renumber
 from tidemark.plans import registry as reg
 from tidemark.schemas import KEY_PARAMETERS, PARCEL_COLUMNS
-from tidemark.scale import spread
+from tidemark.scale import scratch_path, spread
 from tidemark.sinks import write
 from tidemark.sources import files, sheets
 from tidemark.sources import registry as src
@@ -555,8 +555,10 @@ def link_code_by_response(spark, sf):
 )
 def join_on_derived_date(spark, sf):
     wanted = temporal.date_from_name("response_name", "response_date")
-    found = joins.join_on_derived_date(_responses(spark, sf), _requests(spark, sf), wanted, "request_date")
-    return found.groupBy("response_id").agg(F.count("request_id").alias("same_day"))
+    # One row per date before the join: pairs of a date are counted, never made.
+    per_day = _requests(spark, sf).groupBy("request_date").agg(F.count("request_id").alias("same_day"))
+    found = joins.join_on_derived_date(_responses(spark, sf), per_day, wanted, "request_date")
+    return found.select("response_id", F.coalesce("same_day", F.lit(0)).alias("same_day"))
 
 
 @query(
@@ -984,8 +986,10 @@ def assemble_link(spark, sf):
     """SELECT rtrim(term) AS term FROM (SELECT unnest(string_split(text, chr(10))) AS term FROM benchmark) WHERE rtrim(term) <> ''""",
 )
 def line_list(spark, sf):
-    terms = table(spark, sf, "benchmark").select(F.explode(F.split("text", "\n")).alias("term"))
-    return terms.select(F.rtrim("term").alias("term")).filter("term <> ''")
+    """The texts written out as files of lines first."""
+    path = scratch_path(spark, "line-list")
+    table(spark, sf, "benchmark").select("text").write.text(path)
+    return files.read_line_list(spark, path)
 
 
 @query(

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import temporal
 from tidemark.operators import aggregates as agg
 from tidemark.operators import filters as flt
 from tidemark.operators import joins, paging, sets
-from tidemark.plans import marts, staging, state, vault
+from tidemark.plans import daily, marts, staging, state, vault
 from tidemark.scale import cut_lineage, scratch_path
 from tidemark.schemas import CURRENCY, MESSAGE_COLUMNS, TRANSACTION
 from tidemark.sinks import write
@@ -657,6 +659,63 @@ def _state(spark, sf):
     return marks.select(F.lit("orders").alias(state.KEY), F.to_json(F.struct("last_loaded")).alias(state.SETTINGS))
 
 
+@query(
+    "vault_day",
+    sql("tx", """
+    SELECT 'h_transactions' AS name, count(DISTINCT operation_id) AS rows FROM d
+    UNION ALL SELECT 'h_accounts', count(DISTINCT a) FROM (SELECT account_number_from AS a FROM d UNION SELECT account_number_to FROM d)
+    UNION ALL SELECT 'h_countries', count(DISTINCT country) FROM d
+    UNION ALL SELECT 'l_transaction_account', count(DISTINCT (operation_id, account_number_from, account_number_to)) FROM d
+    UNION ALL SELECT 'l_transaction_country', count(DISTINCT (operation_id, country)) FROM d
+    UNION ALL SELECT 'l_transaction_currency', count(DISTINCT (operation_id, currency_code)) FROM d
+    UNION ALL SELECT 's_transaction_status', count(DISTINCT (operation_id, transaction_dt, status)) FROM d""",
+        d="""SELECT * FROM tx WHERE transaction_dt::date IN
+             ((SELECT min(transaction_dt)::date FROM tx), (SELECT max(transaction_dt)::date FROM tx))"""),
+)
+def vault_day(spark, sf):
+    """The whole vault load of the first and the last day, each run twice."""
+    root, tx = scratch_path(spark, "vault-day"), views.tx(spark, sf)
+    days = tx.agg(F.to_date(F.min("transaction_dt")), F.to_date(F.max("transaction_dt"))).first()
+    for day in (days[0], days[1], days[1]):
+        daily.load_vault_day(spark, tx, views.rates(spark, sf), root, day)
+    names = ["h_transactions", "h_accounts", "h_countries", "l_transaction_account", "l_transaction_country",
+             "l_transaction_currency", "s_transaction_status"]
+    return sets.union_tagged({n: spark.read.parquet(f"{root}/{n}").agg(F.count("*").alias("rows")) for n in names}, "name")
+
+
+@query("exists_probe", "SELECT o_orderstatus, bool_or(o_totalprice > 400000) AS found FROM orders GROUP BY 1")
+def exists_probe(spark, sf):
+    orders = table(spark, sf, "orders")
+    kinds = [r[0] for r in orders.select("o_orderstatus").distinct().collect()]
+    rows = [(k, paging.exists(orders, (F.col("o_orderstatus") == k) & (F.col("o_totalprice") > 400_000))) for k in kinds]
+    return spark.createDataFrame(rows, "o_orderstatus string, found boolean")
+
+
+@query("after_mark", "SELECT * FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) FROM orders WHERE o_orderstatus = 'F')")
+def after_mark(spark, sf):
+    orders = table(spark, sf, "orders")
+    mark = orders.filter(F.col("o_orderstatus") == "F").agg(F.max("o_orderkey")).first()[0]
+    return flt.after_mark(orders, "o_orderkey", mark)
+
+
+@query("cluster_within", "SELECT o_orderstatus, count(*) AS rows FROM orders GROUP BY 1")
+def cluster_within(spark, sf):
+    """Orders stored in date order inside each file; rows out of order would be dropped by the count."""
+    path = scratch_path(spark, "clustered")
+    paging.cluster_within(table(spark, sf, "orders"), ["o_orderdate", "o_orderkey"]).write.parquet(path)
+    stored = spark.read.parquet(path).withColumn("_at", F.monotonically_increasing_id())
+    in_file = Window.partitionBy(F.input_file_name()).orderBy("_at")
+    before = F.lag(F.struct("o_orderdate", "o_orderkey")).over(in_file)
+    ordered = stored.withColumn("_before", before).filter(F.col("_before").isNull() | (F.col("_before") <= F.struct("o_orderdate", "o_orderkey")))
+    return ordered.groupBy("o_orderstatus").agg(F.count("*").alias("rows"))
+
+
+@query("run_time", "SELECT c_custkey, TIMESTAMP '2024-03-01 05:06:07' AS load_dt FROM customer")
+def run_time(spark, sf):
+    stamped = table(spark, sf, "customer").select("c_custkey", temporal.run_ts("2024-03-01 05:06:07").alias("load_dt"))
+    return stamped.withColumn("load_dt", F.col("load_dt").cast("timestamp_ntz"))
+
+
 @query("incremental_load", "SELECT * FROM orders WHERE o_orderkey > (SELECT count(*) FROM customer)")
 def incremental_load(spark, sf):
     return state.incremental_load(table(spark, sf, "orders"), _state(spark, sf), "orders", "o_orderkey")[0]
