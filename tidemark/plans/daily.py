@@ -16,14 +16,16 @@ from tidemark.operators.filters import align_schema, day_slice
 from tidemark.operators.sets import union_roles
 from tidemark.plans import marts, star, vault
 from tidemark.plans.staging import stage_messages
-from tidemark.scale import cut_lineage
+from tidemark.scale import delete_path, scratch_path
 from tidemark.schemas import LEDGER, STAR, VAULT
 from tidemark.sinks.write import append_partition, read_or_empty, replace_table
 
 
 def stage_day(spark: SparkSession, messages: DataFrame, root: str, day: dt.date | str) -> None:
     """Messages of a day to typed staging tables, rejects and misfits beside them."""
-    today = cut_lineage(day_slice(messages, "sent_dttm", day), "messages")
+    path = scratch_path(spark, "messages")
+    day_slice(messages, "sent_dttm", day).write.parquet(path)
+    today = spark.read.parquet(path)
     for object_type, table, ts in (
         ("TRANSACTION", "transactions", "transaction_dt"),
         ("CURRENCY", "currencies", "date_update"),
@@ -33,6 +35,7 @@ def stage_day(spark: SparkSession, messages: DataFrame, root: str, day: dt.date
         append_partition(good, f"{root}/{table}", ts, order=[ts], part=("sent_day", str(day)))
         append_partition(bad, f"{root}/{table}_rej", "sent_dttm", days=[day])
         append_partition(misfits, f"{root}/{table}_misfit", "sent_dttm", days=[day])
+    delete_path(spark, path)
 
 
 class _Tables:

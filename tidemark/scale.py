@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from decimal import Decimal
@@ -16,7 +18,8 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a folder of its own.
+    Only a local session without the setting gets a folder of its own, which
+    goes with the process.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -25,7 +28,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.applicationId not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+        _LOCAL_FOLDERS[context.applicationId] = folder = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return _LOCAL_FOLDERS[context.applicationId]
 
 
