@@ -258,3 +258,10 @@ def test_bucketed_hub_joins_without_shuffle(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
         for name in ("left_hub", "right_hub"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_arg_max_of_any_type(spark):
+    rows = [("a", dt.datetime(2024, 1, 2), 5), ("a", dt.datetime(2024, 1, 1), 5), ("a", dt.datetime(2024, 1, 3), 4), ("b", None, None)]
+    df = spark.createDataFrame(rows, "s string, time timestamp, volume int")
+    got = {r["s"]: r["arg_max"] for r in agg.arg_max(df, ["s"], "time", "volume").collect()}
+    assert got == {"a": dt.datetime(2024, 1, 1)}

@@ -336,3 +336,47 @@ def test_partition_writer_spreads_a_large_day(spark, tmp_path):
         spark.conf.set(size, before)
     assert len(list((tmp_path / "t" / "day=2024-01-01").glob("*.parquet"))) > 1
     assert spark.read.parquet(str(tmp_path / "t")).count() == 200_000
+
+
+def test_partition_writer_replaces_days_without_rows_and_its_own_part(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, D1), (2, D2)], "id int, ts timestamp")
+    append_partition(rows, path, "ts", part=("sent_day", "2024-01-02"))
+    append_partition(rows.filter("id = 1"), path, "ts", part=("sent_day", "2024-01-03"))
+    # What was sent on the 2nd is sent again, without its row of the 1st.
+    append_partition(rows.filter("id = 2"), path, "ts", part=("sent_day", "2024-01-02"))
+    assert sorted((r["id"], str(r["sent_day"])) for r in spark.read.parquet(path).collect()) == [(1, "2024-01-03"), (2, "2024-01-02")]
+    plain = str(tmp_path / "p")
+    append_partition(rows, plain, "ts")
+    append_partition(rows.filter("false"), plain, "ts", days=["2024-01-01", "2024-02-02"])
+    assert [r["id"] for r in spark.read.parquet(plain).collect()] == [2]
+
+
+def test_links_and_satellites_join_no_hub(spark):
+    tx = spark.createDataFrame(tx_rows(), TRANSACTION)
+    hub = vault.load_hub(None, tx, "operation_id", now(), "src")
+    accounts = vault.load_hub(None, tx, "account_number", now(), "src", roles=["account_number_from", "account_number_to"])
+    refs = [
+        vault.Ref(hub, "operation_id", "operation_id", "hk_transaction"),
+        vault.Ref(accounts, "account_number", "account_number_from", "hk_account_from"),
+    ]
+    links = vault.load_link(None, tx, refs, now(), "src")
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    # Keys are those of the hubs; loading in two cuts gives the same links.
+    assert {r["hk_transaction"] for r in links.collect()} == {r["hk"] for r in hub.collect()}
+    part = vault.load_link(None, tx.filter("account_number_from = 1"), refs, now(), "src")
+    rest = vault.load_link(part, tx, refs, now(), "src")
+    assert {tuple(r) for r in part.union(rest).collect()} == {tuple(r) for r in links.collect()}
+    missing = vault.load_link(None, tx, [vault.Ref(hub.filter("operation_id <> 'op1'"), *("operation_id",) * 2, "hk_transaction")], now(), "src", checked=True)
+    assert missing.count() == links.select("hk_transaction").distinct().count() - 1
+
+
+def test_uploads_of_other_intervals_are_loads_of_their_own(spark, tmp_path):
+    bars = spark.createDataFrame([("A", D1, "1.0", "2.0", "0.5", "1.5", 7)], "symbol string, time timestamp, open string, high string, low string, close string, volume bigint")
+    bars = bars.select("symbol", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in PRICE])
+    for interval in ("5min", "15min", "5min"):
+        daily.load_prices(spark, bars, interval, str(tmp_path))
+    ledger = spark.read.parquet(str(tmp_path / "ledger")).collect()
+    assert sorted(r["interval_name"] for r in ledger) == ["15min", "5min"] and all(r["uploaded"] for r in ledger)
+    assert spark.read.parquet(str(tmp_path / "f_price")).count() == 2

@@ -89,7 +89,7 @@ def load_link(
     outs = [ref.out for ref in refs]
     resolved = resolve(src.select(*columns).distinct(), refs, checked).select(hash_key(*outs).alias("hk"), *outs)
     if target is not None:
-        resolved = only_new(resolved, target, outs)
+        resolved = only_new(resolved, target, outs).select("hk", *outs)
     return _audited(resolved, run_ts, load_src)
 
 
