@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -16,14 +15,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import attention
 from tidemark.llm.common import Scratch, fold, pick, worker_state
+from tidemark.llm.token_files import ByteBpe
 
 HELD_OUT = 1
-CHUNK_WORDS = 1 << 21
+CHUNK_WORDS = 1 << 22
 BLOCK_WORDS = 1 << 17
 BATCH_WINDOWS = 2048
 # A training window is cut from every text, and one more from each so many words of it.
 WORDS_PER_SAMPLE = 1024
-SAMPLE_WORDS = 2 * attention.WINDOW
+SAMPLE_WORDS = 12
 # Subwords with an input vector of their own, the most frequent ones; all others share that of their class.
 OWN_VECTORS = 2048
 # Classes of subwords that start a word and of those inside words, found by the company they keep.
@@ -46,22 +46,19 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 class Subwords:
-    """Subword ids of a word with the space before it, by the model of a byte-level BPE file."""
+    """Subword ids of a word with the space before it, by a byte-level BPE file."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        self._bpe = ByteBpe(path)
+        self.size = self._bpe.tokenizer.get_vocab_size()
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self.size = self._tokenizer.get_vocab_size()
-
-    def ids(self, words: list[bytes]) -> list[list[int]]:
-        texts = [" " + w.decode("utf-8", "replace") for w in words]
-        return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def ids(self, words: list[bytes]) -> list[bytes]:
+        """Little-endian 32-bit ids of each word."""
+        return [self._bpe.unit(w.decode("utf-8", "replace")) for w in words]
 
     def leads(self) -> np.ndarray:
         """Which ids start a word."""
-        return np.array([(self._tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(self.size)])
+        return np.array([(self._bpe.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(self.size)])
 
 
 class _Numbers(dict):
@@ -90,18 +87,15 @@ def _chunks(path: str):
         ])
         subwords = worker_state(f"subwords:{path}", lambda: Subwords(path))
         base, made = TaskContext.get().partitionId() << 24, 0
-        numbers, held = _Numbers(), []
-        size = 0
+        numbers, held, cuts, size = _Numbers(), [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal numbers, held, size, made
+            nonlocal numbers, held, cuts, size, made
             chunk, made = base + made, made + 1
-            number = numbers.__getitem__
-            arrays = [np.fromiter(map(number, ws), np.int64, len(ws)) for _, _, _, ws in held]
-            end = number(END)
+            end = numbers[END]
             n = len(numbers)
             used, train = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            for (_, _, learn, _), a in zip(held, arrays, strict=True):
+            for _, _, learn, a in held:
                 counts = np.bincount(a, minlength=n)
                 counts[end] += 1
                 used += counts
@@ -113,22 +107,25 @@ def _chunks(path: str):
             rank[order] = np.arange(n)
             rows = [
                 {"part": "text", "chunk": chunk, "doc_id": i, "held_out": out, "words": _pack(rank[np.append(a, end)])}
-                for (i, out, _, _), a in zip(held, arrays, strict=True)
+                for i, out, _, a in held
             ]
             names = list(numbers)
             for at in range(0, n, 8192):
                 some = order[at : at + 8192]
                 rows.append({"part": "vocabulary", "chunk": chunk, "first": at, "vocabulary": [names[i] for i in some], "train": train[some].tolist()})
-            for data in _samples(held, subwords):
+            for data in _windows(cuts, subwords):
                 rows.append({"part": "window", "chunk": chunk, "window": data})
             for at in range(0, len(rows), 512):
                 yield pa.RecordBatch.from_pylist(rows[at : at + 512], schema)
-            numbers, held, size = _Numbers(), [], 0
+            numbers, held, cuts, size = _Numbers(), [], [], 0
 
         for batch in batches:
             for i, text, rest in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 words = tokens(text.as_py())
-                held.append((i, rest == HELD_OUT, rest is not None and rest != HELD_OUT, words))
+                learn = rest is not None and rest != HELD_OUT
+                held.append((i, rest == HELD_OUT, learn, np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))))
+                if learn:
+                    cuts += _cuts(i, words)
                 size += len(words) + 1
                 if size >= CHUNK_WORDS:
                     yield from flush()
@@ -138,28 +135,22 @@ def _chunks(path: str):
     return run
 
 
-def _samples(held: list[tuple], subwords: Subwords) -> Iterator[bytes]:
-    """WINDOW + 1 ids of training texts, -1 before the first and -2 after the last subword of a text."""
-    cuts = []
-    for i, _, learn, words in held:
-        if learn:
-            for n in range(1 + len(words) // WORDS_PER_SAMPLE):
-                at = zlib.crc32(f"{i}:{n}".encode()) % (len(words) + 1) if n else 0
-                cuts.append((at == 0, words[at : at + SAMPLE_WORDS], at + SAMPLE_WORDS >= len(words)))
-    for at in range(0, len(cuts), 256):
-        part = cuts[at : at + 256]
-        flat = subwords.ids([w for _, ws, _ in part for w in ws])
-        k = 0
-        for opens, ws, closes in part:
-            ids = [-1] if opens else []
-            for piece in flat[k : k + len(ws)]:
-                ids += piece
-            k += len(ws)
-            if closes:
-                ids.append(-2)
-            ids = ids[: attention.WINDOW + 1]
-            if len(ids) > 1:
-                yield np.array(ids, "<i4").tobytes()
+def _cuts(doc_id: int, words: list[bytes]) -> list[tuple[bool, list[bytes], bool]]:
+    """Parts of a training text: whether it opens the text, words, whether it ends the text."""
+    found = []
+    for n in range(1 + len(words) // WORDS_PER_SAMPLE):
+        at = zlib.crc32(f"{doc_id}:{n}".encode()) % (len(words) + 1) if n else 0
+        found.append((at == 0, words[at : at + SAMPLE_WORDS], at + SAMPLE_WORDS >= len(words)))
+    return found
+
+
+def _windows(cuts: list[tuple], subwords: Subwords) -> Iterator[bytes]:
+    """At most WINDOW + 1 ids per part, -1 before the first and -2 after the last subword of a text."""
+    for opens, words, closes in cuts:
+        ids = np.frombuffer(b"".join(subwords.ids(words)), "<i4")
+        ids = np.concatenate([[-1] * opens, ids, [-2] * closes])[: attention.WINDOW + 1]
+        if len(ids) > 1:
+            yield ids.astype("<i4").tobytes()
 
 
 @dataclass
@@ -279,18 +270,20 @@ def _log_probabilities(model: Model, stream: np.ndarray, starts: np.ndarray) ->
     rows = model.inputs[np.concatenate([[model.end], stream[:-1]])]
     rows[starts[:-1]] = model.rows - 1
     classes = model.classes[stream]
+    sums = np.ones((model.class_count, 2), np.float32)
+    sums[model.boundary :, 1] = 0
     place, fresh = attention.windows(starts)
     for at in range(0, len(place), BATCH_WINDOWS):
         spots, scored = place[at : at + BATCH_WINDOWS], fresh[at : at + BATCH_WINDOWS]
         scores, _ = attention.forward(model.params, rows[spots])
         scores = scores[scored]
         where = spots[scored]
-        scores -= scores.max(axis=1, keepdims=True)
+        np.clip(scores, -attention.LARGEST, attention.LARGEST, out=scores)
         picked = scores[np.arange(len(where)), classes[where]]
-        np.exp(scores, out=scores)
-        total = scores.sum(axis=1)
+        # Sums of all classes and of those that open a word, as one product.
+        total, opening = (np.exp(scores, out=scores) @ sums).T
         chance[where] = picked - np.log(total)
-        opens[where] = np.log(scores[:, : model.boundary].sum(axis=1) / total)
+        opens[where] = np.log(opening / total)
     return chance.astype(float), opens.astype(float)
 
 
@@ -385,8 +378,7 @@ def score_texts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: s
         end = np.array([subwords.size], "<u4").tobytes()
         for batch in batches:
             words = batch.column(0).to_pylist()
-            ids = subwords.ids(words)
-            packed = [np.array(i, "<u4").tobytes() if w else end for w, i in zip(words, ids, strict=True)]
+            packed = [i if w else end for w, i in zip(words, subwords.ids(words), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(packed, pa.binary())], ["word", "c", "pieces"])
 
     totals = entries.groupBy("word").agg(F.sum("n").alias("c")).mapInArrow(with_pieces, "word binary, c long, pieces binary")
