@@ -27,9 +27,9 @@ def plain_ids(texts):
 
 def test_units_encode_like_whole_texts():
     rng = np.random.default_rng(0)
-    parts = [" ", "  ", "\n", "\t", "a", "B", "'s", "9", ".", "é", "\x1c", " ", "the", "<|endoftext|>"]
+    parts = [" ", " ", "  ", "\n", "word", "Straße", "naïve", ",", "!?", "ǅ", "ŉ", "ⅷ", "ª", "\t", "a", "B", "'s", "9", ".", "é", "\x1c", " ", "the", "<|endoftext|>"]
     texts = TEXTS + ["".join(rng.choice(parts, int(rng.integers(1, 12)))) for _ in range(3000)]
-    got = [np.frombuffer(b, "<u4").tolist() for b in tf.byte_bpe(PATH)(texts)]
+    got = [np.frombuffer(b, "<u4").tolist() for b in tf.ByteBpe(PATH)(texts)]
     assert got == plain_ids(texts)
 
 

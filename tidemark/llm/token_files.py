@@ -13,6 +13,8 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,11 +27,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch, pick, worker_state
-from tidemark.llm.units import UnitCache, runs
+from tidemark.llm.units import UnitTable, runs
 
 END_ID = 0
 FRAME_BYTES = 1 << 18
-LEVEL = 3
+LEVEL = 1
 TEXT_BYTES = 4 << 20
 
 # Fixed values of the seekable zstandard format, and of the index frame here.
@@ -43,45 +45,78 @@ _INDEX = np.dtype([("doc_id", "<i8"), ("missing", "<i8"), ("start", "<i8"), ("le
 _UNSAFE = re.compile(r"\s\s\s|\s\s\Z")
 
 
-def byte_bpe(path: str):
-    """texts -> bytes of their ids, for a byte-level BPE file of the tokenizers library.
+# Words in Latin letters with marks after them, also with one line break inside: pre-tokens that are plain to see.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_MARKS = ".,;:!?"
+_PLAIN = re.compile(rf"([{_LATIN}]+)([{_MARKS}]*)(?:(\n)([{_LATIN}]+)([{_MARKS}]*))?")
+
+
+class ByteBpe:
+    """Encodes by a byte-level BPE file of the tokenizers library; ids come as little-endian 32-bit bytes.
 
     The pre-tokenizer starts a token at a space between other characters, so
     ``" " + word`` encodes alike everywhere and is remembered. A text with
     longer runs of white space, or with the text of an added token, is
-    encoded whole.
+    encoded whole. Words whose pre-tokens are plain to see go to the model of
+    the tokenizer directly, all others through the whole of it.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-
-    def ids(texts: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def unit_ids(units: list[str]) -> list[bytes]:
-        return [x for part in runs(units, len, 1 << 20) for x in ids(part)]
-
-    cache = UnitCache(unit_ids)
-
-    def encode(texts: list[str]) -> list[bytes]:
-        unit_lists, whole = [], {}
-        for i, text in enumerate(texts):
-            if _UNSAFE.search(text) or any(a in text for a in added):
-                whole[i] = text
-                unit_lists.append([])
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self._model = self.tokenizer.model
+        self._added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._space, self._letters = self._spelled(" "), UnitTable(self._spelled)
+        self._marks = UnitTable(lambda text: self._ids(self._spelled(text)))
+        self._inner, self._leading = UnitTable(self.unit), UnitTable(lambda text: self.unit(text, ""))
+
+    def _spelled(self, text: str) -> str:
+        return self._as_bytes.pre_tokenize_str(text)[0][0]
+
+    def _ids(self, spelling: str) -> bytes:
+        ids = array("I", [t.id for t in self._model.tokenize(spelling)])
+        if sys.byteorder != "little":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def _word(self, text: str) -> bytes:
+        if text.isascii():
+            return self._ids(text.replace(" ", self._space))
+        return self._ids("".join(map(self._letters.__getitem__, text)))
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def unit(self, text: str, lead: str = " ") -> bytes:
+        """Ids of a text between two spaces, with the first of them unless ``lead`` is empty."""
+        core = text.rstrip(_MARKS)
+        if core.isascii() and core.isalpha():
+            ids = self._ids(self._space + core if lead else core)
+            return ids + self._marks[text[len(core) :]] if len(core) < len(text) else ids
+        plain = _PLAIN.fullmatch(text)
+        if not plain:
+            return self.whole(lead + text)
+        first, after, line, second, end = plain.groups()
+        ids = self._word(lead + first)
+        if after:
+            ids += self._marks[after]
+        if line:
+            ids += self._marks[line] + self._word(second) + (self._marks[end] if end else b"")
+        return ids
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        inner, leading, found = self._inner.__getitem__, self._leading, []
+        for text in texts:
+            if _UNSAFE.search(text) or any(a in text for a in self._added):
+                found.append(self.whole(text))
             else:
                 first, *others = text.split(" ")
-                unit_lists.append([first, *[" " + o for o in others]])
-        found = [b"".join(x) for x in cache(unit_lists)]
-        for i, encoded in zip(whole, ids(list(whole.values())), strict=True):
-            found[i] = encoded
+                found.append(leading[first] + b"".join(map(inner, others)))
         return found
 
-    return encode
-
 
 def place(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
@@ -211,7 +246,7 @@ def write_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encode = worker_state(f"byte_bpe:{tokenizer}", lambda: byte_bpe(tokenizer))
+        encode = worker_state(f"byte_bpe:{tokenizer}", lambda: ByteBpe(tokenizer))
         end = np.array([end_id], "<u4").tobytes()
 
         def documents() -> Iterator[tuple[int | None, bytes]]:
