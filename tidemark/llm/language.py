@@ -94,13 +94,13 @@ def _chunks(path: str):
             chunk, made = base + made, made + 1
             end = numbers[END]
             n = len(numbers)
-            used, train = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            for _, _, learn, a in held:
-                counts = np.bincount(a, minlength=n)
-                counts[end] += 1
-                used += counts
-                if learn:
-                    train += counts
+
+            def counted(texts: list[np.ndarray]) -> np.ndarray:
+                counts = np.bincount(np.concatenate([np.zeros(0, np.int32), *texts]), minlength=n)
+                counts[end] += len(texts)
+                return counts
+
+            used, train = counted([a for *_, a in held]), counted([a for _, _, learn, a in held if learn])
             # Frequent words get small numbers, which pack well.
             order = np.argsort(-used, kind="stable")
             rank = np.empty(n, np.int64)
