@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable
@@ -50,12 +51,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def worker_state(key: str, make: Callable):
-    """One value per worker process, made once and shared by its later tasks."""
+def worker_state(key: str | None, make: Callable = lambda: None):
+    """The one value a worker process keeps for its later tasks; another key takes the place of the last.
+
+    Without a key the process only lets go of what it keeps, so the memory of
+    one operator is free before the next one works in the same process.
+    """
     registry = sys.modules.setdefault("_tidemark_worker_state", types.ModuleType("_tidemark_worker_state"))
-    if not hasattr(registry, key):
-        setattr(registry, key, make())
-    return getattr(registry, key)
+    if getattr(registry, "key", "") != key:
+        registry.key = registry.value = None
+        gc.collect()
+        registry.key, registry.value = key, make()
+    return registry.value
 
 
 # Rows up to which a narrow table may be sent to every task.

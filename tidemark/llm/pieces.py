@@ -17,6 +17,8 @@ from tidemark.llm.units import UnitCache, runs
 
 MARK = "▁"
 THREADS = 2
+# Units a worker remembers; memory only.
+CACHED = 300_000
 
 # Fixed values of the model file format: kinds of model and of piece.
 UNIGRAM, BPE = 1, 2
@@ -139,12 +141,12 @@ class Codec:
         from tokenizers import Tokenizer
 
         self.model = PieceModel.read(path)
-        self._backend = self.model.backend()
-        self._units = Tokenizer(self.model.model())
+        self._by_units = self.model.kind == BPE and self.model.whole_units
+        self._backend = Tokenizer(self.model.model()) if self._by_units else self.model.backend()
         self._own = sentencepiece.SentencePieceProcessor(model_file=path)
         self._threads = threads
         self._table = self.model.byte_table()
-        self._cache = UnitCache(self._encode_units)
+        self._cache = UnitCache(self._encode_units, CACHED)
         self.differing = 0
 
     def _encode_units(self, units: list[str]) -> list[bytes]:
@@ -156,7 +158,7 @@ class Codec:
         """
         out = []
         for part in runs(units, len, 1 << 20):
-            ours = [e.ids for e in self._units.encode_batch_fast([MARK + u for u in part], add_special_tokens=False)]
+            ours = [e.ids for e in self._backend.encode_batch_fast([MARK + u for u in part], add_special_tokens=False)]
             theirs = self._own.encode(part, num_threads=self._threads)
             for unit, ids, wanted in zip(part, ours, theirs, strict=True):
                 if unit and ids != wanted:
@@ -167,7 +169,7 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         # Sums over a whole text round in the unigram library; merges know no text around a unit.
-        if self.model.kind == BPE and self.model.whole_units:
+        if self._by_units:
             return [np.frombuffer(b"".join(u), "<u4") for u in self._cache(self.model.units(texts))]
         ours = [e.ids for e in self._backend.encode_batch_fast(texts, add_special_tokens=False)]
         theirs = self._own.encode(texts, num_threads=self._threads)
@@ -193,7 +195,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 
         codec = worker_state(f"pieces:{path}:{threads}", lambda: Codec(path, threads))
         for batch in batches:
-            rows = [(i, t or "") for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            rows = ((i, t.as_py() or "") for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True))
             for held in runs(rows, lambda r: len(r[1]), 4 << 20):
                 texts = [t for _, t in held]
                 ids = codec.encode(texts)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,7 +13,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, fold, pick, small_side
+from tidemark.llm.common import Scratch, fold, pick, small_side, worker_state
+from tidemark.llm.units import UnitTable
 
 # Word starts of these lengths are the features; a shorter word is one by itself.
 STARTS = (4, 5, 7)
@@ -44,6 +45,11 @@ IDENTITY_TERMS = (
 )
 SWAPS = {term: group[(i + 1) % len(group)] for group in IDENTITY_TERMS for i, term in enumerate(group)}
 
+# Words whose features a task remembers; memory only.
+CACHED_WORDS = 100_000
+# Texts whose features are counted together; Spark adds the counts up.
+COUNTED_ROWS = 2_000
+
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+")
 
@@ -52,23 +58,20 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def word_features(word: str) -> set[int]:
+def word_features(word: str) -> tuple[int, ...]:
     """Signed 64-bit hashes of the starts of a word; an identity term is a feature of its own alone."""
     if word in SWAPS:
-        return {_hash("=" + word)}
-    return {_hash(word[:n]) for n in STARTS}
+        return (_hash("=" + word),)
+    return tuple({_hash(word[:n]) for n in STARTS})
 
 
 def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def features(found: set[str], known: dict[str, set[int]]) -> set[int]:
+def features(found: set[str], known: UnitTable) -> set[int]:
     out: set[int] = set()
-    for word in found:
-        if word not in known:
-            known[word] = word_features(word)
-        out |= known[word]
+    out.update(*map(known.__getitem__, found))
     return out
 
 
@@ -91,19 +94,13 @@ class Model:
     weights: dict[int, float]
     bias: float
 
-    def scores(self, texts: list[str | None]) -> list[float]:
+    def scores(self, texts: Iterable[str | None]) -> list[float]:
         """Probability of label 1 for every text; NULL counts as empty."""
-        known: dict[str, tuple[int, ...]] = {}
+        known = UnitTable(lambda word: tuple(f for f in word_features(word) if f in self.weights), CACHED_WORDS)
         out = []
         for text in texts:
             seen: set[int] = set()
-            for word in set(words(text)):
-                hits = known.get(word)
-                if hits is None:
-                    hits = known[word] = tuple(f for f in word_features(word) if f in self.weights)
-                    if len(known) > 500_000:
-                        known = {}
-                seen.update(hits)
+            seen.update(*map(known.__getitem__, set(words(text))))
             z = self.bias + sum(self.weights[f] for f in sorted(seen))
             out.append(float(1 / (1 + np.exp(-np.clip(z, -500, 500)))))
         return out
@@ -113,8 +110,9 @@ def feature_counts(rows: DataFrame) -> DataFrame:
     """(feature, docs, toxic_docs) over all labelled rows (text, toxic); counted per task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            known: dict[str, set[int]] = {}
+        worker_state(None)
+        known = UnitTable(word_features, CACHED_WORDS)
+        for batch in (b.slice(at, COUNTED_ROWS) for b in batches for at in range(0, b.num_rows, COUNTED_ROWS)):
             counts = (Counter(), Counter())
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 counts[int(toxic == 1)].update(features(set(words(text.as_py())), known))
@@ -206,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known: dict[str, set[int]] = {}
+            known = UnitTable(word_features, CACHED_WORDS)
 
             def indices(found: set[str] | None, known=known) -> list[int] | None:
                 return None if found is None else sorted(place[f] for f in features(found, known) if f in place)
@@ -233,8 +231,9 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     """One row per row of ``docs``: (doc_id, held_out, score, predicted). Empty and NULL texts get a score too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state(None)
         for batch in batches:
-            scores = model.scores(batch.column(1).to_pylist())
+            scores = model.scores(t.as_py() for t in batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     rows = pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -247,8 +246,9 @@ def keep_civil(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str
     """Rows of ``docs`` the model does not reject, with their own columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state(None)
         for batch in batches:
-            scores = model.scores(batch.column(batch.schema.get_field_index(text)).to_pylist())
+            scores = model.scores(t.as_py() for t in batch.column(batch.schema.get_field_index(text)))
             yield batch.filter(pa.array([s < 0.5 for s in scores], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -55,7 +55,7 @@ class UnitTable(dict):
         return value
 
 
-def runs(items: list, size: Callable, most: int) -> Iterable[list]:
+def runs(items: Iterable, size: Callable, most: int) -> Iterable[list]:
     """Consecutive items in lists of at most about ``most`` by ``size``; one large item stands alone."""
     held, total = [], 0
     for item in items:
