@@ -19,6 +19,9 @@ MARK = "▁"
 THREADS = 2
 # Units a worker remembers; memory only.
 CACHED = 300_000
+# Characters of units, and of texts, that are encoded at a time; an encoded unit takes a few kilobytes.
+UNIT_CHARS = 1 << 16
+TEXT_CHARS = 1 << 20
 
 # Fixed values of the model file format: kinds of model and of piece.
 UNIGRAM, BPE = 1, 2
@@ -157,7 +160,7 @@ class Codec:
         ids count.
         """
         out = []
-        for part in runs(units, len, 1 << 20):
+        for part in runs(units, len, UNIT_CHARS):
             ours = [e.ids for e in self._backend.encode_batch_fast([MARK + u for u in part], add_special_tokens=False)]
             theirs = self._own.encode(part, num_threads=self._threads)
             for unit, ids, wanted in zip(part, ours, theirs, strict=True):
@@ -196,7 +199,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
         codec = worker_state(f"pieces:{path}:{threads}", lambda: Codec(path, threads))
         for batch in batches:
             rows = ((i, t.as_py() or "") for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True))
-            for held in runs(rows, lambda r: len(r[1]), 4 << 20):
+            for held in runs(rows, lambda r: len(r[1]), TEXT_CHARS):
                 texts = [t for _, t in held]
                 ids = codec.encode(texts)
                 columns = [
