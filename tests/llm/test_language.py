@@ -112,3 +112,30 @@ def test_attention_is_causal_and_slopes_are_right():
         down, _ = attention.gradients(p, x, y, weight)
         p[name][at] += step
         assert g[name][at] == pytest.approx((up - down) / (2 * step), abs=1e-4), name
+
+
+def test_every_training_word_reaches_a_window(spark):
+    rows = corpus(40) + [(904, "thean " * 5000, ""), (905, "", ""), (906, None, ""), (None, "not learned", "")]
+    frame = spark.createDataFrame([(i, t, rest(i)) for i, t, _ in rows], "doc_id long, text string, rest int")
+    subwords = language.Subwords(PATH)
+    chunks = frame.mapInArrow(language._chunks(PATH), language._CHUNK_SCHEMA).where("part = 'stream'").collect()
+    learned = collections.Counter()
+    for r in chunks:
+        stream = language._unpack(r.stream)
+        _, place, fresh = language.training_windows(stream, subwords.size)
+        assert sorted(place[fresh].tolist()) == list(range(len(stream)))
+        learned.update(stream.tolist())
+    want = collections.Counter()
+    for i, t, _ in rows:
+        if i is not None and rest(i) != 1:
+            want.update(np.frombuffer(b"".join(subwords.ids(language.tokens(t))), "<u4").tolist() + [subwords.size])
+    assert learned == want
+
+
+def test_words_after_a_long_opening_are_learned(spark):
+    """A net that has seen only the same twelve words of every text scores the rest far below the base."""
+    opening = "the an or ish le eau que oi the an or ish "
+    rows = [(i, opening + t, "") for i, t, _ in corpus(150, 3)]
+    got = language.score_texts(spark.createDataFrame(rows, SCHEMA), PATH).collect()
+    held = [r for r in got if r.held_out]
+    assert sum(r.score for r in held) > 1.05 * sum(r.base_score for r in held)

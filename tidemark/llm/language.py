@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,9 +20,6 @@ HELD_OUT = 1
 CHUNK_WORDS = 1 << 22
 BLOCK_WORDS = 1 << 17
 BATCH_WINDOWS = 2048
-# A training window is cut from every text, and one more from each so many words of it.
-WORDS_PER_SAMPLE = 1024
-SAMPLE_WORDS = 12
 # Subwords with an input vector of their own, the most frequent ones; all others share that of their class.
 OWN_VECTORS = 2048
 # Classes of subwords that start a word and of those inside words, found by the company they keep.
@@ -36,7 +32,7 @@ END = b""
 
 _CHUNK_SCHEMA = (
     "part string, chunk long, doc_id long, held_out boolean, words binary, first int, vocabulary array<binary>,"
-    " train array<long>, window binary"
+    " train array<long>, stream binary"
 )
 
 
@@ -78,19 +74,19 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def _chunks(path: str):
-    """Texts to chunks: word numbers per document, a vocabulary with training counts, and training windows."""
+    """Texts to chunks: word numbers per document, a vocabulary with training counts, and the subwords of training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([
             ("part", pa.string()), ("chunk", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("words", pa.binary()),
-            ("first", pa.int32()), ("vocabulary", pa.list_(pa.binary())), ("train", pa.list_(pa.int64())), ("window", pa.binary()),
+            ("first", pa.int32()), ("vocabulary", pa.list_(pa.binary())), ("train", pa.list_(pa.int64())), ("stream", pa.binary()),
         ])
         subwords = worker_state(f"subwords:{path}", lambda: Subwords(path))
         base, made = TaskContext.get().partitionId() << 24, 0
-        numbers, held, cuts, size = _Numbers(), [], [], 0
+        numbers, held, size = _Numbers(), [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal numbers, held, cuts, size, made
+            nonlocal numbers, held, size, made
             chunk, made = base + made, made + 1
             end = numbers[END]
             n = len(numbers)
@@ -113,19 +109,17 @@ def _chunks(path: str):
             for at in range(0, n, 8192):
                 some = order[at : at + 8192]
                 rows.append({"part": "vocabulary", "chunk": chunk, "first": at, "vocabulary": [names[i] for i in some], "train": train[some].tolist()})
-            for data in _windows(cuts, subwords):
-                rows.append({"part": "window", "chunk": chunk, "window": data})
             for at in range(0, len(rows), 512):
                 yield pa.RecordBatch.from_pylist(rows[at : at + 512], schema)
-            numbers, held, cuts, size = _Numbers(), [], [], 0
+            for stream in _streams([np.append(a, end) for _, _, learn, a in held if learn], names, subwords):
+                yield pa.RecordBatch.from_pylist([{"part": "stream", "chunk": chunk, "stream": _pack(stream)}], schema)
+            numbers, held, size = _Numbers(), [], 0
 
         for batch in batches:
             for i, text, rest in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 words = tokens(text.as_py())
                 learn = rest is not None and rest != HELD_OUT
                 held.append((i, rest == HELD_OUT, learn, np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))))
-                if learn:
-                    cuts += _cuts(i, words)
                 size += len(words) + 1
                 if size >= CHUNK_WORDS:
                     yield from flush()
@@ -135,22 +129,32 @@ def _chunks(path: str):
     return run
 
 
-def _cuts(doc_id: int, words: list[bytes]) -> list[tuple[bool, list[bytes], bool]]:
-    """Parts of a training text: whether it opens the text, words, whether it ends the text."""
-    found = []
-    for n in range(1 + len(words) // WORDS_PER_SAMPLE):
-        at = zlib.crc32(f"{doc_id}:{n}".encode()) % (len(words) + 1) if n else 0
-        found.append((at == 0, words[at : at + SAMPLE_WORDS], at + SAMPLE_WORDS >= len(words)))
-    return found
-
-
-def _windows(cuts: list[tuple], subwords: Subwords) -> Iterator[bytes]:
-    """At most WINDOW + 1 ids per part, -1 before the first and -2 after the last subword of a text."""
-    for opens, words, closes in cuts:
-        ids = np.frombuffer(b"".join(subwords.ids(words)), "<i4")
-        ids = np.concatenate([[-1] * opens, ids, [-2] * closes])[: attention.WINDOW + 1]
-        if len(ids) > 1:
-            yield ids.astype("<i4").tobytes()
+def _streams(texts: list[np.ndarray], names: list[bytes], subwords: Subwords) -> Iterator[np.ndarray]:
+    """Subword ids of whole texts given as word numbers, block by block; the id after the last closes each text."""
+    used = np.unique(np.concatenate([np.zeros(0, np.int64), *texts]))
+    place = np.zeros(len(names), np.int64)
+    place[used] = np.arange(len(used))
+    pieces = subwords.ids([names[i] for i in used])
+    pieces = [p if names[i] else np.array([subwords.size], "<u4").tobytes() for i, p in zip(used, pieces, strict=True)]
+    sizes = np.fromiter((len(p) // 4 for p in pieces), np.int64, len(pieces))
+    offsets = np.cumsum(sizes) - sizes
+    flat = np.frombuffer(b"".join(pieces), "<u4")
+    held, size = [], 0
+    for text in [*texts, None]:
+        if held and (text is None or size >= BLOCK_WORDS):
+            words = place[np.concatenate(held)]
+            first = np.cumsum(sizes[words]) - sizes[words]
+            yield flat[np.repeat(offsets[words] - first, sizes[words]) + np.arange(int(sizes[words].sum()))]
+            held, size = [], 0
+        if text is not None:
+            held.append(text)
+            size += len(text)
+
+
+def training_windows(stream: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, place, fresh) of the windows that tile the texts of a stream, as in scoring."""
+    starts = np.concatenate([[0], np.nonzero(stream == end)[0] + 1])
+    return starts, *attention.windows(starts)
 
 
 @dataclass
@@ -226,13 +230,24 @@ def _company(frequent: np.ndarray, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = np.full(size, -1)
         number[frequent] = np.arange(len(frequent))
-        seen = np.zeros((size, COMPANY), np.float32)
+        seen = np.zeros((size, COMPANY), np.float64)
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                ids = np.unique(np.frombuffer(data, "<i4"))
-                ids = ids[ids >= 0]
-                near = number[ids]
-                seen[np.ix_(ids, near[near >= 0])] += 1
+                stream = _unpack(data)
+                _, place, _ = training_windows(stream, size)
+                for at in range(0, len(place), BATCH_WINDOWS):
+                    spots = place[at : at + BATCH_WINDOWS]
+                    ids = np.sort(np.where(spots < 0, size, stream[spots]), axis=1)
+                    once = ids < size
+                    once[:, 1:] &= ids[:, 1:] != ids[:, :-1]
+                    window, column = np.nonzero(once)
+                    ids = ids[window, column]
+                    near = number[ids]
+                    beside = np.zeros((len(spots), COMPANY), np.float32)
+                    beside[window[near >= 0], near[near >= 0]] = 1
+                    order = np.argsort(ids, kind="stable")
+                    some, first = np.unique(ids[order], return_index=True)
+                    seen[some] += np.add.reduceat(beside[window[order]], first)
         ids, ks = np.nonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ks), pa.array(seen[ids, ks].astype(np.int64))], ["id", "k", "n"])
 
@@ -240,36 +255,39 @@ def _company(frequent: np.ndarray, size: int):
 
 
 def _fit(model: Model):
-    """Weights of one task, trained on its windows from the common start; (place, weight x windows, windows)."""
+    """Weights of one task, trained on the windows of its texts block by block; (place, weight x windows, windows)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        xs, ys, ws = [], [], []
+        params, count = attention.start(model.rows, model.class_count), 0
+        seed = TaskContext.get().partitionId()
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                ids = np.frombuffer(data, "<i4").astype(np.int64)
-                full = np.full(attention.WINDOW + 1, -2)
-                full[: len(ids)] = ids
-                xs.append(np.where(full[:-1] < 0, model.rows - 1, model.inputs[full[:-1]]))
-                ys.append(np.where(full[1:] < 0, model.classes[-1], model.classes[full[1:]]))
-                ws.append(np.arange(attention.WINDOW) < len(ids) - 1)
-        if xs:
-            first = attention.start(model.rows, model.class_count)
-            seed = TaskContext.get().partitionId()
-            trained = attention.flatten(attention.train(first, np.array(xs), np.array(ys), np.array(ws, np.float32), seed))
+                stream = _unpack(data)
+                starts, place, fresh = training_windows(stream, model.end)
+                rows, classes = _inputs(model, stream, starts), model.classes[stream]
+                params = attention.train(params, rows[place], classes[place], fresh.astype(np.float32), seed)
+                count += len(place)
+        if count:
+            trained = attention.flatten(params)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(trained))), pa.array(trained.astype(float) * len(xs)), pa.array(np.full(len(trained), len(xs)))],
+                [pa.array(np.arange(len(trained))), pa.array(trained.astype(float) * count), pa.array(np.full(len(trained), count))],
                 ["place", "weighted", "windows"],
             )
 
     return run
 
 
+def _inputs(model: Model, stream: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Input row of each target: that of the subword before it, the last one where a text starts."""
+    rows = model.inputs[np.concatenate([[model.end], stream[:-1]])]
+    rows[starts[:-1]] = model.rows - 1
+    return rows
+
+
 def _log_probabilities(model: Model, stream: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Natural log of P(class of a target | before it), and of P(a word or the end starts here), for all targets."""
     chance, opens = np.zeros(len(stream), np.float32), np.zeros(len(stream), np.float32)
-    rows = model.inputs[np.concatenate([[model.end], stream[:-1]])]
-    rows[starts[:-1]] = model.rows - 1
-    classes = model.classes[stream]
+    rows, classes = _inputs(model, stream, starts), model.classes[stream]
     sums = np.ones((model.class_count, 2), np.float32)
     sums[model.boundary :, 1] = 0
     place, fresh = attention.windows(starts)
@@ -355,9 +373,10 @@ def score_texts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: s
 
     Texts are words without A-Z capitals and one end token. Rows of fold 1 of
     crc32(doc_id) are held out, all others are learned from: word counts,
-    subword counts and the classes made of them come from all training texts,
-    the attention weights from windows cut out of every training text, trained
-    task by task from a common start and averaged.
+    subword counts, the classes made of them and the attention weights come
+    from all training texts. Overlapping windows tile every training text as
+    they do in scoring; the weights are trained on all of them, block by block
+    in each task from a common start, and averaged over the tasks.
 
     Each task numbers the words of its texts chunk by chunk, so only the
     distinct words of a chunk are joined with the corpus-wide counts, and a
@@ -409,12 +428,12 @@ def score_texts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: s
     starting[np.asarray(found.column("id"))] = np.asarray(found.column("starting"))
     leads = subwords.leads()
     frequent = np.argsort(-np.where(leads, counts[:-1], -1), kind="stable")[:COMPANY]
-    windows = chunks.where("part = 'window'").select("window")
-    met = windows.mapInArrow(_company(frequent, subwords.size), "id long, k long, n long").groupBy("id", "k").agg(F.sum("n").alias("n")).toArrow()
+    streams = chunks.where("part = 'stream'").select("stream")
+    met = streams.mapInArrow(_company(frequent, subwords.size), "id long, k long, n long").groupBy("id", "k").agg(F.sum("n").alias("n")).toArrow()
     company = np.zeros((subwords.size, COMPANY))
     company[np.asarray(met.column("id")), np.asarray(met.column("k"))] = np.asarray(met.column("n"))
     model = make_model(counts[:-1], starting[:-1], leads, company, ends, (known, distinct, singles))
-    fitted = windows.mapInArrow(_fit(model), "place long, weighted double, windows long")
+    fitted = streams.mapInArrow(_fit(model), "place long, weighted double, windows long")
     # One row per weight: bounded by the model.
     weights = fitted.groupBy("place").agg((F.sum("weighted") / F.sum("windows")).alias("w")).collect()
     flat = attention.flatten(attention.start(model.rows, model.class_count)).astype(float)
