@@ -67,6 +67,21 @@ def test_stage_line_dedup(stages):
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in kept)
 
 
+def test_stage_line_dedup_by_edit_similarity(stages):
+    """Of the lines that all pairs by edit similarity alone take out, the stage takes out 95 % and no others."""
+    given, kept, _ = stages["line_dedup"]
+    rows = [(r.doc_id, r.text, "") for r in given]
+
+    def lines_of(texts):
+        return sum(t.count("\n") + 1 for t in texts if t)
+
+    before = lines_of(t for _, t, _ in rows)
+    want, within_3_bits = (before - lines_of(t for _, t in f(rows)) for f in (test_lines.by_edit_similarity, test_lines.plain))
+    gone = before - lines_of(r.text for r in kept)
+    print(f"lines {before}, gone by all pairs {want}, within 3 bits {within_3_bits}, by the stage {gone}")
+    assert within_3_bits < 0.95 * want <= gone <= want
+
+
 def test_stage_simhash_dedup(stages):
     given, kept, _ = stages["simhash_dedup"]
     roots = test_simhash.reachable({r.doc_id: test_simhash.plain_fingerprint(r.text) for r in given if r.doc_id is not None})
