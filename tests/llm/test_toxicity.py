@@ -94,3 +94,17 @@ def test_empty_tables_and_one_label(spark):
 def test_sentence_swap():
     assert tx.swapped("Men run. Old trees") == {"women", "run", "young", "trees"}
     assert tx.swapped("Trees run") is None and tx.swapped(None) is None
+
+
+def test_terms_of_another_language_are_swapped_and_counted(spark):
+    rows = [(i, t.replace("women", "Frauen").replace("Women", "Frauen"), x) for i, t, x in corpus(seed=3)]
+    docs, labels = frames(spark, rows)
+    named = sum("Frauen" in t for i, t, _ in rows if not is_held_out(i))
+    plain, fair = tx.train(docs, labels), tx.train(docs, labels, terms=(*tx.IDENTITY_TERMS, ("Frauen", "Männer")))
+    assert (plain.pairs, fair.pairs) == (0, named) and named > 100
+
+    def gap(model):
+        a, b = model.scores(["Die Frauen.", "Die Männer."])
+        return abs(np.log(a / (1 - a)) - np.log(b / (1 - b)))
+
+    assert gap(fair) < 0.3 * gap(plain)

@@ -43,7 +43,15 @@ IDENTITY_TERMS = (
     ("old", "young"),
     ("disabled", "abled"),
 )
-SWAPS = {term: group[(i + 1) % len(group)] for group in IDENTITY_TERMS for i, term in enumerate(group)}
+Terms = tuple[tuple[str, ...], ...]
+
+
+def swaps_of(terms: Terms) -> dict[str, str]:
+    """The next term of its set for every term, in lower case."""
+    return {term.lower(): group[(i + 1) % len(group)].lower() for group in terms for i, term in enumerate(group)}
+
+
+SWAPS = swaps_of(IDENTITY_TERMS)
 
 # Words whose features a task remembers; memory only.
 CACHED_WORDS = 100_000
@@ -58,9 +66,9 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def word_features(word: str) -> tuple[int, ...]:
+def word_features(word: str, swaps: dict[str, str] = SWAPS) -> tuple[int, ...]:
     """Signed 64-bit hashes of the starts of a word; an identity term is a feature of its own alone."""
-    if word in SWAPS:
+    if word in swaps:
         return (_hash("=" + word),)
     return tuple({_hash(word[:n]) for n in STARTS})
 
@@ -75,17 +83,17 @@ def features(found: set[str], known: UnitTable) -> set[int]:
     return out
 
 
-def swapped(text: str | None) -> set[str] | None:
+def swapped(text: str | None, swaps: dict[str, str] = SWAPS) -> set[str] | None:
     """Words of the text with every identity term replaced by the next of its set; None without such terms.
 
     Only the sentences that name a group change.
     """
     found = words(text)
-    if not any(w in SWAPS for w in found):
+    if not any(w in swaps for w in found):
         return None
     out: set[str] = set()
     for sentence in _SENTENCE.findall((text or "").lower()):
-        out.update(SWAPS.get(w, w) for w in _WORD.findall(sentence))
+        out.update(swaps.get(w, w) for w in _WORD.findall(sentence))
     return out
 
 
@@ -93,10 +101,14 @@ def swapped(text: str | None) -> set[str] | None:
 class Model:
     weights: dict[int, float]
     bias: float
+    terms: Terms = IDENTITY_TERMS
+    # Training texts with an identity term, whose swapped twins the penalty compares them with.
+    pairs: int = 0
 
     def scores(self, texts: Iterable[str | None]) -> list[float]:
         """Probability of label 1 for every text; NULL counts as empty."""
-        known = UnitTable(lambda word: tuple(f for f in word_features(word) if f in self.weights), CACHED_WORDS)
+        swaps = swaps_of(self.terms)
+        known = UnitTable(lambda word: tuple(f for f in word_features(word, swaps) if f in self.weights), CACHED_WORDS)
         out = []
         for text in texts:
             seen: set[int] = set()
@@ -106,12 +118,12 @@ class Model:
         return out
 
 
-def feature_counts(rows: DataFrame) -> DataFrame:
+def feature_counts(rows: DataFrame, swaps: dict[str, str] = SWAPS) -> DataFrame:
     """(feature, docs, toxic_docs) over all labelled rows (text, toxic); counted per task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_state(None)
-        known = UnitTable(word_features, CACHED_WORDS)
+        known = UnitTable(lambda word: word_features(word, swaps), CACHED_WORDS)
         for batch in (b.slice(at, COUNTED_ROWS) for b in batches for at in range(0, b.num_rows, COUNTED_ROWS)):
             counts = (Counter(), Counter())
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
@@ -179,7 +191,10 @@ def fit(rows: list[list[int]], labels: list[int], twins: list[list[int] | None],
     return w, float(bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", held_out: int = 0) -> Model:
+def train(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", held_out: int = 0,
+    terms: Terms = IDENTITY_TERMS,
+) -> Model:
     """A model learned from the labelled rows outside fold ``held_out`` of crc32(doc_id).
 
     Statistics that choose the features come from all of those rows; the
@@ -187,7 +202,12 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     input. Ids labelled more than once count as toxic if one label says so;
     rows without label, id or fold are not learned from. Without labelled rows
     of both kinds the score is the share of toxic ones everywhere.
+
+    ``terms`` are sets of exchangeable identity terms in any languages, single
+    words; ``pairs`` of the model counts the texts that held one. With none
+    the model is plain logistic regression.
     """
+    swaps = swaps_of(terms)
     scratch = Scratch(docs.sparkSession, "toxicity")
     marks = pick(labels, mark_id=doc_id, toxic=label).where("mark_id IS NOT NULL AND toxic IN (0, 1)")
     marks = marks.where(fold("mark_id") != held_out).groupBy("mark_id").agg(F.max("toxic").alias("toxic"))
@@ -198,13 +218,13 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     n, t = rows.agg(F.count("*"), F.sum("toxic")).first()
     if not n or t in (0, n):
         scratch.drop(rows)
-        return Model({}, float(np.log(((t or 0) + 0.5) / (n - (t or 0) + 0.5))))
-    chosen = select_features(feature_counts(rows), n, t)
+        return Model({}, float(np.log(((t or 0) + 0.5) / (n - (t or 0) + 0.5))), terms)
+    chosen = select_features(feature_counts(rows, swaps), n, t)
     place = {f: i for i, f in enumerate(chosen)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known = UnitTable(word_features, CACHED_WORDS)
+            known = UnitTable(lambda word: word_features(word, swaps), CACHED_WORDS)
 
             def indices(found: set[str] | None, known=known) -> list[int] | None:
                 return None if found is None else sorted(place[f] for f in features(found, known) if f in place)
@@ -213,7 +233,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([indices(set(words(x))) for x in texts], pa.list_(pa.int32())),
-                    pa.array([indices(swapped(x)) for x in texts], pa.list_(pa.int32())),
+                    pa.array([indices(swapped(x, swaps)) for x in texts], pa.list_(pa.int32())),
                     batch.column(1).cast(pa.int32()),
                 ],
                 ["present", "twin", "toxic"],
@@ -224,7 +244,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     found = sample.mapInArrow(run, "present array<int>, twin array<int>, toxic int").toArrow()
     weights, bias = fit(*(found.column(c).to_pylist() for c in ("present", "toxic", "twin")), len(chosen))
     scratch.drop(rows)
-    return Model({f: float(weights[i]) for f, i in place.items() if weights[i]}, bias)
+    pairs = len(found) - found.column("twin").null_count
+    return Model({f: float(weights[i]) for f, i in place.items() if weights[i]}, bias, terms, pairs)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
