@@ -93,3 +93,17 @@ def test_empty_tables(spark, rows):
     bench = spark.createDataFrame([], "item_id long, text string")
     got = dc.find_items(frame, bench).collect()
     assert [(r.doc_id, r.contaminated) for r in got] == [(1, False)] * len(rows)
+
+
+def test_a_task_holds_one_block_of_items(spark, monkeypatch):
+    items, docs = corpus(6)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(docs)], DOCS)
+    whole = dc.find_items(frame, bench).collect(), dc.keep_clean(frame, bench).collect()
+    monkeypatch.setattr(dc, "BLOCK_CHARS", 300)
+    found, clean = dc.find_items(frame, bench), dc.keep_clean(frame, bench)
+    for result in (found, clean):
+        plan = result._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("MapInArrow") == 1
+    assert sorted((r.doc_id, sorted(map(tuple, r["items"]))) for r in found.collect()) == sorted((r.doc_id, sorted(map(tuple, r["items"]))) for r in whole[0])
+    assert sorted(r.doc_id for r in clean.collect()) == sorted(r.doc_id for r in whole[1])

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pick
+from tidemark.llm.common import Scratch, pick
 
 ERROR_RATE = 0.1
 SHORT_ITEM = 30
@@ -134,14 +134,31 @@ class Matcher:
         return sorted(found)
 
 
-def _blocks(benchmark: DataFrame, item_id: str, item_text: str) -> Iterator[list[tuple[int, str]]]:
-    """The items with their normalised texts, in lists of bounded size."""
+def _blocks(benchmark: DataFrame, item_id: str, item_text: str) -> Iterator[tuple[bool, list[tuple[int, str]]]]:
+    """The items with their normalised texts, in lists of bounded size, each with whether it is the last."""
     wanted = pick(benchmark, item_id=item_id, text=item_text).where("text IS NOT NULL AND item_id IS NOT NULL").distinct()
     chars = wanted.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = 1 + chars // BLOCK_CHARS
     for block in range(blocks):
         part = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        yield sorted((r.item_id, t) for r in part.collect() if (t := normal(r.text)))
+        yield block == blocks - 1, sorted((r.item_id, t) for r in part.collect() if (t := normal(r.text)))
+
+
+def _in_turn(rows: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, search) -> DataFrame:
+    """``rows`` through ``search(items)`` for each block of the items.
+
+    The result of a block is written before the next one is collected, so the
+    driver and a task hold one block at a time. Only the last one stays lazy.
+    """
+    scratch, before = Scratch(rows.sparkSession, "decontaminate"), None
+    for last, items in _blocks(benchmark, item_id, item_text):
+        rows = rows.mapInArrow(search(items), rows.schema)
+        if not last:
+            rows = scratch.keep(rows, "block")
+            if before is not None:
+                scratch.drop(before)
+            before = rows
+    return rows
 
 
 def find_items(
@@ -160,13 +177,13 @@ def find_items(
     space squeezed; items under 30 characters must occur unchanged, and items
     without text are never found. Items with equal text are found together.
     The benchmark is the stated query set: it goes to the tasks in blocks of
-    bounded size, one scan of the texts each, so its size has no limit. NULL
-    texts count as empty; rows repeat as given; a NULL doc_id stays NULL.
+    about ``BLOCK_CHARS`` characters, one scan of the texts each, and what a
+    block found is written before the next is collected; a single item must fit
+    a task. NULL texts count as empty; rows repeat as given; a NULL doc_id stays NULL.
     """
     rows = pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = rows.withColumn("items", F.array().cast("array<struct<item_id:long,distance:int>>"))
-    for items in _blocks(benchmark, item_id, item_text):
-        rows = rows.mapInArrow(_search(items, rate), rows.schema)
+    rows = _in_turn(rows, benchmark, item_id, item_text, lambda items: _search(items, rate))
     return rows.select("doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").alias("n_items"), "items")
 
 
@@ -188,13 +205,14 @@ def keep_clean(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", rate: float = ERROR_RATE
 ) -> DataFrame:
     """Rows of ``docs`` whose text holds no item, with their own columns; found as by ``find_items``."""
-    for items in _blocks(benchmark, item_id, item_text):
 
-        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
+    def search(items: list[tuple[int, str]]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(items, rate)
             for batch in batches:
                 texts = batch.column(batch.schema.get_field_index(text))
                 yield batch.filter(pa.array([not matcher.find(normal(t.as_py())) for t in texts], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        return run
+
+    return _in_turn(docs, benchmark, item_id, item_text, search)
