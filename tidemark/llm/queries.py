@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, lines, pieces, pii, simhash, token_counts, token_files, toxicity, vectors
+from tidemark.llm import decontaminate, language, lines, pieces, pii, simhash, suffixes, token_counts, token_files, toxicity, vectors
 from tidemark.llm.common import Scratch
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -68,6 +68,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.cut_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_lines": op2_lines,
@@ -79,6 +84,27 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_pieces": op9_pieces,
     "op10_toxicity": op10_toxicity,
+    "op11_suffixes": op11_suffixes,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Bytes as hexadecimal digits, so that two characters stand for one byte.
+OP11_SQL = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s
+      FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 49)) AS i FROM t WHERE length(x) >= 100)),
+least AS (SELECT s, min(doc_id) AS first_id FROM w GROUP BY s),
+gone AS (SELECT w.doc_id, w.i FROM w JOIN least USING (s) WHERE w.doc_id > first_id),
+marked AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM gone),
+numbered AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM marked),
+spans AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, k),
+pieces AS (SELECT doc_id, k, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY k), 0) AS z FROM spans),
+cut AS (SELECT p.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+               string_agg(substr(x, CAST(2 * z + 1 AS BIGINT), CAST(2 * (a - z) AS BIGINT)), '' ORDER BY k) AS head, max(b) AS z
+        FROM pieces p JOIN t USING (doc_id) GROUP BY p.doc_id)
+SELECT t.doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(x, CAST(2 * coalesce(z, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM t LEFT JOIN cut USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op11_suffixes": OP11_SQL}
