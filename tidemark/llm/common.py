@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.scale import scratch_path
+from tidemark.scale import delete_path, scratch_path
 
 
 class Scratch:
@@ -23,20 +23,18 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.path, self._next = spark, scratch_path(spark, name), 0
-        self._where: dict[int, str] = {}
 
     def folder(self, name: str) -> str:
         self._next += 1
         return f"{self.path}/{self._next}-{name}"
 
-    def keep(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, *partition_by: str, codec: str = "snappy") -> DataFrame:
         path = self.folder(name)
-        writer = df.write
+        writer = df.write.option("compression", codec)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
-        self._where[id(kept)] = path
         kept._tidemark_path = path
         return kept
 
@@ -45,12 +43,6 @@ class Scratch:
             delete_path(self.spark, df._tidemark_path)
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def worker_state(key: str | None, make: Callable = lambda: None):
     """The one value a worker process keeps for its later tasks; another key takes the place of the last.
 
