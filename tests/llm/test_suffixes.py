@@ -69,8 +69,8 @@ def test_empty(spark):
 
 
 def test_too_short_strings_are_refused(spark):
-    with pytest.raises(ValueError, match="more than 16"):
-        suffixes.cut_repeats(spark.createDataFrame([], SCHEMA), length=16)
+    with pytest.raises(ValueError, match="more than 12"):
+        suffixes.cut_repeats(spark.createDataFrame([], SCHEMA), length=12)
 
 
 def test_merge_equals_a_sort():

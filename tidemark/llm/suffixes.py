@@ -13,10 +13,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Scratch, pick
 
 LENGTH = 50
+# Level of the compression of what travels.
+LEVEL = 3
 # Leading bytes by which suffixes are dealt to ranges; also what picks the suffixes to sort.
-PREFIX = 16
+PREFIX = 12
 # Bytes of text that make one sorted run, and suffixes that make one range.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 8 << 20
+# Bytes of a run that are hashed at a time.
+BLOCK = 256 << 10
 RANGE_ITEMS = 400_000
 # Bytes of text whose suffixes place the range limits. Only the balance depends on it.
 SAMPLE_BYTES = 8 << 20
@@ -30,6 +34,12 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _prefix_hashes(rows: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the first PREFIX bytes of each row."""
+    ends = [np.ascontiguousarray(rows[:, at : at + 8]).view("<u8").ravel() for at in (0, PREFIX - 8)]
+    return _mixed(ends[0] * _MIX[0] + ends[1] * _MIX[1])
+
+
 class Segments:
     """Texts laid one after another, or overlapping parts of one long text."""
 
@@ -73,26 +83,29 @@ def anchors(group: Segments, length: int) -> tuple[np.ndarray, ...]:
     that part starts, ``first`` to ``last`` the consecutive strings that picked it.
     """
     span = length - PREFIX + 1
-    data = np.frombuffer(b"".join(group.parts) + bytes(8), np.uint8)
-    size = group.size
+    data = np.frombuffer(b"".join(group.parts), np.uint8)
     starts = np.cumsum([0, *map(len, group.parts)])
-    words = np.ndarray((size + 1,), "<u8", data.tobytes(), strides=(1,))
-    hashed = _mixed(words[: size - PREFIX + 1] * _MIX[0] + words[8 : size - PREFIX + 9] * _MIX[1])
-    key = (hashed & ~np.uint64(0xFFFFFF)) | np.arange(len(hashed), dtype=np.uint64)
-    least, width = key, 1
-    while width * 2 <= span:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    if width < span:
-        least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
-    valid = np.ones(len(least), bool)
+    chosen = np.empty(group.size - length + 1, np.int32)
+    for low in range(0, len(chosen), BLOCK):
+        high = min(low + BLOCK, len(chosen))
+        words = np.ndarray((high - low + length - 8,), "<u8", data[low : high + length - 1].tobytes(), strides=(1,))
+        begins = len(words) - PREFIX + 8
+        hashed = _mixed(words[:begins] * _MIX[0] + words[PREFIX - 8 : PREFIX - 8 + begins] * _MIX[1])
+        least = (hashed & ~np.uint64(0xFFFFFF)) | np.arange(begins, dtype=np.uint64)
+        width = 1
+        while width * 2 <= span:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        if width < span:
+            least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
+        chosen[low:high] = (least & np.uint64(0xFFFFFF)).astype(np.int32) + low
     for end in starts[1:-1]:
-        valid[end - length + 1 : end] = False
-    window = np.flatnonzero(valid)
-    at = (least[window] & np.uint64(0xFFFFFF)).astype(np.int64)
-    new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (window[1:] != window[:-1] + 1)])
-    first, last = window[new], window[np.r_[new[1:] - 1, len(window) - 1]]
-    return at[new], first, last, np.searchsorted(starts, first, "right") - 1, data[:size]
+        chosen[end - length + 1 : end] = -1
+    change = np.flatnonzero(chosen[1:] != chosen[:-1]) + 1
+    first, last = np.r_[0, change], np.r_[change - 1, len(chosen) - 1]
+    used = chosen[first] >= 0
+    first, last = first[used], last[used]
+    return chosen[first].astype(np.int64), first, last, np.searchsorted(starts, first, "right") - 1, data
 
 
 def _rows(data: np.ndarray, start: np.ndarray, width: int, sizes: np.ndarray) -> np.ndarray:
@@ -182,7 +195,7 @@ def packed(items: Items, counts: np.ndarray, docs: np.ndarray, ties: np.ndarray
     left = items.left[np.arange(items.left.shape[1]) < items.left_size[:, None]]
     parts = [np.array([len(items), len(places), len(rest), ties is not None], np.int64), shared, items.right_size, items.left_size, counts.astype(np.uint32), docs]
     parts += [places.astype(np.int64)] + ([ties] if ties is not None else []) + [rest, left]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(p.tobytes() for p in parts))
+    return zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(p.tobytes() for p in parts))
 
 
 class Run:
@@ -321,9 +334,8 @@ def removed(runs: list[Run], length: int) -> Iterator[tuple[np.ndarray, ...]]:
     counts = [len(r.shared) for r in runs]
     owner = np.repeat(np.arange(len(runs)), counts)
     docs = np.concatenate([r.docs for r in runs])
-    words = np.concatenate([r.right(0, PREFIX) for r in runs]).view("<u8")
     # A suffix whose first bytes no other document has needs no place in the order.
-    _, prefix = np.unique(_mixed(words[:, 0] * _MIX[0] + words[:, 1] * _MIX[1]), return_inverse=True)
+    _, prefix = np.unique(np.concatenate([_prefix_hashes(r.right(0, PREFIX)) for r in runs]), return_inverse=True)
     n = prefix.max() + 1
     least, most = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min)
     np.minimum.at(least, prefix, docs)
@@ -453,8 +465,7 @@ class Ranges:
         prefixes = items.prefixes()
         found = np.searchsorted(self.limits, prefixes, "right") * self.within
         if self.within > 1:
-            words = np.ascontiguousarray(items.right[:, :PREFIX]).view("<u8")
-            found += (_mixed(words[:, 0] * _MIX[0] + words[:, 1] * _MIX[1]) % np.uint64(self.within)).astype(np.int64)
+            found += (_prefix_hashes(items.right) % np.uint64(self.within)).astype(np.int64)
         return found
 
 
@@ -484,9 +495,10 @@ def sorted_runs(batches: Iterable[pa.RecordBatch], ranges: Ranges, length: int,
     """
     for group in segments(batches, length, run_bytes):
         items, parts = ranges.dealt(Items.of(group, length), length)
-        order = np.argsort(items.keys())
-        key = items.keys()[order]
+        key = items.keys()
+        order = np.argsort(key)
         rank = np.empty(len(order), np.int64)
+        key = key[order]
         rank[order] = np.cumsum(np.r_[True, key[1:] != key[:-1]]) - 1
         del key
         least = _least_doc(rank, items.doc, rank.max() + 1)[rank]
@@ -506,7 +518,7 @@ def sorted_runs(batches: Iterable[pa.RecordBatch], ranges: Ranges, length: int,
             blobs.append(packed(some, counts[a:b], some.doc, some.tie if tied else None, places))
         yield pa.RecordBatch.from_pydict({"part": pa.array(numbers, pa.int32()), "run": pa.array(blobs, pa.binary()), "spans": pa.nulls(len(blobs), pa.binary())})
         if len(gone[0]):
-            spans = zstandard.ZstdCompressor(level=1).compress(np.stack(gone).tobytes())
+            spans = zstandard.ZstdCompressor(level=LEVEL).compress(np.stack(gone).tobytes())
             part = pa.array([group.docs[0] % ranges.parts], pa.int32())
             yield pa.RecordBatch.from_pydict({"part": part, "run": pa.nulls(1, pa.binary()), "spans": pa.array([spans], pa.binary())})
 
@@ -574,7 +586,7 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _squeezed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=1).compress
+    pack = zstandard.ZstdCompressor(level=LEVEL).compress
     for batch in batches:
         texts = [pack((t or "").encode("utf-8", "surrogatepass")) for t in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], ["doc_id", "tie", "data"])
@@ -607,7 +619,7 @@ def cut_repeats(
     inside a character.
 
     Every string is represented by one suffix, which starts at the string's
-    least-hashed 16 bytes; a suffix serves the consecutive strings that chose
+    least-hashed 12 bytes; a suffix serves the consecutive strings that chose
     it and carries the bytes before it. Tasks sort the suffixes of about
     ``run_bytes`` of text, front-code them and deal them to ranges of the
     sorted order; a task per range merges its runs with a loser tree that
