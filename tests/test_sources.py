@@ -87,6 +87,84 @@ def test_registry_objects_one_by_one(spark, registry_folder):
     assert numbers(whole) == numbers(parts) == ["05:01:1", "05:01:2", "05:01:3"]
 
 
+def big_document(n):
+    building = lambda i: (
+        f'<Building CadastralNumber="05:{i}" DateCreated="2020-01-02"><Name>a &gt; b "{i}"</Name>'
+        f"<Location><Note>{'x' * (i * 37 % 400)}</Note></Location></Building>"
+    )
+    plots = "".join(f"<Parcel CadastralNumber='06:{i}' DateCreated='a>b'/>" for i in range(n))
+    return (
+        "<?xml version='1.0'?>\n<ListForRating>\n<ListInfo DateForm='2023-02-01'/><Objects><Buildings>"
+        + "\n".join(building(i) for i in range(n)) + f"</Buildings><Flats/><Parcels>{plots}</Parcels></Objects></ListForRating>\n"
+    )
+
+
+@pytest.fixture()
+def mixed_folder(tmp_path):
+    whole = big_document(16)
+    at = whole.index("</Building>", 1500)
+    texts = {
+        "good.xml": whole,
+        "other.xml": big_document(3),
+        "cut.xml": whole[: at - 20],
+        "between.xml": whole[: at + 11],
+        "crossed.xml": whole.replace("</Location></Building>", "</Building></Location>", 1),
+        "twice.xml": whole.replace("</Building>", "</Building></Building>", 1),
+        "open.xml": whole.replace("</Buildings>", ""),
+        "none.xml": "",
+        "page.xml": "<html></html>",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    return str(tmp_path)
+
+
+BROKEN = {
+    "cut.xml": "no end of <Building>",
+    "between.xml": "no end of <Buildings>",
+    "crossed.xml": "<Building> not well-formed",
+    "twice.xml": "unexpected </Building>",
+    "open.xml": "no end of <Buildings>",
+    "page.xml": "no registry document",
+}
+
+
+@pytest.mark.parametrize("split", ["128m", "450"])
+def test_elements_of_files_that_tasks_share(spark, mixed_folder, split):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        objects, problems = registry.read_registry_elements(spark, mixed_folder)
+        rows = [(r["name"], r["kind"], r["n"], r["note"], r["options"]) for r in objects.select(
+            "name", "kind", F.col("object.`@CadastralNumber`").alias("n"), F.col("object.Location.Note").alias("note"), "options").collect()]
+        log = {r["file_name"]: r["description"] for r in registry.file_rejects(problems, "request_file", F.current_timestamp()).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    # Nothing of a broken file, everything of a sound one, whatever the splits.
+    assert log == BROKEN
+    want = [("good.xml", "Building", f"05:{i}", "x" * (i * 37 % 400)) for i in range(16)] + [("good.xml", "Parcel", f"06:{i}", None) for i in range(16)]
+    want += [("other.xml", "Building", f"05:{i}", "x" * (i * 37 % 400)) for i in range(3)] + [("other.xml", "Parcel", f"06:{i}", None) for i in range(3)]
+    assert sorted(map(str, (r[:4] for r in rows))) == sorted(map(str, want))
+    assert {r[4] for r in rows} == {'{"@DateForm":"2023-02-01"}'}
+
+
+def test_broken_documents_are_logged_whole(spark, mixed_folder):
+    docs = registry.read_registry_xml(spark, mixed_folder)
+    objects = registry.registry_objects(docs)
+    assert {r["name"] for r in objects.select("name").distinct().collect()} == {"good.xml", "other.xml"}
+    log = registry.file_rejects(docs, "request_file", F.current_timestamp()).collect()
+    assert {r["file_name"] for r in log} == {"cut.xml", "between.xml", "crossed.xml", "twice.xml", "open.xml", "page.xml"}
+    assert {r["src"] for r in log} == {"request_file"}
+
+
+def test_parcels_by_element(spark, mixed_folder):
+    objects = registry.read_registry_objects(spark, mixed_folder).withColumn("request_file_id", F.lit(1))
+    parcels = reg.parse_objects(objects, spark.createDataFrame([], "code string, value string"))
+    assert parcels.count() == 38 and {str(r[0]) for r in parcels.select("date_rosreestr_out").collect()} == {"2023-02-01"}
+
+
 def test_parse_objects(spark, registry_folder):
     objects = registry.registry_objects(registry.read_registry_xml(spark, registry_folder)).withColumn("request_file_id", F.lit(1))
     classifier = spark.createDataFrame([("061", "stone")], "code string, value string")

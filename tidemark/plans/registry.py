@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.documents import alternatives, first_present, pivot_codes
-from tidemark.functions.lookup import map_class, map_class_arrays
+from tidemark.functions.lookup import map_classes
 from tidemark.functions.temporal import date_from_name, form_date
 from tidemark.functions.text import repair_decimal, spaced_line, trim_chars
 from tidemark.operators.aggregates import first_per_key
@@ -147,9 +147,7 @@ def _quoted_list(values: Column) -> Column:
 
 
 def _with_classes(df: DataFrame, cols: Sequence[str], lists: Sequence[str], classifier: DataFrame) -> DataFrame:
-    for col in cols:
-        df = map_class(df, col, classifier)
-    return map_class_arrays(df, {c: c for c in lists}, classifier)
+    return map_classes(df, cols, {c: c for c in lists}, classifier)
 
 
 def parse_objects(objects: DataFrame, classifier: DataFrame, obj: str = "object") -> DataFrame:

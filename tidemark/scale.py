@@ -67,13 +67,18 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *cols: str | Column) -> DataFrame:
-    """Rows dealt anew, evenly, ahead of work that is heavy per row.
+# Rows that make a task where each is heavy to work on.
+HEAVY_ROWS = 1000
 
-    Adaptive execution chooses the number of partitions by size and splits
-    large ones. Apply it while rows are narrow, before large values are made.
+
+def spread(df: DataFrame, *cols: str | Column, rows: int | None = None, per_task: int = HEAVY_ROWS) -> DataFrame:
+    """Rows dealt anew, about ``per_task`` to a task, ahead of work that is heavy per row.
+
+    The number of tasks follows the number of rows, counted here unless given:
+    the size of rows still narrow says nothing about the work to come.
     """
-    return df.hint("rebalance", *[F.col(c) if isinstance(c, str) else c for c in cols])
+    count = df.count() if rows is None else rows
+    return df.repartition(max(1, -(-count // per_task)), *[F.col(c) if isinstance(c, str) else c for c in cols])
 
 
 def packed_order(major: Column, minor: Column) -> Column:

@@ -125,6 +125,8 @@ REGISTRY_OBJECT = struct_of(
     }
 )
 
+# Fixed value: the outermost element of a registry document.
+REGISTRY_ROOT = "ListForRating"
 # Containers of a registry document and the element inside each.
 REGISTRY_KINDS = {
     "Buildings": "Building",

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import file_name, strip_bom, strip_control
-from tidemark.schemas import REGISTRY_DOCUMENT, REGISTRY_KINDS, REGISTRY_OBJECT, struct_of, texts
+from tidemark.scale import cut_lineage
+from tidemark.schemas import REGISTRY_DOCUMENT, REGISTRY_KINDS, REGISTRY_OBJECT, REGISTRY_ROOT, struct_of, texts
+from tidemark.sources.elements import xml_elements
 
 XML_OPTIONS = {"attributePrefix": "@", "valueTag": "_VALUE", "mode": "PERMISSIVE"}
+# Column for the text of a record that does not parse.
+BROKEN = "_broken"
 
 # Result documents: only the parts that are read further on.
 COST_PARCEL = struct_of(
@@ -37,9 +39,9 @@ GROUP_LISTS = struct_of(
 )
 
 
-def read_xml_texts(spark: SparkSession, path: str) -> DataFrame:
+def read_xml_texts(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
     """``(path, name, text)`` of every XML file below a folder, cleaned for parsing."""
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.xml")
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
     return files.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("name"),
@@ -47,15 +49,31 @@ def read_xml_texts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _with_broken(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+
+
 def parse_registry(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``document`` (typed, NULL leaves where absent) and ``options`` (its header)."""
-    parsed = docs.withColumn("document", F.from_xml(text, REGISTRY_DOCUMENT, XML_OPTIONS)).drop(text)
-    return parsed.withColumn("options", F.to_json("document.ListInfo"))
+    """Add ``document`` (typed, NULL leaves where absent), ``options`` (its header) and ``problem``.
+
+    ``problem`` says why a text is no registry document; such a row has
+    neither document nor options, so nothing half read goes further.
+    """
+    parsed = docs.withColumn("_parsed", F.from_xml(text, _with_broken(REGISTRY_DOCUMENT), XML_OPTIONS | {"columnNameOfCorruptRecord": BROKEN}))
+    closed = F.rtrim(F.col(text)).endswith(f"</{REGISTRY_ROOT}>") | F.col(text).rlike(rf"<{REGISTRY_ROOT}[^<>]*/>\s*$")
+    problem = (
+        F.when(F.trim(F.coalesce(text, F.lit(""))) == "", F.lit("empty file"))
+        .when(F.col("_parsed").isNull() | F.col(f"_parsed.{BROKEN}").isNotNull(), F.lit("not well-formed"))
+        .when(~closed, F.lit(f"no end of <{REGISTRY_ROOT}>"))
+    )
+    fields = F.struct(*[F.col(f"_parsed.{n}").alias(n) for n in REGISTRY_DOCUMENT.names])
+    checked = parsed.withColumn("problem", problem).withColumn("document", F.when(F.col("problem").isNull(), fields))
+    return checked.drop(text, "_parsed").withColumn("options", F.to_json("document.ListInfo"))
 
 
 def registry_objects(docs: DataFrame, document: str = "document") -> DataFrame:
     """One row per object of any kind: the other columns, ``kind`` and ``object``."""
-    rest = [c for c in docs.columns if c != document]
+    rest = [c for c in docs.columns if c not in (document, "problem")]
     none = F.array().cast(T.ArrayType(REGISTRY_OBJECT))
 
     def objects_of(box: str, item: str) -> Column:
@@ -66,36 +84,54 @@ def registry_objects(docs: DataFrame, document: str = "document") -> DataFrame:
     return docs.select(*rest, F.explode(F.concat(*lists)).alias("_o")).select(*rest, "_o.kind", "_o.object")
 
 
-def read_registry_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Registry documents below a folder, one row per file."""
-    return parse_registry(read_xml_texts(spark, path))
+def read_registry_xml(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
+    """Registry documents below a folder, one row per file; broken ones only have a ``problem``."""
+    return parse_registry(read_xml_texts(spark, path, glob))
 
 
-def read_registry_objects(spark: SparkSession, path: str) -> DataFrame:
-    """One row per object, read element by element.
+def file_rejects(problems: DataFrame, table: str, run_ts: Column) -> DataFrame:
+    """Log entries of ``(path, problem)`` rows, one per broken file."""
+    log = problems.where("problem IS NOT NULL").groupBy("path").agg(F.min("problem").alias("description"))
+    return log.select(
+        F.lit(table).alias("table_name"), "description", F.lit("request_file").alias("src"),
+        file_name("path").alias("file_name"), F.lit(None).cast("string").alias("row"), run_ts.alias("date"),
+    )
+
+
+def read_registry_elements(spark: SparkSession, path: str, glob: str = "*.xml") -> tuple[DataFrame, DataFrame]:
+    """(objects, problems) of documents too large to hold as one text, from one scan of the files.
 
-    For documents too large to hold as one text: files are scanned once per
-    object kind, and a document is never held whole.
+    Objects of all kinds and the header are cut out of the files together,
+    parsed one by one and joined on the file: ``path``, ``name``, ``kind``,
+    ``object`` and ``options``. A file is taken whole or not at all: the
+    objects of a file with any problem stay out, and ``problems`` holds
+    ``(path, problem)`` rows of it.
     """
-    def of_kind(item: str) -> DataFrame:
-        rows = (
-            spark.read.format("xml")
-            .options(**XML_OPTIONS)
-            .option("rowTag", item)
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.xml")
-            .schema(REGISTRY_OBJECT)
-            .load(path)
-        )
-        fields = [F.col(f"`{n}`") for n in REGISTRY_OBJECT.names]
-        return rows.select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_name").alias("name"),
-            F.lit(item).alias("kind"),
-            F.struct(*fields).alias("object"),
-        )
-
-    return reduce(DataFrame.unionByName, [of_kind(item) for item in REGISTRY_KINDS.values()])
+    containers = [REGISTRY_ROOT, "Objects", *REGISTRY_KINDS]
+    cut = xml_elements(spark, path, [*REGISTRY_KINDS.values(), "ListInfo"], containers, glob)
+    kinds = F.col("kind").isin(*REGISTRY_KINDS.values())
+    options = XML_OPTIONS | {"columnNameOfCorruptRecord": BROKEN}
+    parsed = cut.withColumn("object", F.when(kinds, F.from_xml("text", _with_broken(REGISTRY_OBJECT), options)))
+    broken = F.col("text").isNotNull() & kinds & (F.col("object").isNull() | F.col(f"object.{BROKEN}").isNotNull())
+    parsed = parsed.withColumn("problem", F.coalesce("problem", F.when(broken, F.concat(F.lit("<"), "kind", F.lit("> not well-formed")))))
+    # Parsed once; objects, headers and problems are read from the copy.
+    fields = F.struct(*[F.col(f"object.`{n}`").alias(n) for n in REGISTRY_OBJECT.names])
+    parsed = cut_lineage(parsed.withColumn("object", F.when(F.col("object").isNotNull(), fields)), "objects")
+    unread = parsed.groupBy("path").agg(F.count_if(F.col("kind") != "").alias("n")).where("n = 0")
+    problems = parsed.where("problem IS NOT NULL").select("path", "problem").unionByName(
+        unread.select("path", F.lit("no registry document").alias("problem"))
+    )
+    header = F.from_xml("text", "variant", XML_OPTIONS)
+    headers = parsed.where("kind = 'ListInfo' AND text IS NOT NULL").groupBy("path").agg(F.min("text").alias("text"))
+    headers = headers.select(F.col("path").alias("of"), F.to_json(header).alias("options"))
+    good = parsed.where("object IS NOT NULL").join(problems.select("path").distinct(), "path", "left_anti")
+    objects = good.join(headers, good["path"] == headers["of"], "left")
+    return objects.select("path", file_name("path").alias("name"), "kind", "object", "options"), problems
+
+
+def read_registry_objects(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
+    """One row per object of the sound files, read element by element."""
+    return read_registry_elements(spark, path, glob)[0]
 
 
 def result_kind(name: str):

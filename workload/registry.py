@@ -319,6 +319,66 @@ def parcel_rejects(spark, sf):
     return reg.load_parcels(_parcels(spark, sf), F.lit("2024-01-01").cast("timestamp_ntz"))[1]
 
 
+# Files of parts that are read whole; of those that end too soon or hold an unclosed location nothing is.
+_SOUND = f"p_partkey // {views.FILE_PARTS} % 11 NOT IN (3, 5)"
+
+
+def _file_number(path: str):
+    return F.regexp_extract(path, "request=([0-9]+)", 1).cast("bigint")
+
+
+@query(
+    "registry_files",
+    f"""SELECT p_partkey // {views.FILE_PARTS} AS request, kind, '05:' || p_partkey || ':' || n AS cad_num, DATE '2023-05-06' AS form_date
+        FROM part, (VALUES ('Construction', 1), ('Parcel', 2)) k(kind, n) WHERE {_SOUND}""",
+)
+def registry_files(spark, sf):
+    """Objects of a folder of files, some of them broken."""
+    objects = src.registry_objects(src.read_registry_xml(spark, views.registry_folder(spark, sf), glob="*.txt"))
+    return objects.select(
+        _file_number("path").alias("request"), "kind", F.col("object.`@CadastralNumber`").alias("cad_num"),
+        temporal.form_date("options").alias("form_date"),
+    )
+
+
+_FILE_REJECTS = f"""
+    SELECT 'request_file' AS src, request, {{}} AS description
+    FROM (SELECT DISTINCT p_partkey // {views.FILE_PARTS} AS request FROM part) WHERE request % 11 IN (3, 5)"""
+
+
+@query("registry_file_rejects", _FILE_REJECTS.format("'not well-formed'"))
+def registry_file_rejects(spark, sf):
+    """One log entry per broken file."""
+    docs = src.read_registry_xml(spark, views.registry_folder(spark, sf), glob="*.txt")
+    # Their folder tells the files of this query apart.
+    log = src.file_rejects(docs.withColumn("path", F.element_at(F.split("path", "/"), -2)), "request_file", F.current_timestamp())
+    return log.select("src", _file_number("file_name").alias("request"), "description")
+
+
+@query(
+    "registry_element_rejects",
+    _FILE_REJECTS.format("CASE request % 11 WHEN 3 THEN 'no end of <Construction>' ELSE '<Parcel> not well-formed' END"),
+)
+def registry_element_rejects(spark, sf):
+    """The same files, told by their elements."""
+    _, problems = src.read_registry_elements(spark, views.registry_folder(spark, sf), glob="*.txt")
+    log = src.file_rejects(problems.withColumn("path", F.element_at(F.split("path", "/"), -2)), "request_file", F.current_timestamp())
+    return log.select("src", _file_number("file_name").alias("request"), "description")
+
+
+@query(
+    "parcel_by_element",
+    sql("classifier part_lines", f"""
+    SELECT * REPLACE (request_file_id // {views.FILE_PARTS} AS request_file_id)
+    FROM (SELECT * FROM empty UNION ALL BY NAME SELECT * FROM xml)
+    WHERE request_file_id // {views.FILE_PARTS} % 11 NOT IN (3, 5)""", empty=_EMPTY_PARCELS, xml=_XML_PARCELS),
+)
+def parcel_by_element(spark, sf):
+    """Parcels of the sound files, cut out of them element by element."""
+    objects = src.read_registry_objects(spark, views.registry_folder(spark, sf), glob="*.txt")
+    return reg.parse_objects(objects.withColumn("request_file_id", _file_number("path")), views.classifier(spark, sf))
+
+
 @query(
     "address_concat",
     """SELECT s_suppkey, trim(regexp_replace(concat(coalesce(CASE WHEN s_acctbal > 0 THEN n_name END, ''), ' ', 'r-n', '   ',

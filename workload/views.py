@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.scale import micros, packed_order, spread
+from tidemark.scale import micros, packed_order, scratch_path, spread
 
 BAR_SECONDS = 300
 
@@ -289,10 +289,11 @@ def _tag(name: str, content, *attrs) -> F.Column:
     return F.coalesce(text, F.lit(""))
 
 
-def registry_texts(spark: SparkSession, sf: str) -> DataFrame:
-    """One registry document per part: a construction and a plot."""
+def _part_objects(spark: SparkSession, sf: str) -> DataFrame:
+    """(p_partkey, construction, plot): two objects of every part."""
     parts = table(spark, sf, "part")
-    rows = spread(parts.join(_part_lines(spark, sf), F.col("p_partkey") == F.col("l_partkey"), "left"), "p_partkey")
+    joined = parts.join(_part_lines(spark, sf), F.col("p_partkey") == F.col("l_partkey"), "left")
+    rows = spread(joined, "p_partkey", rows=parts.count())
     key, size = F.col("p_partkey"), F.col("p_size")
     text = lambda c: F.col(c).cast("string")
     parameters = F.concat(
@@ -352,13 +353,43 @@ def registry_texts(spark: SparkSession, sf: str) -> DataFrame:
         ),
         _attr("CadastralNumber", F.concat_ws(":", F.lit("05"), key.cast("string"), F.lit("2"))),
     )
-    body = F.concat(_tag("Constructions", construction), F.lit("\r\n"), _tag("Parcels", plot), F.lit("<Flats/>"))
-    document = F.concat(
-        F.lit('﻿<?xml version="1.0" encoding="UTF-8"?>\n<ListForRating><ListInfo DateForm="2023-05-06" Quantity="2"/>'),
-        _tag("Objects", body),
-        F.lit("</ListForRating>"),
+    return rows.select("p_partkey", construction.alias("construction"), plot.alias("plot"))
+
+
+def _document(constructions, plots, quantity) -> F.Column:
+    body = F.concat(_tag("Constructions", constructions), F.lit("\r\n"), _tag("Parcels", plots), F.lit("<Flats/>"))
+    return F.concat(
+        F.lit('﻿<?xml version="1.0" encoding="UTF-8"?>\n<ListForRating><ListInfo DateForm="2023-05-06" Quantity="'),
+        quantity.cast("string"), F.lit('"/>'), _tag("Objects", body), F.lit("</ListForRating>"),
     )
-    return rows.select(key.alias("request_file_id"), document.alias("text"))
+
+
+def registry_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """One registry document per part: a construction and a plot."""
+    document = _document(F.col("construction"), F.col("plot"), F.lit(2))
+    return _part_objects(spark, sf).select(F.col("p_partkey").alias("request_file_id"), document.alias("text"))
+
+
+# Parts of one registry file.
+FILE_PARTS = 40
+
+
+def registry_folder(spark: SparkSession, sf: str) -> str:
+    """A folder of registry files of ``FILE_PARTS`` parts, as ``request=<number>/part-….txt``.
+
+    Of eleven files in a row one ends within its first construction and one
+    has a plot whose location is not closed.
+    """
+    number = F.floor(F.col("p_partkey") / FILE_PARTS).alias("request")
+    listed = lambda c: F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", c))), lambda o: o[c])
+    files = _part_objects(spark, sf).groupBy(number).agg(listed("construction").alias("c"), listed("plot").alias("p"), F.count("*").alias("n"))
+    plots = F.array_join("p", "")
+    plots = F.when(F.col("request") % 11 == 5, F.replace(plots, F.lit("</Location>"), F.lit(""))).otherwise(plots)
+    text = _document(F.array_join("c", ""), plots, F.col("n") * 2)
+    text = F.when(F.col("request") % 11 == 3, F.substring_index(text, "</Construction>", 1)).otherwise(text)
+    folder = scratch_path(spark, "registry")
+    files.select("request", text.alias("value")).repartition("request").write.partitionBy("request").text(folder)
+    return folder
 
 
 def registry_records(spark: SparkSession, sf: str) -> DataFrame:
