@@ -45,9 +45,16 @@ def _asof_brute(left, right):
     return expected
 
 
-@pytest.mark.parametrize("bucket", ["hour", "day", "year"])
+@pytest.fixture()
+def many_ranges(spark):
+    """Small ranges stay apart."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 @pytest.mark.parametrize("seed", [1, 2])
-def test_asof_against_brute_force(spark, seed, bucket):
+def test_asof_against_brute_force(spark, many_ranges, seed):
     rng = random.Random(seed)
 
     def time():
@@ -59,17 +66,32 @@ def test_asof_against_brute_force(spark, seed, bucket):
     right += [("hot", DAY + dt.timedelta(days=9), 5), ("hot", DAY + dt.timedelta(days=9), 7)]
     l_df = spark.createDataFrame(left, "i int, k string, ts timestamp_ntz")
     r_df = spark.createDataFrame(right, "k string, rts timestamp_ntz, v int")
-    got = joins.asof_join(l_df, r_df, "k", "ts", "rts", ["v"], bucket)
+    got = joins.asof_join(l_df, r_df, "k", "ts", "rts", ["v"])
     assert {r["i"]: r["v"] for r in got.collect()} == _asof_brute(left, right)
-    matched = joins.asof_join(l_df, r_df, "k", "ts", "rts", ["v"], bucket, how="inner")
+    matched = joins.asof_join(l_df, r_df, "k", "ts", "rts", ["v"], how="inner")
     assert matched.count() == sum(v is not None for v in _asof_brute(left, right).values())
 
 
-def test_asof_shuffles_no_window_over_all_rows_of_a_key(spark):
-    left = spark.range(10).select(F.lit("k").alias("k"), F.current_timestamp().cast("timestamp_ntz").alias("ts"))
-    right = left.select("k", F.col("ts").alias("rts"), F.lit(1).alias("v"))
-    plan = joins.asof_join(left, right, "k", "ts", "rts", ["v"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "windowspecdefinition(k" in plan and "Cross" not in plan
+def test_asof_reads_the_left_side_once_and_splits_a_hot_key(spark, many_ranges, tmp_path):
+    keys = F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(99).alias("k")
+    times = (F.lit(DAY).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("id") % 50).cast("int"))).alias("ts")
+    spark.range(20_000).select("id", keys, times).write.parquet(str(tmp_path / "left"))
+    left = spark.read.parquet(str(tmp_path / "left"))
+    right = left.where("id % 100 = 7").select("k", F.col("ts").alias("rts"), F.col("id").alias("v"))
+    ranges = []
+    kept = joins.cut_lineage
+    joins.cut_lineage = lambda df, name: ranges.append(df) or kept(df, name)
+    try:
+        joined = joins.asof_join(left, right, "k", "ts", "rts", ["v"])
+    finally:
+        joins.cut_lineage = kept
+    assert joined.count() == 20_000
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert str(tmp_path) not in plan and "SortAggregate" not in plan
+    # Once as the left side, once as the source of the right one.
+    assert ranges[0]._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    sizes = [r["count"] for r in ranges[0].where("_asks").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 20_000 / 4
 
 
 def test_role_join(spark):

@@ -7,10 +7,13 @@ measured to be small, and otherwise shuffles with hot keys split at run time.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.scale import cut_lineage
+
 
 def _names(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -104,45 +107,45 @@ def asof_join(
     left_ts: str,
     right_ts: str,
     values: Sequence[str],
-    bucket: str = "month",
     how: str = "left",
 ) -> DataFrame:
     """Attach the latest row of ``right`` at or before the time of each left row.
 
-    The search runs over the distinct (key, time) pairs only and inside time
-    buckets, with the last value before each bucket carried in, so neither a
-    hot key nor a hot time makes one task grow with the number of left rows.
-    The bucket should hold few thousand distinct times. Of right rows with
-    equal key and time the one with the largest values counts.
+    Both sides go together through ranges of (key, time), so each is read
+    once and a key with most of the rows lies in many ranges, as do the rows
+    of one key and time. A range only knows the values within it; the last
+    value of the ranges before is carried in, one row per range and key. The
+    ranges are written to the shared folder first, as their ends must not
+    change between the two reads. Of right rows with equal key and time the
+    one with the largest values counts. Left rows without key or time match
+    nothing.
     """
     by = _names(by)
     carried = F.struct(*[F.col(v) for v in values])
-    rates = right.groupBy(*by, F.col(right_ts).alias("_ts")).agg(F.max(carried).alias("_value"))
-    asked = left.select(*by, F.col(left_ts).alias("_ts")).distinct()
-    slot = F.date_trunc(bucket, F.col("_ts"))
-
-    points = rates.withColumn("_asked", F.lit(False)).unionByName(
-        asked.withColumn("_asked", F.lit(True)), allowMissingColumns=True
-    ).withColumn("_slot", slot)
-    within = (
-        Window.partitionBy(*by, "_slot")
-        .orderBy("_ts", "_asked")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = points.withColumn("_local", F.last("_value", ignorenulls=True).over(within)).filter("_asked")
-
-    # One row per key and bucket: bounded by the time span.
-    before = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        points.groupBy(*by, "_slot")
-        .agg(F.max_by("_value", F.when(~F.col("_asked"), F.col("_ts"))).alias("_last"))
-        .withColumn("_carried", F.last("_last", ignorenulls=True).over(before))
-        .drop("_last")
-    )
-    found = (
-        local.join(carry, [*by, "_slot"], "left")
-        .withColumn("_value", F.coalesce("_local", "_carried"))
-        .filter(F.col("_value").isNotNull())
-        .select(*by, "_ts", *[F.col("_value")[v].alias(v) for v in values])
+    known = right.where(F.col(right_ts).isNotNull()).select(*by, F.col(right_ts).alias("_ts"), carried.alias("_value"))
+    rest = [c for c in left.columns if c not in by]
+    asked = left.select(*by, F.col(left_ts).alias("_ts"), F.struct(*rest).alias("_row"), F.xxhash64(*left.columns).alias("_mix"))
+    points = known.unionByName(asked, allowMissingColumns=True).withColumn("_asks", F.col("_row").isNotNull())
+    order = [*by, "_ts", "_asks", "_value", "_mix"]
+    ranges = points.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = cut_lineage(ranges.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "asof")
+
+    within = Window.partitionBy("_part", *by).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = placed.withColumn("_value", F.last("_value", ignorenulls=True).over(within)).where("_asks")
+    # One row per range and key that has values there.
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = placed.groupBy("_part", *by).agg(F.max(F.when(~F.col("_asks"), F.col("_at"))).alias("_at"), F.max("_asks").alias("_asks"))
+    last = ends.join(placed.select("_at", "_value"), "_at", "left").withColumn("_carried", F.last("_value", ignorenulls=True).over(before))
+    carry = last.where(F.col("_asks") & F.col("_carried").isNotNull()).select("_part", *[F.col(c).alias(f"_{c}") for c in by], "_carried")
+    joined = local.join(carry.withColumnRenamed("_part", "_of"), (local["_part"] == F.col("_of")) & _same(local, by), "left")
+    found = joined.withColumn("_value", F.coalesce("_value", "_carried"))
+    if how == "inner":
+        found = found.where(F.col("_value").isNotNull())
+    return found.select(
+        *[c if c in by else F.col("_row")[c].alias(c) for c in left.columns], *[F.col("_value")[v].alias(v) for v in values]
     )
-    return left.withColumn("_ts", F.col(left_ts)).join(found, [*by, "_ts"], how).drop("_ts")
+
+
+def _same(rows: DataFrame, by: Sequence[str]) -> Column:
+    """Equal keys of the rows and of columns named with an underscore before."""
+    return reduce(lambda a, b: a & b, [rows[c] == F.col(f"_{c}") for c in by])

@@ -88,7 +88,6 @@ def daily_currency_metrics(
             "date_update",
             "rate_day",
             ["currency_with_div"],
-            bucket="year",
             how="inner",
         ).withColumnRenamed("currency_code", "currency_from")
     else:
@@ -126,5 +125,4 @@ def asof_rate_per_tx(tx: DataFrame, rates: DataFrame, base: str = BASE_CURRENCY)
         "_day",
         "rate_day",
         ["rate_day", "currency_with_div"],
-        bucket="year",
     ).drop("_day")

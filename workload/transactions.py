@@ -89,7 +89,7 @@ def asof_join_events(spark, sf):
         "user_id", F.col("ts").alias("error_ts"), F.col("event_id").alias("error_id"),
         F.col("value").alias("error_value"),
     )
-    found = joins.asof_join(events, errors, "user_id", "ts", "error_ts", ["error_id", "error_value"], bucket="day")
+    found = joins.asof_join(events, errors, "user_id", "ts", "error_ts", ["error_id", "error_value"])
     return found.select("event_id", "error_id", "error_value")
 
 
