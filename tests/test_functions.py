@@ -1,6 +1,8 @@
 """Column functions on the cases that matter."""
 
 import datetime as dt
+import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -216,3 +218,18 @@ def test_address_line(spark):
     df = spark.createDataFrame([(tuple(values.values()),)], schema)
     assert df.select(registry.address_line("l")).first()[0] == "р-н Южный корп3"
     assert df.select(registry.address_line("l", trim=False)).first()[0] == "р-н Южный корп3 "
+
+
+@pytest.mark.parametrize(("text", "depth"), [("1", 0), ("{}", 1), ('{"a":"[[{\\"["}', 1), ('[{"a":[]},[[1]]]', 3), ('{"a":{"b":1},"c":[2]}', 2), (None, None)])
+def test_json_depth(spark, text, depth):
+    row = spark.createDataFrame([(text,)], "t string").select(documents.json_depth("t")).first()
+    assert row[0] == depth
+
+
+def test_json_find_in_a_wide_document(spark):
+    """A hundred thousand members, with brackets in their texts, in few levels."""
+    text = json.dumps({"rows": [{"@Number": i, "note": "[{" * 3} for i in range(100_000)]})
+    docs = spark.createDataFrame([(text,)], "t string").select(documents.parse_document("t").alias("doc"))
+    start = time.perf_counter()
+    found = docs.select(F.size(documents.json_find("doc", "@Number")).alias("n")).first()["n"]
+    assert found == 100_000 and time.perf_counter() - start < 20

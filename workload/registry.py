@@ -434,7 +434,7 @@ def json_path_recursive_deep(spark, sf):
     for level in range(9, 0, -1):
         number = (F.col("p_partkey") * level).cast("string")
         text_ = F.concat(F.lit('{"@Number":'), number, F.lit(',"in":[{"x":'), text_, F.lit("}]}"))
-    docs = table(spark, sf, "part").select("p_partkey", doc.parse_document(text_).alias("doc"))
+    docs = spread(table(spark, sf, "part"), "p_partkey").select("p_partkey", doc.parse_document(text_).alias("doc"))
     numbers = F.transform(doc.json_find("doc", "@Number"), lambda v: F.try_variant_get(v, "$", "bigint"))
     found = docs.select("p_partkey", numbers.alias("n"))
     total = F.aggregate("n", F.lit(0).cast("bigint"), lambda a, b: a + b)
