@@ -81,9 +81,38 @@ def test_key_only_dedup_within_watermark(feed):
 
 def test_fan_out(feed, spark, tmp_path):
     feed.put(message(1, 0), message(2, 0, "CURRENCY"), message(3, 0, "OTHER"))
-    sinks = {kind: ingest.write_microbatch(str(tmp_path / kind)) for kind in ("TRANSACTION", "CURRENCY")}
-    feed.run(sink=ingest.fan_out("object_type", sinks))
-    assert feed.ids("TRANSACTION") == ["1"] and feed.ids("CURRENCY") == ["2"]
+    feed.run(sink=ingest.fan_out(str(tmp_path / "out"), ["TRANSACTION", "CURRENCY"]))
+    assert feed.ids("out/sink=TRANSACTION") == ["1"] and feed.ids("out/sink=CURRENCY") == ["2"]
+    assert feed.ids() == ["1", "2"]
+
+
+def test_fan_out_reads_a_batch_once(spark, tmp_path):
+    rows = [("1", "T", START, "{}"), ("2", "C", START, "{}"), ("3", "X", START, "{}")]
+    seen = spark.sparkContext.accumulator(0)
+    schema = "object_id string, object_type string, sent_dttm timestamp, payload string"
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    sink = ingest.fan_out(str(tmp_path / "out"), ["T", "C"])
+    for _ in range(2):
+        sink(spark.createDataFrame(rows, schema).mapInArrow(count, schema), 4)
+    assert seen.value == 6 and spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_progress_log(feed, spark, tmp_path):
+    feed.put(message(1, 60))
+    with ingest.ProgressLog(spark, str(tmp_path / "log")):
+        feed.run()
+        feed.put(message(2, 0), message(3, 61))
+        query = feed.run()
+    feed.put(message(4, 62))
+    feed.run()
+    rows = ingest.read_progress(spark, str(tmp_path / "log")).collect()
+    assert sum(r["input_rows"] for r in rows) == 3 and sum(r["late_rows"] for r in rows) == 1
+    assert len({r["run_id"] for r in rows}) == 2 and {r["query_id"] for r in rows} == {str(query.id)}
 
 
 def test_batch_run_twice_is_written_once(spark, tmp_path):

@@ -56,6 +56,19 @@ def rename_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete under its name or not there."""
+    draft = f"{path}.draft"
+    target = spark._jvm.org.apache.hadoop.fs.Path(draft)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    delete_path(spark, path)
+    rename_path(spark, draft, path)
+
+
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

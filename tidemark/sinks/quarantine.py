@@ -9,18 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def cast_problems(schema: T.StructType, required: Sequence[str], raw: Mapping[str, Column] | None = None) -> list[Column]:
+    """What keeps text values from the schema's types, each NULL where nothing does."""
+    problems = []
+    for field in schema:
+        value = F.col(field.name) if raw is None else raw[field.name]
+        typed = value.try_cast(field.dataType)
+        problems.append(F.when(value.isNotNull() & typed.isNull(), F.lit(f"{field.name}: not a {field.dataType.simpleString()}")))
+        if field.name in required:
+            problems.append(F.when(value.isNull(), F.lit(f"{field.name}: missing")))
+    return problems
+
+
 def typed_or_rejected(df: DataFrame, schema: T.StructType, required: Sequence[str] | None = None) -> DataFrame:
     """Cast text columns to the schema and add ``reject_reason`` (NULL for good rows).
 
     A row is bad when a value does not cast or a required one is missing.
     """
-    required = list(schema.names if required is None else required)
-    problems = []
-    for field in schema:
-        raw, typed = F.col(field.name), F.col(field.name).try_cast(field.dataType)
-        problems.append(F.when(raw.isNotNull() & typed.isNull(), F.lit(f"{field.name}: not a {field.dataType.simpleString()}")))
-        if field.name in required:
-            problems.append(F.when(raw.isNull(), F.lit(f"{field.name}: missing")))
+    problems = cast_problems(schema, schema.names if required is None else required)
     rest = [c for c in df.columns if c not in schema.names]
     reason = F.nullif(F.concat_ws("; ", *problems), F.lit(""))
     return df.select(
@@ -74,12 +80,3 @@ def quarantine(
         return marked.filter(F.col("_problem").isNull()).drop("_problem"), bad.select(*entry)
     log = bad.select(*unit, F.struct(*entry).alias("_e")).groupBy(*unit).agg(F.min("_e").alias("_e"))
     return df.join(log.select(*unit), list(unit), "left_anti"), log.select("_e.*")
-
-
-def reject_counts(rejects: Mapping[str, DataFrame]) -> DataFrame:
-    """Number of rejects per target table."""
-    total = None
-    for table, rows in rejects.items():
-        part = rows.agg(F.count("*").alias("rejects")).select(F.lit(table).alias("table_name"), "rejects")
-        total = part if total is None else total.unionByName(part)
-    return total

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import json
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.operators.filters import drop_incomplete
+from tidemark.scale import write_text
 from tidemark.schemas import MESSAGE_COLUMNS
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -58,20 +60,19 @@ def write_microbatch(path: str, cols: Sequence[str] = MESSAGE_COLUMNS, ts: str =
     return write
 
 
-def fan_out(type_col: str, sinks: Mapping[str, BatchSink]) -> BatchSink:
-    """Batch sink that hands each object type to its own sink.
+def fan_out(path: str, types: Sequence[str], type_col: str = "object_type", cols: Sequence[str] = MESSAGE_COLUMNS, ts: str = "sent_dttm") -> BatchSink:
+    """Batch sink: the rows of each type in a folder of their own, by day and batch.
 
-    Rows of a type without a sink are not written. The batch is kept for the
-    time of the writes, so its source is read once.
+    All types go out in one write, so a batch is read once. Rows of other
+    types are not written. A batch run again replaces its own folders.
     """
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.persist()
-        try:
-            for object_type, sink in sinks.items():
-                sink(batch.filter(F.col(type_col) == object_type), epoch_id)
-        finally:
-            batch.unpersist()
+        wanted = batch.where(F.col(type_col).isin(*types)).select(*dict.fromkeys([*cols, type_col]))
+        rows = drop_incomplete(wanted, cols)
+        rows = rows.withColumns({"sink": F.col(type_col), "day": F.to_date(ts), "batch": F.lit(f"{_query_id(batch)}-{epoch_id}")})
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("sink", "day", "batch").parquet(path)
 
     return write
 
@@ -91,8 +92,59 @@ def start(
     return writer.trigger(**trigger).start()
 
 
+PROGRESS = (
+    "name string, query_id string, run_id string, batch_id bigint, at timestamp, input_rows bigint, rows_per_second double,"
+    " late_rows bigint, state_rows bigint, watermark string"
+)
+
+
+class ProgressLog(StreamingQueryListener):
+    """Appends every progress of every query to a folder, one JSON file per run and batch.
+
+    All batches are kept, also those a query itself no longer remembers. A
+    batch that is reported again replaces its file. Use it as a context to
+    have it removed, with all reports in, at the end.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self._path = spark, path
+
+    def __enter__(self) -> ProgressLog:
+        self._spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        # Reports come after the batch, on a queue of their own.
+        self._spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        self._spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        last = event.progress
+        row = {
+            "name": last.name, "query_id": str(last.id), "run_id": str(last.runId), "batch_id": last.batchId, "at": last.timestamp,
+            "input_rows": last.numInputRows, "rows_per_second": last.processedRowsPerSecond,
+            "late_rows": sum(op.numRowsDroppedByWatermark for op in last.stateOperators),
+            "state_rows": sum(op.numRowsTotal for op in last.stateOperators), "watermark": last.eventTime.get("watermark"),
+        }
+        write_text(self._spark, f"{self._path}/{row['run_id']}-{row['batch_id']}.json", json.dumps(row))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """Rows that a ``ProgressLog`` wrote: one per run and batch."""
+    return spark.read.schema(PROGRESS).json(path)
+
+
 def late_row_count(query: StreamingQuery) -> int:
-    """Rows dropped so far for being older than the watermark."""
+    """Rows dropped for being older than the watermark, in the batches that the query still remembers."""
     return sum(
         int(op.get("numRowsDroppedByWatermark", 0))
         for progress in query.recentProgress

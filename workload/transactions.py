@@ -13,7 +13,7 @@ from tidemark.plans import daily, marts, staging, state, vault
 from tidemark.scale import cut_lineage, scratch_path
 from tidemark.schemas import CURRENCY, MESSAGE_COLUMNS, TRANSACTION
 from tidemark.sinks import write
-from tidemark.sinks.quarantine import copy_with_rejects, quarantine, reject_counts
+from tidemark.sinks.quarantine import copy_with_rejects, quarantine
 from tidemark.sources import events as event_source
 from tidemark.streaming import ingest
 from workload import views
@@ -522,24 +522,45 @@ def payload_misfits(spark, sf):
     WHERE transaction_type NOT IN ('5-LOW', '1-URGENT') AND amount >= 0"""),
 )
 def stage_transactions(spark, sf):
-    good, _, _ = staging.stage_messages(views.messages(spark, sf), "TRANSACTION")
+    good = staging.read_staged(spark, _staged(spark, sf)[0], "TRANSACTION")
     return good.select(
         "object_id", *[c for c in TRANSACTION.names if c != "transaction_dt"],
         F.col("transaction_dt").cast("timestamp_ntz").alias("transaction_dt"),
     )
 
 
+def _staged(spark, sf):
+    """Folder and numbers of all messages staged in one pass."""
+    path = scratch_path(spark, "staged")
+    return path, staging.stage_all(views.messages(spark, sf), path)
+
+
 @query(
     "stage_currencies",
     sql("rates", """
     SELECT date_update, currency_code, currency_code_with, cast(currency_with_div AS double) AS currency_with_div FROM rates"""),
 )
 def stage_currencies(spark, sf):
-    good, _, _ = staging.stage_messages(views.messages(spark, sf), "CURRENCY")
+    good = staging.read_staged(spark, _staged(spark, sf)[0], "CURRENCY")
     good = good.select(*CURRENCY.names).withColumn("date_update", F.col("date_update").cast("timestamp_ntz"))
     return plain(good)
 
 
+@query(
+    "stage_outcomes",
+    sql("tx tx_log rates", """
+    SELECT 'TRANSACTION' AS object_type, CASE WHEN transaction_type IN ('5-LOW', '1-URGENT') THEN 'misfit'
+           WHEN amount < 0 THEN 'bad' ELSE 'good' END AS outcome, count(*) AS rows, count(*) AS observed FROM tx_log GROUP BY 2
+    UNION ALL SELECT 'CURRENCY', 'good', count(*), count(*) FROM rates"""),
+)
+def stage_outcomes(spark, sf):
+    """Rows of the staged table beside the numbers observed while it was written."""
+    path, counts = _staged(spark, sf)
+    observed = spark.createDataFrame([(*k, n) for k, n in counts.items()], "object_type string, outcome string, observed bigint")
+    stored = spark.read.parquet(path).groupBy("object_type", "outcome").agg(F.count("*").alias("rows"))
+    return stored.join(observed, ["object_type", "outcome"])
+
+
 @query(
     "copy_with_rejects",
     sql("tx tx_log", """
@@ -555,18 +576,12 @@ def rejected_rows(spark, sf):
 @query(
     "reject_counts",
     sql("tx tx_log", """
-    SELECT 'transactions' AS table_name, count(*) AS rejects FROM tx_log
+    SELECT 'TRANSACTION' AS table_name, count(*) AS rejects FROM tx_log
     WHERE transaction_type NOT IN ('5-LOW', '1-URGENT') AND amount < 0
-    UNION ALL SELECT 'currencies', 0"""),
+    UNION ALL SELECT 'CURRENCY', 0"""),
 )
 def rejects_per_table(spark, sf):
-    stored = views.messages(spark, sf)
-    return reject_counts(
-        {
-            "transactions": staging.stage_messages(stored, "TRANSACTION")[1],
-            "currencies": staging.stage_messages(stored, "CURRENCY")[1],
-        }
-    )
+    return staging.staged_rejects(spark, _staged(spark, sf)[1])
 
 
 @query(
@@ -849,13 +864,56 @@ def stream_dedup(spark, sf):
 
 @query(
     "stream_fanout",
-    "SELECT event_type AS sink, count(DISTINCT event_id) AS rows FROM events GROUP BY 1",
+    """SELECT DISTINCT event_type AS sink, cast(event_id AS varchar) AS object_id, ts AS sent_dttm, props AS payload
+       FROM events WHERE event_type <> 'error'""",
 )
 def stream_fanout(spark, sf):
+    """All types but errors, each into its folder, in one write per batch."""
+    path = scratch_path(spark, "stream-fanout")
+    # A handful of types.
     kinds = [r[0] for r in table(spark, sf, "events").select("event_type").distinct().collect()]
-    paths = {kind: scratch_path(spark, "stream-fanout") for kind in kinds}
-    sink = ingest.fan_out("object_type", {kind: ingest.write_microbatch(path) for kind, path in paths.items()})
-    _run(ingest.dedup_stream(_event_stream(spark, sf)), sink, spark)
-    return sets.union_tagged(
-        {kind: spark.read.parquet(path).agg(F.count("*").alias("rows")) for kind, path in paths.items()}, "sink"
+    _run(ingest.dedup_stream(_event_stream(spark, sf)), ingest.fan_out(path, [k for k in kinds if k != "error"]), spark)
+    stored = spark.read.parquet(path)
+    return stored.select("sink", "object_id", F.col("sent_dttm").cast("timestamp_ntz").alias("sent_dttm"), "payload")
+
+
+def _drained_twice(spark, sf, first, second, name):
+    """Progress rows and table of a stream that is stopped and started again from its checkpoint; ``second`` comes in between."""
+    inbox, out, checkpoint, log = (scratch_path(spark, f"stream-{name}") for _ in range(4))
+    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    last = F.to_date(F.lit(events.agg(F.max("ts")).first()[0]))
+    with ingest.ProgressLog(spark, log):
+        for part in (first, second):
+            events.where(part(F.to_date("ts"), last)).write.mode("append").parquet(inbox)
+            source = event_source.read_event_files(spark, inbox, events.schema).select(
+                F.col("event_id").cast("string").alias("object_id"), F.col("event_type").alias("object_type"),
+                F.col("ts").alias("sent_dttm"), F.col("props").alias("payload"),
+            )
+            ingest.start(ingest.dedup_stream(source), ingest.write_microbatch(out), checkpoint, interval=None, name=f"{name}-stream").awaitTermination()
+    progress = ingest.read_progress(spark, log).where(F.col("name") == f"{name}-stream")
+    return progress, spark.read.parquet(out)
+
+
+@query(
+    "stream_late_rows",
+    """SELECT count(*) AS input_rows, count(*) FILTER (ts::date < (SELECT max(ts)::date FROM events)) AS late_rows, 2 AS runs
+       FROM events""",
+)
+def stream_late_rows(spark, sf):
+    """The last day first: all days before it come after the watermark has passed them."""
+    progress, _ = _drained_twice(spark, sf, lambda day, last: day == last, lambda day, last: day < last, "late")
+    return progress.agg(
+        F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"), F.count_distinct("run_id").cast("int").alias("runs")
     )
+
+
+@query(
+    "stream_restart",
+    """SELECT cast(event_id AS varchar) AS object_id, event_type AS object_type, ts AS sent_dttm, (SELECT count(*) FROM events) AS read_rows
+       FROM events""",
+)
+def stream_restart(spark, sf):
+    """Started again from its checkpoint, a stream reads only what is new and keeps what it wrote."""
+    progress, rows = _drained_twice(spark, sf, lambda day, last: day < last, lambda day, last: day == last, "again")
+    read = progress.agg(F.sum("input_rows").alias("read_rows"))
+    return rows.select("object_id", "object_type", F.col("sent_dttm").cast("timestamp_ntz").alias("sent_dttm")).withColumn("read_rows", read.scalar())
