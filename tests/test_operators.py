@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import scale
+from tidemark.functions.keys import hash_key
 from tidemark.operators import aggregates as agg
 from tidemark.operators import filters as flt
 from tidemark.operators import joins, lines, paging, sets
-from tidemark.schemas import PRICE
+from tidemark.plans import vault
+from tidemark.schemas import PRICE, VAULT
 from tidemark.sinks import quarantine, write
 
 DAY = dt.datetime(2024, 1, 1)
@@ -267,19 +269,36 @@ def test_export_by_category(spark, tmp_path):
     assert {(r["_category"], r["n"], r["t"]) for r in got.collect()} == {("a", "1", None), ("b", None, "x")}
 
 
-def test_bucketed_hub_joins_without_shuffle(spark, tmp_path):
+def test_load_does_not_shuffle_the_bucketed_hub(spark, tmp_path):
+    path, schema = str(tmp_path / "hub"), VAULT["h_accounts"]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in ("left_hub", "right_hub"):
-            spark.range(100).select(F.col("id").alias("hk")).write.mode("overwrite").option(
-                "path", str(tmp_path / name)
-            ).bucketBy(4, "hk").sortBy("hk").saveAsTable(name)
-        plan = spark.table("left_hub").join(spark.table("right_hub"), "hk")._jdf.queryExecution().toString()
-        assert "Exchange hashpartitioning" not in plan
+        hub = write.read_bucketed(spark, path, schema, ["account_number"])
+        for low, high in ((0, 50), (40, 60), (0, 60)):
+            day = spark.range(low, high).select(F.col("id").alias("account_number"))
+            fresh = vault.load_hub(hub, day, "account_number", F.current_timestamp(), "test")
+            fresh.count()
+            below = fresh._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[-1]
+            assert "Bucketed: true" in below and below.count("Exchange hashpartitioning") == 1
+            hub = write.append_bucketed(fresh, path, schema, ["account_number"])
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
-        for name in ("left_hub", "right_hub"):
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    assert hub.count() == hub.select("account_number").distinct().count() == hub.select("hk").distinct().count() == 60
+    # Another session only knows the path, and other settings.
+    other = spark.newSession()
+    spark.sql(f"DROP TABLE {write._bucketed_name(path)}")
+    other.conf.set("spark.sql.shuffle.partitions", "3")
+    assert write.read_bucketed(other, path, schema, ["account_number"]).count() == 60
+
+
+def test_hash_keys_of_128_bits(spark):
+    rows = spark.range(20_000).select(hash_key("id").alias("k"))
+    assert rows.distinct().count() == 20_000 and len(rows.first()["k"]) == 16
+    halves = rows.select(F.substring("k", 1, 8).alias("a"), F.substring("k", 9, 8).alias("b"))
+    assert halves.where("a = b").count() == 0
+    # Where the first halves collide, as when both see no text, the second still tells inputs apart.
+    some = spark.createDataFrame([("x", None), (None, "x"), (None, None)], "a string, b string").select(hash_key("a", "b").alias("k"))
+    assert some.distinct().count() == 3 and some.select(F.substring("k", 1, 8)).distinct().count() == 2
 
 
 def test_arg_max_of_any_type(spark):

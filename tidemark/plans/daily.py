@@ -17,8 +17,8 @@ from tidemark.operators.sets import union_roles
 from tidemark.plans import marts, star, vault
 from tidemark.plans.staging import stage_messages
 from tidemark.scale import delete_path, scratch_path
-from tidemark.schemas import LEDGER, STAR, VAULT
-from tidemark.sinks.write import append_partition, read_or_empty, replace_table
+from tidemark.schemas import LEDGER, STAR, VAULT, VAULT_KEYS
+from tidemark.sinks.write import append_bucketed, append_partition, read_bucketed, read_or_empty, replace_table
 
 
 def stage_day(spark: SparkSession, messages: DataFrame, root: str, day: dt.date | str) -> None:
@@ -39,16 +39,21 @@ def stage_day(spark: SparkSession, messages: DataFrame, root: str, day: dt.date
 
 
 class _Tables:
-    """The vault's tables: read as they are now, appended to."""
+    """Tables read as they are now and appended to; those with ``keys`` are bucketed by them."""
 
-    def __init__(self, spark: SparkSession, root: str, schemas: dict):
-        self.spark, self.root, self.schemas = spark, root, schemas
+    def __init__(self, spark: SparkSession, root: str, schemas: dict, keys: dict | None = None):
+        self.spark, self.root, self.schemas, self.keys = spark, root, schemas, keys or {}
 
     def read(self, name: str) -> DataFrame:
+        if name in self.keys:
+            return read_bucketed(self.spark, f"{self.root}/{name}", self.schemas[name], self.keys[name])
         return read_or_empty(self.spark, f"{self.root}/{name}", self.schemas[name])
 
     def append(self, name: str, rows: DataFrame) -> DataFrame:
-        align_schema(rows, self.schemas[name]).write.mode("append").parquet(f"{self.root}/{name}")
+        rows = align_schema(rows, self.schemas[name])
+        if name in self.keys:
+            return append_bucketed(rows, f"{self.root}/{name}", self.schemas[name], self.keys[name])
+        rows.write.mode("append").parquet(f"{self.root}/{name}")
         return self.read(name)
 
 
@@ -68,7 +73,7 @@ def load_vault_day(
     load_src: str = "messages",
 ) -> None:
     """Hubs, then links, then satellites of a day."""
-    tables = _Tables(spark, root, VAULT)
+    tables = _Tables(spark, root, VAULT, VAULT_KEYS)
     run = F.lit(str(day)).cast("timestamp")
     tx = _of_day(transactions, "transaction_dt", day)
     quotes = _of_day(rates, "date_update", day)

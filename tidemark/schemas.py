@@ -216,21 +216,33 @@ AD_QUEUE = struct_of(
 _AUDIT = ", load_dt timestamp, load_src string"
 VAULT = {
     "h_transactions": struct_of(
-        "hk bigint, operation_id string, amount bigint, transaction_type string, transaction_dt timestamp" + _AUDIT
+        "hk binary, operation_id string, amount bigint, transaction_type string, transaction_dt timestamp" + _AUDIT
     ),
-    "h_accounts": struct_of("hk bigint, account_number bigint" + _AUDIT),
-    "h_countries": struct_of("hk bigint, country_name string" + _AUDIT),
-    "h_currencies": struct_of("hk bigint, currency_code string" + _AUDIT),
+    "h_accounts": struct_of("hk binary, account_number bigint" + _AUDIT),
+    "h_countries": struct_of("hk binary, country_name string" + _AUDIT),
+    "h_currencies": struct_of("hk binary, currency_code string" + _AUDIT),
     "l_transaction_account": struct_of(
-        "hk bigint, hk_transaction bigint, hk_account_from bigint, hk_account_to bigint" + _AUDIT
+        "hk binary, hk_transaction binary, hk_account_from binary, hk_account_to binary" + _AUDIT
     ),
-    "l_transaction_country": struct_of("hk bigint, hk_transaction bigint, hk_country bigint" + _AUDIT),
-    "l_transaction_currency": struct_of("hk bigint, hk_transaction bigint, hk_currency bigint" + _AUDIT),
-    "s_transaction_status": struct_of("hk_transaction bigint, status string, status_dt timestamp" + _AUDIT),
+    "l_transaction_country": struct_of("hk binary, hk_transaction binary, hk_country binary" + _AUDIT),
+    "l_transaction_currency": struct_of("hk binary, hk_transaction binary, hk_currency binary" + _AUDIT),
+    "s_transaction_status": struct_of("hk_transaction binary, status string, status_dt timestamp" + _AUDIT),
     "s_currency_div": struct_of(
-        "hk_currency bigint, hk_currency_with bigint, div rate, date_update timestamp" + _AUDIT
+        "hk_currency binary, hk_currency_with binary, div rate, date_update timestamp" + _AUDIT
     ),
 }
+# What is unique in each vault table; the tables are bucketed by it.
+VAULT_KEYS = {
+    "h_transactions": ["operation_id"],
+    "h_accounts": ["account_number"],
+    "h_countries": ["country_name"],
+    "h_currencies": ["currency_code"],
+    "l_transaction_account": ["hk_transaction", "hk_account_from", "hk_account_to"],
+    "l_transaction_country": ["hk_transaction", "hk_country"],
+    "l_transaction_currency": ["hk_transaction", "hk_currency"],
+    "s_transaction_status": ["hk_transaction", "status_dt", "status"],
+    "s_currency_div": ["hk_currency", "hk_currency_with", "date_update"],
+}
 LEDGER = struct_of("upload_id bigint, date date, symbol_name string, interval_name string, uploaded boolean")
 STAR = {
     "d_interval": struct_of("interval_id bigint, interval_name string"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.aggregates import first_per_key
-from tidemark.scale import delete_path, matching_paths, rename_path
+from tidemark.scale import delete_path, matching_paths, rename_path, write_text
 
 
 def append_partition(
@@ -90,9 +91,42 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.createDataFrame([], schema)
 
 
-def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, mode: str = "append") -> None:
-    """Keep a hub or link bucketed by its key, so later joins on it skip a shuffle."""
-    df.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+def _bucketed_name(path: str) -> str:
+    return "tidemark_" + hashlib.md5(path.rstrip("/").encode()).hexdigest()
+
+
+def _buckets(spark: SparkSession, path: str) -> int | None:
+    """Number of buckets as noted beside a table's files, in a name that readers skip."""
+    found = matching_paths(spark, f"{path.rstrip('/')}/_buckets-*")
+    return int(found[0].rsplit("-", 1)[1]) if found else None
+
+
+def read_bucketed(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """A table whose files are bucketed by its keys; empty if it was never written.
+
+    Joined on the keys it is not shuffled, so a load of new rows moves the new
+    rows only. The number of buckets is settled when the table is first used
+    (by default the number of shuffle partitions) and kept beside its files;
+    sessions find the table by its path.
+    """
+    name = _bucketed_name(path)
+    if not spark.catalog.tableExists(name):
+        settled = _buckets(spark, path)
+        if settled is None:
+            settled = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            write_text(spark, f"{path.rstrip('/')}/_buckets-{settled}", "")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        by = ", ".join(f"`{k}`" for k in keys)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) INTO {settled} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
+def append_bucketed(df: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Add rows to a bucketed table, one file per bucket, and read it."""
+    spark = df.sparkSession
+    read_bucketed(spark, path, schema, keys, buckets)
+    df.select(*schema.names).repartition(_buckets(spark, path), *keys).write.insertInto(_bucketed_name(path))
+    return spark.table(_bucketed_name(path))
 
 
 def export_frame(df: DataFrame, cat_col: str) -> DataFrame:

@@ -265,10 +265,11 @@ def _stamp(value):
     return F.lit(value).cast("timestamp_ntz")
 
 
-def _two_rounds(src, load, ts="transaction_dt"):
-    """Both rounds; the first is a stored table by the time of the second."""
-    first = cut_lineage(load(None, _early(src, ts), _stamp(EARLY)), "vault")
-    return first.unionByName(load(first, src, _stamp(LATE)))
+def _two_rounds(src, load, keys, ts="transaction_dt"):
+    """Both rounds; the first is a table bucketed by its keys by the time of the second."""
+    first = load(None, _early(src, ts), _stamp(EARLY))
+    stored = write.append_bucketed(first, scratch_path(src.sparkSession, "vault"), first.schema, keys)
+    return stored.unionByName(load(stored, src, _stamp(LATE)))
 
 
 def _accounts(log):
@@ -277,6 +278,7 @@ def _accounts(log):
         lambda target, src, at: vault.load_hub(
             target, src, "account_number", at, SRC, roles=["account_number_from", "account_number_to"]
         ),
+        ["account_number"],
     )
 
 
@@ -284,6 +286,7 @@ def _countries(log):
     return _two_rounds(
         log.withColumnRenamed("country", "country_name"),
         lambda target, src, at: vault.load_hub(target, src, "country_name", at, SRC),
+        ["country_name"],
     )
 
 
@@ -294,7 +297,7 @@ def _currencies(log, quotes):
     both = codes.unionByName(quoted.withColumnRenamed("date_update", "at"))
     renamed = both.withColumnRenamed("code", "currency_code")
     return _two_rounds(
-        renamed, lambda target, src, at: vault.load_hub(target, src, "currency_code", at, SRC), "at"
+        renamed, lambda target, src, at: vault.load_hub(target, src, "currency_code", at, SRC), ["currency_code"], "at"
     )
 
 
@@ -304,6 +307,7 @@ def _operations(log):
         lambda target, src, at: vault.load_hub(
             target, src, "operation_id", at, SRC, ["amount", "transaction_type", "transaction_dt"], "transaction_dt"
         ),
+        ["operation_id"],
     )
 
 
@@ -368,7 +372,7 @@ def _tx_ref(operations):
 
 
 def _link(log, refs):
-    return _two_rounds(log, lambda target, src, at: vault.load_link(target, src, refs, at, SRC))
+    return _two_rounds(log, lambda target, src, at: vault.load_link(target, src, refs, at, SRC), [ref.out for ref in refs])
 
 
 @query(
@@ -457,6 +461,7 @@ def sat_tx_status(spark, sf):
             target, src, [_tx_ref(operations)], {"status": "status", "transaction_dt": "status_dt"},
             ["status_dt", "status"], at, SRC,
         ),
+        ["hk_transaction", "status_dt", "status"],
     )
     return _named(statuses, operations, "operation_id", "hk_transaction")
 
@@ -480,6 +485,7 @@ def sat_currency_div(spark, sf):
         lambda target, src, at: vault.load_satellite(
             target, src, refs, {"currency_with_div": "div", "date_update": "date_update"}, ["date_update"], at, SRC
         ),
+        ["hk_currency", "hk_currency_with", "date_update"],
         "date_update",
     )
     named = _named(rows, currencies, "currency_code", "hk_currency")
