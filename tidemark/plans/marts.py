@@ -91,6 +91,7 @@ def daily_currency_metrics(
             how="inner",
         ).withColumnRenamed("currency_code", "currency_from")
     else:
+        # The latest usable rate of any traded currency, by one aggregate over rates up to each currency's last done day.
         last_day = (
             tx.filter(F.col("status") == "done")
             .groupBy("currency_code")
@@ -99,13 +100,9 @@ def daily_currency_metrics(
         usable = rates.filter(F.col("currency_code_with") == base).join(last_day, "currency_code").filter(
             to_day("date_update") <= F.col("_last")
         )
-        per_code = usable.groupBy("currency_code").agg(
-            F.max(F.struct("date_update", "currency_code", "currency_with_div")).alias("_best")
-        )
-        latest = per_code.agg(F.max("_best").alias("_best")).select("_best.currency_with_div")
-        priced = totals.join(
-            per_code.select(F.col("currency_code").alias("currency_from")), "currency_from", "left_semi"
-        ).withColumn("currency_with_div", latest.scalar())
+        latest = usable.agg(F.max_by("currency_with_div", F.struct("date_update", "currency_code")))
+        traded = usable.select(F.col("currency_code").alias("currency_from")).distinct()
+        priced = totals.join(traded, "currency_from", "left_semi").withColumn("currency_with_div", latest.scalar())
     return priced.select(
         "date_update",
         "currency_from",

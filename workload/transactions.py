@@ -30,13 +30,11 @@ _METRICS = """
            m.cnt AS cnt_transactions, cast(m.cnt AS double) / m.accounts AS avg_transactions_per_account,
            m.accounts AS cnt_accounts_make_transactions
     FROM metrics m {join}"""
+# Counts take all done operations; sums and accounts only those with a positive amount, and days without any drop out.
 _TOTALS = """
-    SELECT c.day, c.code, a.total, c.cnt, a.accounts
-    FROM (SELECT transaction_dt::date AS day, currency_code AS code, count(operation_id) AS cnt
-          FROM tx WHERE status = 'done' GROUP BY 1, 2) c
-    JOIN (SELECT transaction_dt::date AS day, currency_code AS code, sum(amount) AS total,
-                 count(DISTINCT account_number_from) AS accounts
-          FROM tx WHERE status = 'done' AND amount > 0 GROUP BY 1, 2) a USING (day, code)"""
+    SELECT transaction_dt::date AS day, currency_code AS code, count(*) AS cnt, sum(amount) FILTER (amount > 0) AS total,
+           count(DISTINCT account_number_from) FILTER (amount > 0) AS accounts
+    FROM tx WHERE status = 'done' GROUP BY ALL HAVING total IS NOT NULL"""
 
 
 @query(
@@ -52,12 +50,11 @@ def currency_metrics_asof(spark, sf):
 
 @query(
     "currency_metrics_literal",
-    sql("tx rates", _METRICS.format(rate="k.rate", join="JOIN current k USING (code)"), metrics=_TOTALS, current="""
-        SELECT DISTINCT t.currency_code AS code,
-               first_value(c.currency_with_div) OVER (ORDER BY c.date_update DESC, c.currency_code DESC) AS rate
-        FROM (SELECT currency_code, max(transaction_dt) AS transaction_dt FROM tx WHERE status = 'done' GROUP BY 1) t
-        JOIN rates c ON c.currency_code = t.currency_code AND c.date_update::date <= t.transaction_dt::date
-             AND c.currency_code_with = '420'"""),
+    sql("tx rates", _METRICS.format(rate="l.rate", join="JOIN latest l ON list_contains(l.codes, m.code)"), metrics=_TOTALS, latest="""
+        SELECT arg_max(currency_with_div, {'day': date_update, 'code': currency_code}) AS rate, list(DISTINCT currency_code) AS codes
+        FROM rates JOIN (SELECT currency_code, max(transaction_dt)::date AS last_day FROM tx WHERE status = 'done' GROUP BY ALL)
+             USING (currency_code)
+        WHERE currency_code_with = '420' AND date_update::date <= last_day"""),
 )
 def currency_metrics_literal(spark, sf):
     return plain(marts.daily_currency_metrics(views.tx(spark, sf), views.rates(spark, sf), mode="literal"))
