@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.temporal import form_date
 from tidemark.plans import registry as reg
 from tidemark.schemas import SHEET_ROWS
-from tidemark.sources import events, files, pages, prices, registry, sheets
+from tidemark.sources import events, files, listing, pages, prices, registry, sheets
 
 
 def bars(n):
@@ -316,3 +316,28 @@ def test_links(spark):
     df = spark.createDataFrame([(html,)], "html string")
     assert [r[0] for r in pages.list_links(df).collect()] == ["/a_1", "/b_2"]
     assert [r[0] for r in pages.list_links(df, marker="item-title").collect()] == ["/a_1"]
+
+
+def test_listing_shows_hidden_and_empty_files(spark, tmp_path):
+    for name in ("a/x.txt", "a/deep/.success", "b/.success", "c/empty.txt", "top.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("" if "empty" in name or "success" in name else "text")
+    got = {(r["path"].removeprefix(f"{tmp_path}/"), r["name"], r["length"]) for r in listing.list_all_files(spark, str(tmp_path), tasks=2).collect()}
+    assert got == {("a/x.txt", "x.txt", 4), ("a/deep/.success", ".success", 0), ("b/.success", ".success", 0), ("c/empty.txt", "empty.txt", 0), ("top.txt", "top.txt", 4)}
+    folders = listing.list_all_files(spark, str(tmp_path)).withColumn("folder", files.folder_below("path", str(tmp_path))).where("folder IS NOT NULL")
+    assert [r["folder"] for r in files.unmarked_folders(folders).collect()] == ["c"]
+    listing.mark_folders(files.unmarked_folders(folders), str(tmp_path))
+    assert (tmp_path / "c" / ".success").exists() and files.unmarked_folders(folders).count() == 0
+    assert listing.list_all_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_folder_headers(spark, tmp_path):
+    for name in ("list 2024-02-03/a.png", "list 2024-02-03/b.pdf", "other/c.xml", "hidden/.success"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("x")
+    run = F.lit("2024-05-06").cast("date")
+    rows = {r["request_name"]: r for r in files.folder_headers(listing.list_all_files(spark, str(tmp_path)), str(tmp_path), run, 16, "7").collect()}
+    first = rows["list 2024-02-03"]
+    assert (str(first["request_date"]), first["request_reg_num"], first["files"]) == ("2024-02-03", "7", 2)
+    assert first["request_pdf"].endswith("b.pdf") and first["request_description"] == f"{tmp_path}/list 2024-02-03"
+    assert (rows["other"]["request_pdf"], str(rows["other"]["request_date"]), rows["hidden"]["files"]) == ("", "2024-05-06", 0)

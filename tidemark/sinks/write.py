@@ -137,26 +137,48 @@ def export_frame(df: DataFrame, cat_col: str) -> DataFrame:
     )
 
 
-def export_by_category(df: DataFrame, cat_col: str, path: str) -> None:
-    """CSV files per category value."""
-    export_frame(df, cat_col).withColumn("_category", F.col(f"`{cat_col}`")).write.mode("overwrite").partitionBy(
-        "_category"
-    ).option("header", "true").csv(path)
+def _csv_cell(value: Column) -> Column:
+    """A text as a CSV cell, quoted where it must be."""
+    quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(value.rlike('[",\\r\\n]'), quoted).otherwise(value)
 
 
-def export_narrow(df: DataFrame, cat_col: str, category: str, report: DataFrame) -> DataFrame:
-    """One category with only the columns that hold any text in it.
+def export_lines(df: DataFrame, cat_col: str, rows_per_file: int = 1_000_000) -> DataFrame:
+    """(category, file, line) of one CSV file or more per category, each with a header first.
 
-    ``report`` is the column report of all categories, one row each.
+    A category's files only have the columns that hold any text in it. Which
+    these are, and how many files it needs, one aggregate finds for all
+    categories; rows and headers then go out together, sorted so that each
+    file's header is its first line. Rows lie in the files by their hash.
     """
-    row = report.filter(F.col(f"`{cat_col}`") == category).first()
-    kept = [c for c in df.columns if c == cat_col or (row is not None and row[c])]
-    return export_frame(df, cat_col).filter(F.col(f"`{cat_col}`") == category).select(*[f"`{c}`" for c in kept])
+    category = F.col(f"`{cat_col}`")
+    frame = export_frame(df, cat_col)
+    names = [cat_col, *(c for c in frame.columns if c != cat_col)]
+    held = [F.bool_or(F.col(f"`{c}`") != "").alias(f"_{i}") for i, c in enumerate(names[1:], 1)]
+    report = frame.groupBy(category.alias("_of")).agg(F.ceil(F.count("*") / rows_per_file).alias("_files"), *held)
+    # The category itself always stays.
+    kept = F.array(F.lit(True), *[F.coalesce(F.col(f"_{i}"), F.lit(False)) for i in range(1, len(names))])
+    report = report.select("_of", "_files", kept.alias("_kept"))
+
+    def line(cells: list[Column]) -> Column:
+        wanted = F.filter(F.arrays_zip(F.array(*cells).alias("cell"), F.col("_kept").alias("kept")), lambda c: c["kept"])
+        return F.array_join(F.transform(wanted, lambda c: c["cell"]), ",")
+
+    cells = [_csv_cell(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))) for c in names]
+    rows = frame.join(report, category.eqNullSafe(F.col("_of")))
+    rows = rows.select(category.alias("_category"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in names]), "_files").alias("_file"), F.lit(1).alias("_body"), line(cells).alias("line"))
+    headers = report.select(
+        F.col("_of").alias("_category"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_files") - 1)).alias("_file"),
+        F.lit(0).alias("_body"), line([_csv_cell(F.lit(c)) for c in names]).alias("line"),
+    )
+    return rows.unionByName(headers)
 
 
-def route_by_kind(df: DataFrame, kinds: Mapping[str, Sequence[str]], kind: str = "kind") -> dict[str, DataFrame]:
-    """One DataFrame per kind with that kind's columns."""
-    return {k: df.filter(F.col(kind) == k).select(*cols) for k, cols in kinds.items()}
+def export_by_category(df: DataFrame, cat_col: str, path: str, rows_per_file: int = 1_000_000) -> None:
+    """CSV files per category without the columns that are empty in it, all by one write."""
+    lines = export_lines(df, cat_col, rows_per_file).repartition("_category", "_file")
+    lines = lines.sortWithinPartitions("_category", "_file", "_body", "line").select("_category", "_file", "line")
+    lines.write.mode("overwrite").partitionBy("_category", "_file").text(path)
 
 
 def write_by_kind(df: DataFrame, path: str, kind: str = "kind") -> None:

@@ -100,6 +100,38 @@ def request_header(listing: DataFrame, run_date: Column, type_id: int = 0, folde
     )
 
 
+def folder_headers(
+    listing: DataFrame,
+    root: str,
+    run_date: Column,
+    type_id: int = 0,
+    reg_num: str | None = None,
+    extensions: Sequence[str] = (".pdf", ".png"),
+    scans: bool = True,
+    dated: bool = True,
+) -> DataFrame:
+    """One header row per folder below ``root``: date, number, type, name, path, scan and number of files.
+
+    The date is the one in the folder's name (only where ``dated``) or else
+    the run's. The scan is the folder's first file by extension, blank where
+    it has none or scans are not wanted. A folder whose files are all hidden
+    still has a header.
+    """
+    files = listing.withColumn("folder", folder_below("path", root)).where("folder IS NOT NULL")
+    rank = F.when(F.lit(scans), extension_rank("path", extensions))
+    first = F.min(F.when(rank.isNotNull(), F.struct(rank.alias("rank"), "path")))
+    found = files.groupBy("folder").agg(first["path"].alias("scan"), F.count_if(~F.col("name").startswith(".")).alias("files"))
+    return found.select(
+        (iso_date_in("folder", run_date) if dated else run_date).alias("request_date"),
+        F.lit(reg_num).cast("string").alias("request_reg_num"),
+        F.lit(type_id).alias("request_type_id"),
+        F.col("folder").alias("request_name"),
+        F.concat(F.lit(f"{root.rstrip('/')}/"), "folder").alias("request_description"),
+        F.coalesce("scan", F.lit("")).alias("request_pdf"),
+        "files",
+    )
+
+
 def load_classifier(spark: SparkSession, path: str, fmt: str = "csv", **options: str) -> DataFrame:
     """Code/value pairs, codes trimmed and unique."""
     schema = texts("code", "value")

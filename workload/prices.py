@@ -12,7 +12,7 @@ from tidemark.operators.paging import sorted_by
 from tidemark.plans import daily, marts, quality, star
 from tidemark.scale import cut_lineage, scratch_path
 from tidemark.schemas import PRICE, struct_of
-from tidemark.sources.prices import bars_from_json, read_checked_csv, typed_bars
+from tidemark.sources.prices import bars_from_json, read_checked_csv, read_price_json, typed_bars
 from workload import views
 from workload.base import Registry, plain
 from workload.views import sql
@@ -246,6 +246,21 @@ def price_json_bars(spark, sf):
     return plain(bars.withColumn("time", F.col("time").cast("timestamp_ntz")))
 
 
+@query("price_json_files", sql("prices", _TYPED))
+def price_json_files(spark, sf):
+    """A price document per symbol and day on disk, every bar of it under its time."""
+    folder = scratch_path(spark, "price-json")
+    fields = {"open": "1. open", "high": "2. high", "low": "3. low", "close": "4. close", "volume": "5. volume"}
+    text = _bar_text(spark, sf)
+    bar = F.struct(*[F.col(c).alias(name) for c, name in fields.items()])
+    bars = text.groupBy("symbol", F.substring("time", 1, 10).alias("day")).agg(F.map_from_entries(F.collect_list(F.struct("time", bar.alias("bar")))).alias("Time Series (5min)"))
+    docs = bars.select("symbol", "day", F.to_json(F.struct("`Time Series (5min)`")).alias("value"))
+    docs.repartition("symbol", "day").write.partitionBy("symbol", "day").text(folder)
+    found = read_price_json(spark, f"{folder}/*/*")
+    symbol = F.regexp_extract("file", "symbol=([^/]+)/", 1).alias("symbol")
+    return plain(found.select(symbol, *[c for c in found.columns if c != "file"]).withColumn("time", F.col("time").cast("timestamp_ntz")))
+
+
 @query(
     "align_schema",
     sql("prices", """

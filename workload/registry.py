@@ -14,7 +14,7 @@ from tidemark.plans import registry as reg
 from tidemark.schemas import KEY_PARAMETERS, PARCEL_COLUMNS
 from tidemark.scale import scratch_path, spread
 from tidemark.sinks import write
-from tidemark.sources import files, sheets
+from tidemark.sources import files, listing, sheets
 from tidemark.sources import registry as src
 from workload import views
 from workload.base import Registry, plain
@@ -800,6 +800,25 @@ def export_frame(spark, sf):
     return write.export_frame(_export_input(spark, sf), "p_type")
 
 
+@query(
+    "export_files",
+    """WITH cells AS (SELECT p_type, p_name, CASE WHEN p_type <> 'ECONOMY' THEN p_brand ELSE '' END AS brand,
+              CASE WHEN p_type = 'ECONOMY' AND p_size < 10 THEN cast(p_size AS varchar) ELSE '' END AS size, p_partkey FROM part),
+       report AS (SELECT p_type, bool_or(brand <> '') AS brand, bool_or(size <> '') AS size FROM cells GROUP BY ALL)
+       SELECT p_type AS category, concat_ws(',', c.p_type, c.p_name, CASE WHEN r.brand THEN c.brand END, CASE WHEN r.size THEN c.size END, c.p_partkey) AS line,
+              false AS first FROM cells c JOIN report r USING (p_type)
+       UNION ALL SELECT p_type, concat_ws(',', 'p_type', 'p_name', CASE WHEN brand THEN 'brand' END, CASE WHEN size THEN 'size' END, 'p_partkey'), true
+       FROM report""",
+)
+def export_files(spark, sf):
+    """Files of all categories as they lie on disk, with the columns that each category has."""
+    path = scratch_path(spark, "export")
+    write.export_by_category(_export_input(spark, sf), "p_type", path)
+    lines = files.read_lines(spark, path)
+    category = F.regexp_extract("path", "_category=([^/]+)/", 1).alias("category")
+    return lines.select(category, "line", (F.col("line_no") == 1).alias("first"))
+
+
 @query("export_categories", "SELECT DISTINCT p_type FROM part")
 def export_categories(spark, sf):
     return agg.category_values(table(spark, sf, "part"), "p_type")
@@ -912,9 +931,9 @@ def by_extension(spark, sf):
     f"""SELECT path FROM ({_LISTING}) WHERE folder NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
 )
 def new_files_only(spark, sf):
-    listing = _listing(spark, sf)
+    found = _listing(spark, sf)
     done = table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("folder"))
-    return files.new_files_only(listing, done, "folder").select("path")
+    return files.new_files_only(found, done, "folder").select("path")
 
 
 @query(
@@ -926,6 +945,44 @@ def unmarked_folders(spark, sf):
     return files.unmarked_folders(table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("folder"), name.alias("name")))
 
 
+def _scan_folders(spark, sf):
+    """Real folders: a file per supplier in the folder of its nation; the folders of every third nation are marked as done."""
+    root = scratch_path(spark, "scans")
+    suppliers = table(spark, sf, "supplier")
+    suppliers.select(F.col("s_name").alias("value"), F.col("s_nationkey").alias("nation")).repartition("nation").write.partitionBy("nation").text(root)
+    folder = F.concat(F.lit("nation="), F.col("s_nationkey").cast("string")).alias("folder")
+    listing.mark_folders(suppliers.where("s_nationkey % 3 = 0").select(folder).distinct(), root)
+    return root
+
+
+@query(
+    "folder_marks",
+    """SELECT 'nation=' || s_nationkey AS folder, s_nationkey % 3 = 0 AS marked, count(DISTINCT s_nationkey) AS texts
+       FROM supplier GROUP BY s_nationkey""",
+)
+def folder_marks(spark, sf):
+    """Markers are empty hidden files; a listing of real folders shows them."""
+    root = _scan_folders(spark, sf)
+    shown = listing.list_all_files(spark, root).withColumn("folder", files.folder_below("path", root)).where("folder IS NOT NULL")
+    open_folders = files.unmarked_folders(shown).withColumn("open", F.lit(True))
+    texts = shown.where(F.col("name").endswith(".txt")).groupBy("folder").agg(F.count("*").alias("texts"))
+    return texts.join(open_folders, "folder", "left").select("folder", F.col("open").isNull().alias("marked"), "texts")
+
+
+@query(
+    "request_headers",
+    """SELECT DATE '2024-01-01' AS request_date, '77' AS request_reg_num, 16 AS request_type_id, 'nation=' || s_nationkey AS request_name,
+              'nation=' || s_nationkey AS request_description, 'nation=' || s_nationkey AS request_pdf, 1 AS files
+       FROM supplier GROUP BY s_nationkey""",
+)
+def request_headers(spark, sf):
+    """Headers of real folders; of paths only the folder is compared."""
+    root = _scan_folders(spark, sf)
+    found = files.folder_headers(listing.list_all_files(spark, root), root, F.lit("2024-01-01").cast("date"), 16, "77", extensions=[".txt"])
+    folder = lambda c, n: F.element_at(F.split(c, "/"), n).alias(c)
+    return found.withColumns({"request_description": folder("request_description", -1), "request_pdf": folder("request_pdf", -2)})
+
+
 @query(
     "folder_header",
     """SELECT CASE WHEN o_orderstatus = 'F' THEN o_orderdate::date ELSE DATE '2024-01-01' END AS request_date,
@@ -952,6 +1009,80 @@ def line_rewrite(spark, sf):
     return views.document_lines(spark, sf).withColumn("line", both)
 
 
+@query(
+    "map_file_lines",
+    """SELECT p_partkey, n AS line_no, CASE n WHEN 2 THEN 'Delimiter ","' WHEN 3 THEN 'CoordSys Earth ' || p_size
+              WHEN 1 THEN 'Version 300' ELSE row_number() OVER (PARTITION BY n ORDER BY p_partkey) || ' ' || p_brand END AS line
+       FROM part, (VALUES (1), (2), (3), (4)) k(n)""",
+)
+def map_file_lines(spark, sf):
+    """Map files on disk with their three repairs: delimiter, coordinate system and running number."""
+    folder = scratch_path(spark, "maps")
+    size = F.col("p_size").cast("string")
+    body = F.concat(F.lit('Version 300\nDelimiter ";"\n CoordSys Earth '), size, F.lit("\n0 "), "p_brand")
+    table(spark, sf, "part").select(body.alias("text"), "p_partkey").write.json(folder)
+    # One document a line, its lines numbered as in a file.
+    docs = spark.read.schema("text string, p_partkey bigint").json(folder)
+    rows = docs.select("p_partkey", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    rows = rows.withColumn("line", lines.map_coordinates(lines.map_delimiter(F.col("line"))))
+    counted = F.col("line").rlike("^[0-9]")
+    numbered = lines.renumber_leading(rows.where(counted), ["p_partkey", "pos"])
+    return numbered.unionByName(rows.where(~counted)).select("p_partkey", (F.col("pos") + 1).alias("line_no"), "line")
+
+
+@query(
+    "classifier_file",
+    "SELECT cast(n_nationkey AS varchar) AS code, n_name AS value FROM nation",
+)
+def classifier_file(spark, sf):
+    """Codes with blanks around them and one of them twice, from a file."""
+    folder = scratch_path(spark, "classifier")
+    nations = table(spark, sf, "nation")
+    padded = nations.select(F.concat(F.lit(" "), F.col("n_nationkey").cast("string"), F.lit(" ")).alias("code"), F.col("n_name").alias("value"))
+    again = padded.where("trim(code) = '3'").withColumn("value", F.lit("ZZZ"))
+    padded.unionByName(again).write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(folder)
+    return files.load_classifier(spark, folder)
+
+
+@query(
+    "result_files",
+    """SELECT p_partkey // 50 AS response, '05:' || p_partkey AS cad_num, p_retailprice AS cost, cast(p_size AS double) AS upks,
+              CASE WHEN p_type <> 'ECONOMY' THEN 'group ' || p_brand END AS "group" FROM part""",
+)
+def result_files(spark, sf):
+    """Result documents on disk to result parcels: a cost and a group file of fifty parts per response."""
+    folder = scratch_path(spark, "results")
+    parts = spread(table(spark, sf, "part"), "p_partkey")
+    response = F.floor(F.col("p_partkey") / 50).alias("response")
+    number = F.concat(F.lit("05:"), F.col("p_partkey").cast("string"))
+    pay = views._tag("Ground_Payments", F.concat(
+        views._tag("CadastralCost", F.lit(""), views._attr("Value", F.translate(F.col("p_retailprice").cast("string"), ".", ","))),
+        views._tag("Specific_CadastralCost", F.lit(""), views._attr("Value", F.col("p_size"))),
+    ))
+    plot = views._tag("Parcel", pay, views._attr("CadastralNumber", number))
+    member = views._tag("Real_Estate", views._tag("CadastralNumber", number), views._attr("ID_Group", F.col("p_brand")))
+    group = views._tag("Group_Real_Estate", F.concat(views._tag("ID_Group", F.col("p_brand")), views._tag("Name_Group", F.concat(F.lit("group "), F.col("p_brand")))))
+    grouped = F.when(F.col("p_type") != "ECONOMY", member), F.when(F.col("p_type") != "ECONOMY", group)
+    one = parts.groupBy(response).agg(
+        F.array_join(F.collect_list(plot), "").alias("plots"), F.array_join(F.collect_list(grouped[0]), "").alias("members"),
+        F.array_join(F.collect_set(grouped[1]), "").alias("groups"),
+    )
+    costs = F.col("plots")
+    for box in ["Parcels", "Cadastral_Block", *reversed(src.COST_PATH)]:
+        costs = views._tag(box, costs)
+    named = views._tag("Root", F.concat(views._tag("Groups_Real_Estate", F.col("groups")), views._tag("Real_Estates", F.col("members"))))
+    docs = one.select("response", F.explode(F.create_map(F.lit("COST"), views._tag("Root", costs), F.lit("FD"), named)).alias("kind", "value"))
+    docs.repartition("response").write.partitionBy("response", "kind").text(folder)
+    # Here the folder tells the kind; file names are Spark's own.
+    texts = src.read_xml_texts(spark, folder, glob="*.txt").withColumns({
+        "response_id": F.regexp_extract("path", "response=([0-9]+)", 1).cast("bigint"), "kind": F.regexp_extract("path", "kind=([A-Z]+)", 1),
+    }).withColumn("response_file_id", F.col("response_id"))
+    cost_rows = src.cost_records(texts.where("kind = 'COST'").select("response_file_id", "response_id", "text"))
+    groups, members = src.group_records(texts.where("kind = 'FD'").select("response_id", "text"))
+    found = reg.result_parcels(cost_rows, groups, members)
+    return plain(found.withColumnRenamed("response_file_id", "response"), 4)
+
+
 @query(
     "renumber_lines",
     sql("document_lines", """
