@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import heapq
 import os
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ class PieceModel:
     dummy_prefix: bool
     squeeze: bool
     escape: bool
+    _scores: dict[str, tuple[float, int]] = field(default_factory=dict)
+    _bytes: dict[int, int] = field(default_factory=dict)
 
     @classmethod
     def read(cls, path: str) -> PieceModel:
@@ -97,6 +100,43 @@ class PieceModel:
         unknown = self.pieces[self.unknown_id][0]
         return models.BPE(vocabulary, self._merges(), unk_token=unknown, fuse_unk=True, byte_fallback=self.byte_fallback)
 
+    def merged(self, text: str) -> list[int]:
+        """Ids of one unit, whose neighbours join to the piece of the best score, leftmost first among equals."""
+        if not self._scores:
+            self._scores.update({p: (-s, i) for i, (p, s, kind) in enumerate(self.pieces) if kind in (NORMAL, USER_DEFINED)})
+            self._bytes.update({int(p[3:5], 16): i for i, (p, _, kind) in enumerate(self.pieces) if kind == BYTE})
+        signs, after = list(text), list(range(1, len(text) + 1))
+        before = [k - 1 for k in range(len(text))]
+        queue: list[tuple[float, int, int, str]] = []
+
+        def offer(left: int, right: int) -> None:
+            joined = signs[left] + signs[right]
+            if joined in self._scores:
+                heapq.heappush(queue, (self._scores[joined][0], left, right, joined))
+
+        for k in range(len(text) - 1):
+            offer(k, k + 1)
+        while queue:
+            _, left, right, joined = heapq.heappop(queue)
+            # One of the two has become part of something else.
+            if not signs[left] or not signs[right] or signs[left] + signs[right] != joined or after[left] != right:
+                continue
+            signs[left], signs[right], after[left] = joined, "", after[right]
+            if after[left] < len(text):
+                before[after[left]] = left
+                offer(left, after[left])
+            if before[left] >= 0:
+                offer(before[left], left)
+        found: list[int] = []
+        for sign in filter(None, signs):
+            if sign in self._scores:
+                found.append(self._scores[sign][1])
+            elif self.byte_fallback:
+                found += [self._bytes[b] for b in sign.encode()]
+            elif not found or found[-1] != self.unknown_id:
+                found.append(self.unknown_id)
+        return found
+
     def backend(self):
         """A tokenizer of the tokenizers library that takes raw texts."""
         from tokenizers import AddedToken, Regex, Tokenizer, pre_tokenizers
@@ -135,7 +175,7 @@ class PieceModel:
 
 
 class Codec:
-    """Encodes and decodes texts; keeps parity with the model's own library, unit by unit."""
+    """Encodes and decodes texts by the rebuilt backend; verifies parity with the model's own library, unit by unit."""
 
     def __init__(self, path: str, threads: int = THREADS):
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
@@ -151,33 +191,42 @@ class Codec:
         self._table = self.model.byte_table()
         self._cache = UnitCache(self._encode_units, CACHED)
         self.differing = 0
+        self._unlike: set[str] = set()
 
     def _encode_units(self, units: list[str]) -> list[bytes]:
         """Ids per unit by the rebuilt backend, each compared with the model's own library.
 
-        Both see every distinct unit, so parity is verified on all texts; where
-        the two differ, as on long runs of equally good merges, the library's
-        ids count.
+        Both see every distinct unit, so parity is verified on all texts; units
+        that differ are remembered, and the texts that hold them reported.
         """
         out = []
         for part in runs(units, len, UNIT_CHARS):
             ours = [e.ids for e in self._backend.encode_batch_fast([MARK + u for u in part], add_special_tokens=False)]
             theirs = self._own.encode(part, num_threads=self._threads)
             for unit, ids, wanted in zip(part, ours, theirs, strict=True):
+                if unit.startswith(MARK):
+                    # Pieces of blanks alone have equal scores, for which ranked merges know no order.
+                    ids = self.model.merged(MARK + unit)
                 if unit and ids != wanted:
                     self.differing += 1
-                    ids = wanted
+                    self._unlike.add(unit)
                 out.append(np.array(ids, "<u4").tobytes())
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [ids for ids, _ in self.verified(texts)]
+
+    def verified(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
+        """Ids of every text by the backend, and whether the model's own library gives the same."""
         # Sums over a whole text round in the unigram library; merges know no text around a unit.
         if self._by_units:
-            return [np.frombuffer(b"".join(u), "<u4") for u in self._cache(self.model.units(texts))]
+            units = self.model.units(texts)
+            found = [np.frombuffer(b"".join(u), "<u4") for u in self._cache(units)]
+            return [(ids, not self._unlike or self._unlike.isdisjoint(u)) for ids, u in zip(found, units, strict=True)]
         ours = [e.ids for e in self._backend.encode_batch_fast(texts, add_special_tokens=False)]
         theirs = self._own.encode(texts, num_threads=self._threads)
         self.differing += sum(a != b for a, b in zip(ours, theirs, strict=True))
-        return [np.array(b, "<u4") for b in theirs]
+        return [(np.array(a, "<u4"), a == b) for a, b in zip(ours, theirs, strict=True)]
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self._table.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -185,12 +234,13 @@ class Codec:
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", threads: int = THREADS, with_ids: bool = True) -> DataFrame:
-    """One row per row of ``docs``: (doc_id, n_tokens, ids_crc32, round_trip, ids).
+    """One row per row of ``docs``: (doc_id, n_tokens, ids_crc32, round_trip, parity, ids).
 
     Whole texts are encoded without markers for begin or end. ``ids_crc32`` is
     over the ids as little-endian unsigned 32-bit integers; ``round_trip``
     tells whether decoding gives the text again (a literal marker character
-    comes back as a space). NULL texts count as empty and have no ids.
+    comes back as a space); ``parity`` whether the model's own library gives
+    the same ids. NULL texts count as empty and have no ids.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,12 +251,13 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
             rows = ((i, t.as_py() or "") for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True))
             for held in runs(rows, lambda r: len(r[1]), TEXT_CHARS):
                 texts = [t for _, t in held]
-                ids = codec.encode(texts)
+                ids, alike = zip(*codec.verified(texts), strict=True)
                 columns = [
                     pa.array([i for i, _ in held], pa.int64()),
                     pa.array(list(map(len, ids)), pa.int64()),
                     pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()),
                     pa.array([codec.decode(x) == t.replace(MARK, " ") for x, t in zip(ids, texts, strict=True)], pa.bool_()),
+                    pa.array(alike, pa.bool_()),
                 ]
                 if with_ids:
                     ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
@@ -214,8 +265,8 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
                     columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["doc_id", "n_tokens", "ids_crc32", "round_trip"] + ["ids"] * with_ids
-    schema = "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean" + ", ids array<int>" * with_ids
+    names = ["doc_id", "n_tokens", "ids_crc32", "round_trip", "parity"] + ["ids"] * with_ids
+    schema = "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean, parity boolean" + ", ids array<int>" * with_ids
     rows = pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     return rows.mapInArrow(run, schema)
 
