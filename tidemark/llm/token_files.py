@@ -46,8 +46,6 @@ _UNSAFE = re.compile(r"\s\s\s|\s\s\Z")
 # Words in Latin letters with marks after them, also with one line break inside: pre-tokens that are plain to see.
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _MARKS = ".,;:!?"
-# Few numbers as little-endian 32-bit bytes, by how many there are.
-_PACKED = [struct.Struct(f"<{n}I").pack for n in range(16)]
 _PLAIN = re.compile(rf"([{_LATIN}]+)([{_MARKS}]*)(?:(\n)([{_LATIN}]+)([{_MARKS}]*))?")
 
 
@@ -78,7 +76,7 @@ class ByteBpe:
 
     def _ids(self, spelling: str) -> bytes:
         ids = [t.id for t in self._model.tokenize(spelling)]
-        return _PACKED[len(ids)](*ids) if len(ids) < len(_PACKED) else struct.pack(f"<{len(ids)}I", *ids)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, text: str) -> bytes:
         if text.isascii():
