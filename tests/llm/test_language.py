@@ -1,10 +1,12 @@
 import collections
 import math
+import os
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import attention, language
@@ -139,3 +141,30 @@ def test_words_after_a_long_opening_are_learned(spark):
     got = language.score_texts(spark.createDataFrame(rows, SCHEMA), PATH).collect()
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > 1.05 * sum(r.base_score for r in held)
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    path = "/root/testdata/sf0.001/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables")
+    return spark.read.parquet(path)
+
+
+def test_documents_score_better_than_the_base_however_they_are_partitioned(documents):
+    found = []
+    for parts in (1, 5):
+        rows = language.score_texts(documents.repartition(parts), PATH).select("doc_id", "held_out", "base_score", "score").collect()
+        held = [r for r in rows if r.held_out]
+        assert sum(r.score for r in held) > sum(r.base_score for r in held)
+        found.append({r.doc_id: r.score for r in rows})
+    assert found[0].keys() == found[1].keys()
+    assert max(abs(found[0][i] - found[1][i]) / max(1.0, abs(found[0][i])) for i in found[0]) < 1e-6
+
+
+def test_repeated_texts_train_by_their_number(spark, documents):
+    """Copies meet in one shard as one text with a weight, so they never fill a task."""
+    some = documents.limit(30)
+    copies = some.where("doc_id % 5 = 2").select(F.explode(F.sequence(F.lit(1), F.lit(50))).alias("k"), "doc_id", "text")
+    rows = some.select("doc_id", "text").unionByName(copies.select((F.col("doc_id") * 1000 + F.col("k")).alias("doc_id"), "text"))
+    assert language.score_texts(rows, PATH).count() == rows.count()

@@ -10,8 +10,7 @@ FRESH = 12
 WIDTH = 8
 BATCH = 256
 RATE = 0.02
-EPOCHS = 6
-LEAST_STEPS = 150
+LEAST_STEPS = 60
 
 # Scores stay within what single precision can add up after the exponential.
 LARGEST = 60.0
@@ -91,19 +90,25 @@ def gradients(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, weight: np
     return float(-(picked[..., 0] * weight).sum() / count), g
 
 
-def train(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, weight: np.ndarray, seed: int = 3) -> dict[str, np.ndarray]:
-    """Adam over shuffled batches of windows: ``EPOCHS`` rounds, more where the windows are few."""
+def train(
+    p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, weight: np.ndarray, seed: int = 3, done: float = 0.0, share: float = 1.0
+) -> dict[str, np.ndarray]:
+    """Adam over shuffled batches of windows, each seen once (more often where they are few).
+
+    ``done`` and ``share`` say which part of the whole training this is; the
+    rate falls to zero over all of it.
+    """
     p = {k: v.copy() for k, v in p.items()}
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
     rng, batches = np.random.default_rng(seed), -(-len(x) // BATCH)
-    steps = max(EPOCHS * batches, LEAST_STEPS) if len(x) else 0
+    steps = max(batches, LEAST_STEPS) if len(x) else 0
     order = np.zeros(0, np.int64)
     for step in range(1, steps + 1):
         if not len(order):
             order = rng.permutation(len(x))
         rows, order = order[:BATCH], order[BATCH:]
         _, g = gradients(p, x[rows], y[rows], weight[rows])
-        rate = RATE * (1 - (step - 1) / steps)
+        rate = RATE * (1 - done - share * (step - 1) / steps)
         for k in p:
             first[k] += 0.1 * (g[k] - first[k])
             second[k] += 0.01 * (g[k] ** 2 - second[k])

@@ -28,6 +28,11 @@ INNER_CLASSES = 16
 COMPANY = 64
 # Least weight of spelling a word out beside the counts of whole words.
 LEAST_SPELLED = 0.005
+# Weight of the attention model beside the corpus-wide shares of words.
+ATTENDED = 0.5
+# Training goes through the shards of the texts in so many rounds; a shard has about so many words.
+TRAINING_ROUNDS = 4
+SHARD_WORDS = 400_000
 END = b""
 
 _CHUNK_SCHEMA = (
@@ -254,25 +259,44 @@ def _company(frequent: np.ndarray, size: int):
     return run
 
 
-def _fit(model: Model):
-    """Weights of one task, trained on the windows of its texts block by block; (place, weight x windows, windows)."""
+def _texts(end: int):
+    """(text,) the subword ids of each training text, as 16-bit numbers where they fit."""
+    kind = "<u2" if end < 1 << 16 else "<u4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        params, count = attention.start(model.rows, model.class_count), 0
-        seed = TaskContext.get().partitionId()
         for batch in batches:
             for data in batch.column(0).to_pylist():
                 stream = _unpack(data)
-                starts, place, fresh = training_windows(stream, model.end)
-                rows, classes = _inputs(model, stream, starts), model.classes[stream]
-                params = attention.train(params, rows[place], classes[place], fresh.astype(np.float32), seed)
-                count += len(place)
-        if count:
-            trained = attention.flatten(params)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(trained))), pa.array(trained.astype(float) * count), pa.array(np.full(len(trained), count))],
-                ["place", "weighted", "windows"],
-            )
+                cuts = np.nonzero(stream == end)[0] + 1
+                width, whole = np.dtype(kind).itemsize, stream.astype(kind).tobytes()
+                texts = [whole[a * width : b * width] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)] if len(cuts) else []
+                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"])
+
+    return run, kind
+
+
+def _fit(model: Model, kind: str, turn: int):
+    """Weights of one shard, from those of the round before; (place, weight x windows, windows).
+
+    The texts of a shard come in the order of their ids, equal ones once with
+    their number, so the result does not depend on where they were read.
+    """
+
+    def run(shard: pa.Table) -> pa.Table:
+        rows = sorted(zip(shard.column("text").to_pylist(), shard.column("n").to_pylist(), strict=True))
+        stream = np.frombuffer(b"".join(t for t, _ in rows), kind).astype(np.int64)
+        starts, place, fresh = training_windows(stream, model.end)
+        of_text = np.searchsorted(starts, place[:, 0], "right") - 1
+        weight = fresh * np.array([n for _, n in rows], np.float32)[of_text, None]
+        inputs, classes = _inputs(model, stream, starts), model.classes[stream]
+        share = 1 / TRAINING_ROUNDS
+        seed = int(shard.column("shard")[0].as_py())
+        params = attention.train(model.params, inputs[place], classes[place], weight.astype(np.float32), seed, turn * share, share)
+        trained, count = attention.flatten(params), float(weight.sum())
+        return pa.table({
+            "place": pa.array(np.arange(len(trained))), "weighted": pa.array(trained.astype(float) * count),
+            "windows": pa.array(np.full(len(trained), count)),
+        })
 
     return run
 
@@ -332,8 +356,9 @@ def score_block(model: Model, texts: list[np.ndarray], counts: np.ndarray, offse
     with np.errstate(divide="ignore"):
         of_class = seen / np.maximum(model.words_of_class[model.classes[stream[first]]], 1)
         usual = np.log(1 - share) + chance[first] - opens[first] + np.log(of_class)
-    mixed = np.logaddexp(np.log(share) + spelled, usual) / np.log(10)
     base = model.base(seen)
+    attended = np.log(ATTENDED) + np.logaddexp(np.log(share) + spelled, usual)
+    mixed = np.logaddexp(attended, np.log(1 - ATTENDED) + base * np.log(10)) / np.log(10)
     cuts = word_starts[:-1]
     return list(zip(
         np.diff(word_starts).tolist(), np.add.reduceat((seen > 0).astype(np.int64), cuts).tolist(), np.add.reduceat(base, cuts).tolist(),
@@ -433,13 +458,21 @@ def score_texts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: s
     company = np.zeros((subwords.size, COMPANY))
     company[np.asarray(met.column("id")), np.asarray(met.column("k"))] = np.asarray(met.column("n"))
     model = make_model(counts[:-1], starting[:-1], leads, company, ends, (known, distinct, singles))
-    fitted = streams.mapInArrow(_fit(model), "place long, weighted double, windows long")
-    # One row per weight: bounded by the model.
-    weights = fitted.groupBy("place").agg((F.sum("weighted") / F.sum("windows")).alias("w")).collect()
-    flat = attention.flatten(attention.start(model.rows, model.class_count)).astype(float)
-    for r in weights:
-        flat[r.place] = r.w
-    model.params = attention.unflatten(flat, model.rows, model.class_count)
+    model.params = attention.start(model.rows, model.class_count)
+    split, kind = _texts(model.end)
+    shards = max(TRAINING_ROUNDS, -(-known // SHARD_WORDS))
+    texts = streams.mapInArrow(split, "text binary").withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(shards)))
+    texts = scratch.keep(texts.groupBy("shard", "text").agg(F.count("*").alias("n")), "training")
+    for turn in range(TRAINING_ROUNDS):
+        part = texts.where(F.col("shard") % TRAINING_ROUNDS == turn)
+        fitted = part.groupBy("shard").applyInArrow(_fit(model, kind, turn), "place long, weighted double, windows double")
+        # One row per weight: bounded by the model.
+        weights = fitted.groupBy("place").agg((F.sum("weighted") / F.sum("windows")).alias("w")).collect()
+        flat = attention.flatten(model.params).astype(float)
+        for r in weights:
+            flat[r.place] = r.w
+        model.params = attention.unflatten(flat.astype(np.float32), model.rows, model.class_count)
+    scratch.drop(texts)
     resolved = entries.select("chunk", "place", "word").join(totals, "word").select(F.col("chunk").alias("owner"), "place", "c", "pieces")
     packed = chunks.where("part = 'text'").select("chunk", "doc_id", "held_out", "words")
     return packed.groupBy("chunk").cogroup(resolved.groupBy("owner")).applyInArrow(
