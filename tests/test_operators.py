@@ -1,6 +1,7 @@
 """Joins, aggregates and helpers, also against brute force and on skewed input."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -18,6 +19,16 @@ from tidemark.sinks import quarantine, write
 DAY = dt.datetime(2024, 1, 1)
 
 
+def test_scratch_goes_with_its_scope(spark, tmp_path):
+    with scale.scratch_scope(spark):
+        numbered = scale.with_ordinal(spark.range(100), ["id"])
+        numbered.write.parquet(str(tmp_path / "out"))
+        files = numbered.inputFiles()
+        assert files and all(os.path.exists(f.removeprefix("file://")) for f in files)
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 100
+
+
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_ordinal(spark, partitions):
     values = list(range(2000))

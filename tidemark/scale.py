@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 
 _POSITION_BITS = 33
 _LOCAL_FOLDERS: dict[str, str] = {}
+# Scratch paths made in each open scope.
+_SCOPES: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,7 +39,25 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; never reused between runs."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for made in _SCOPES[-1:]:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what was written to new scratch paths within it.
+
+    Results are evaluated later and may still read such copies (numbered rows,
+    cut lineages), so they are to be written out before the scope ends.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            delete_path(spark, path)
 
 
 def matching_paths(spark: SparkSession, pattern: str) -> list[str]:

@@ -34,17 +34,12 @@ def sheet_headers(rows: DataFrame) -> DataFrame:
     above it and so does not count as a found header.
     """
     second = F.try_element_at("cells", F.lit(2))
-    return (
-        rows.groupBy("file", "sheet")
-        .agg(
-            F.min("row_no").alias("_first"),
-            F.min(F.when(F.coalesce(present(second), F.lit(False)), F.col("row_no"))).alias("header_row"),
-        )
-        .withColumn("found", F.col("header_row") > F.col("_first"))
-        .drop("_first")
-        .join(rows, ["file", "sheet"])
-        .filter(F.col("row_no") == F.col("header_row"))
-        .select("file", "sheet", "header_row", "found", header_names("cells").alias("names"))
+    named = F.when(F.coalesce(present(second), F.lit(False)), F.col("row_no"))
+    found = rows.groupBy("file", "sheet").agg(
+        F.min("row_no").alias("_first"), F.min(named).alias("header_row"), F.min_by("cells", named).alias("_cells")
+    )
+    return found.where(F.col("header_row").isNotNull()).select(
+        "file", "sheet", "header_row", (F.col("header_row") > F.col("_first")).alias("found"), header_names("_cells").alias("names")
     )
 
 
