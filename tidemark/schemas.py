@@ -87,6 +87,7 @@ _ADDRESS = (
 _LOCATION = struct_of(_ADDRESS | {"Address": struct_of(_ADDRESS)})
 _MATERIALS = struct_of({"Material": T.ArrayType(texts("@Wall"))})
 
+# Element and attribute names of registry objects.
 REGISTRY_OBJECT = struct_of(
     {
         "@CadastralNumber": "string",
@@ -167,6 +168,7 @@ KEY_PARAMETERS = {
     "07": "depthoo",
 }
 
+# Columns of the wide parcel table.
 PARCEL_COLUMNS = [
     "cad_num", "address1", "address2", "category", "cad_num_quarter", "date_created",
     "foundation_date", "parent_cad_num", "parent_year_built", "parent_year_used",
@@ -193,6 +195,7 @@ SHEET_ROWS = struct_of({"file": "string", "sheet": "string", "row_no": "int", "c
 
 # --- listings -------------------------------------------------------------------
 
+# Columns of listings, and those that each kind adds.
 AD_BASE = struct_of(
     "ad_id bigint, time_stamp timestamp, name string, address string, price_value double,"
     " price_currency string, price_original string, x double, y double, square_value double,"
@@ -214,6 +217,7 @@ AD_QUEUE = struct_of(
 # --- vault, mart and star tables ---------------------------------------------------
 
 _AUDIT = ", load_dt timestamp, load_src string"
+# Columns of the vault tables.
 VAULT = {
     "h_transactions": struct_of(
         "hk binary, operation_id string, amount bigint, transaction_type string, transaction_dt timestamp" + _AUDIT
@@ -244,6 +248,7 @@ VAULT_KEYS = {
     "s_currency_div": ["hk_currency", "hk_currency_with", "date_update"],
 }
 LEDGER = struct_of("upload_id bigint, date date, symbol_name string, interval_name string, uploaded boolean")
+# Columns of the star schema.
 STAR = {
     "d_interval": struct_of("interval_id bigint, interval_name string"),
     "d_symbol_act": struct_of("symbol_id bigint, symbol_name string"),
