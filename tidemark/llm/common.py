@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import sys
 import types
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +46,14 @@ class Scratch:
             delete_path(self.spark, df._tidemark_path)
 
 
+def _return_memory() -> None:
+    """Give what is free in this process back to the system, which the next operator in it would not reuse."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def worker_state(key: str | None, make: Callable = lambda: None):
     """The one value a worker process keeps for its later tasks; another key takes the place of the last.
 
@@ -52,7 +63,7 @@ def worker_state(key: str | None, make: Callable = lambda: None):
     registry = sys.modules.setdefault("_tidemark_worker_state", types.ModuleType("_tidemark_worker_state"))
     if getattr(registry, "key", "") != key:
         registry.key = registry.value = None
-        gc.collect()
+        _return_memory()
         registry.key, registry.value = key, make()
     return registry.value
 
