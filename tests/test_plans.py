@@ -380,3 +380,13 @@ def test_uploads_of_other_intervals_are_loads_of_their_own(spark, tmp_path):
     ledger = spark.read.parquet(str(tmp_path / "ledger")).collect()
     assert sorted(r["interval_name"] for r in ledger) == ["15min", "5min"] and all(r["uploaded"] for r in ledger)
     assert spark.read.parquet(str(tmp_path / "f_price")).count() == 2
+
+
+def test_links_are_dealt_by_their_rows(spark, monkeypatch):
+    """Tasks follow the number of rows, also where their keys are few bytes; repeated rows stay one link."""
+    monkeypatch.setattr(vault, "LINK_ROWS", 10)
+    rows = spark.range(200).selectExpr("id % 100 AS a", "id % 50 AS b").unionByName(spark.createDataFrame([(None, 1)], "a long, b long"))
+    none = spark.createDataFrame([], "k long")
+    links = vault.load_link(None, rows, [vault.Ref(none, "k", "a", "hk_a"), vault.Ref(none, "k", "b", "hk_b")], now(), "src")
+    assert links.count() == links.select("hk").distinct().count() == 100
+    assert links.select(F.spark_partition_id()).distinct().count() > 12

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import hash_key
 from tidemark.operators.joins import only_new
 from tidemark.operators.sets import union_roles
+from tidemark.scale import spread
+
+# Rows whose distinct keys one task gathers for a link.
+LINK_ROWS = 500_000
 
 
 def _audited(df: DataFrame, run_ts: Column, load_src: str) -> DataFrame:
@@ -84,10 +88,13 @@ def load_link(
     """Distinct key combinations not yet linked, under a key of all references.
 
     The result of several loads does not depend on how their rows are cut.
+    Rows are dealt by their number first: the few bytes of their business keys
+    would let one task gather very many of them.
     """
     columns = list(dict.fromkeys(ref.src_col for ref in refs))
     outs = [ref.out for ref in refs]
-    resolved = resolve(src.select(*columns).distinct(), refs, checked).select(hash_key(*outs).alias("hk"), *outs)
+    rows = spread(src.select(*columns), *columns, per_task=LINK_ROWS).distinct()
+    resolved = resolve(rows, refs, checked).select(hash_key(*outs).alias("hk"), *outs)
     if target is not None:
         resolved = only_new(resolved, target, outs).select("hk", *outs)
     return _audited(resolved, run_ts, load_src)
