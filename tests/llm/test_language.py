@@ -168,3 +168,20 @@ def test_repeated_texts_train_by_their_number(spark, documents):
     copies = some.where("doc_id % 5 = 2").select(F.explode(F.sequence(F.lit(1), F.lit(50))).alias("k"), "doc_id", "text")
     rows = some.select("doc_id", "text").unionByName(copies.select((F.col("doc_id") * 1000 + F.col("k")).alias("doc_id"), "text"))
     assert language.score_texts(rows, PATH).count() == rows.count()
+
+
+def test_streams_go_once_they_are_learned_from(spark, monkeypatch):
+    """What only training reads is off the disk before texts are scored."""
+    made = []
+
+    class Noted(language.Scratch):
+        def __init__(self, *args):
+            super().__init__(*args)
+            made.append(self.path)
+
+    monkeypatch.setattr(language, "Scratch", Noted)
+    rows = [(i, f"some words of text {i}") for i in range(20)]
+    scored = language.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), PATH)
+    left = {name for path in made for name in os.listdir(path) if not name.endswith("-totals")}
+    assert left == {"1-chunks"} and "part=stream" not in os.listdir(f"{made[0]}/1-chunks")
+    assert scored.count() == 20

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import attention
 from tidemark.llm.common import Scratch, fold, pick, worker_state
 from tidemark.llm.token_files import ByteBpe
+from tidemark.scale import delete_path, tidy_shuffles
 
 HELD_OUT = 1
 CHUNK_WORDS = 1 << 22
@@ -445,8 +446,9 @@ def score_texts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: s
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some]), pa.array(starting[some])], ["id", "n", "starting"])
 
     # One row per subword id, and per id and frequent subword: bounded by the tokenizer.
-    found = totals.select("c", "pieces").mapInArrow(piece_counts, "id long, n long, starting long")
-    found = found.groupBy("id").agg(F.sum("n").alias("n"), F.sum("starting").alias("starting")).toArrow()
+    with tidy_shuffles(spark):
+        found = totals.select("c", "pieces").mapInArrow(piece_counts, "id long, n long, starting long")
+        found = found.groupBy("id").agg(F.sum("n").alias("n"), F.sum("starting").alias("starting")).toArrow()
     subwords = Subwords(tokenizer)
     counts, starting = np.zeros(subwords.size + 1), np.zeros(subwords.size + 1)
     counts[np.asarray(found.column("id"))] = np.asarray(found.column("n"))
@@ -454,7 +456,8 @@ def score_texts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: s
     leads = subwords.leads()
     frequent = np.argsort(-np.where(leads, counts[:-1], -1), kind="stable")[:COMPANY]
     streams = chunks.where("part = 'stream'").select("stream")
-    met = streams.mapInArrow(_company(frequent, subwords.size), "id long, k long, n long").groupBy("id", "k").agg(F.sum("n").alias("n")).toArrow()
+    with tidy_shuffles(spark):
+        met = streams.mapInArrow(_company(frequent, subwords.size), "id long, k long, n long").groupBy("id", "k").agg(F.sum("n").alias("n")).toArrow()
     company = np.zeros((subwords.size, COMPANY))
     company[np.asarray(met.column("id")), np.asarray(met.column("k"))] = np.asarray(met.column("n"))
     model = make_model(counts[:-1], starting[:-1], leads, company, ends, (known, distinct, singles))
@@ -463,11 +466,14 @@ def score_texts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: s
     shards = max(TRAINING_ROUNDS, -(-known // SHARD_WORDS))
     texts = streams.mapInArrow(split, "text binary").withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(shards)))
     texts = scratch.keep(texts.groupBy("shard", "text").agg(F.count("*").alias("n")), "training")
+    # The streams are only learned from, and the training texts now hold them.
+    delete_path(spark, f"{chunks._tidemark_path}/part=stream")
     for turn in range(TRAINING_ROUNDS):
         part = texts.where(F.col("shard") % TRAINING_ROUNDS == turn)
-        fitted = part.groupBy("shard").applyInArrow(_fit(model, kind, turn), "place long, weighted double, windows double")
-        # One row per weight: bounded by the model.
-        weights = fitted.groupBy("place").agg((F.sum("weighted") / F.sum("windows")).alias("w")).collect()
+        with tidy_shuffles(spark):
+            fitted = part.groupBy("shard").applyInArrow(_fit(model, kind, turn), "place long, weighted double, windows double")
+            # One row per weight: bounded by the model.
+            weights = fitted.groupBy("place").agg((F.sum("weighted") / F.sum("windows")).alias("w")).collect()
         flat = attention.flatten(model.params).astype(float)
         for r in weights:
             flat[r.place] = r.w
