@@ -85,6 +85,14 @@ def test_repair_decimal(spark, written, number):
     assert (None if got is None else float(got)) == number
 
 
+def test_control_characters_are_searched_as_bytes(spark):
+    """As by translate, without taking a text apart character by character, which cost more than parsing a short document."""
+    rows = spark.createDataFrame([(x,) for x in (None, "", "\t", "\r\n\t\n", "р-н\tул\r\nд", "\u2028a\v\0b")], "t string")
+    bare = rows.select(text.strip_control("t").alias("got"), F.translate("t", "\t\r\n", "").alias("want"))
+    assert all(r.got == r.want for r in bare.collect())
+    assert "translate" not in rows.select(text.strip_control("t"))._jdf.queryExecution().analyzed().toString()
+
+
 def test_cleaning(spark):
     assert one(spark, text.squeeze_blanks("t"), t="a \t\n b") == "a b"
     assert one(spark, text.strip_control("t"), t="a\tb\r\nc") == "abc"

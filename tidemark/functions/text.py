@@ -32,7 +32,11 @@ def squeeze_blanks(text: str | Column) -> Column:
 
 def strip_control(text: str | Column) -> Column:
     """Remove tabs, carriage returns and line feeds."""
-    return F.translate(_col(text), "\t\r\n", "")
+    bare = _col(text)
+    # Not translate, which takes a text apart character by character; these are searched as bytes.
+    for mark in "\t\r\n":
+        bare = F.replace(bare, F.lit(mark), F.lit(""))
+    return bare
 
 
 def strip_bom(text: str | Column) -> Column:
