@@ -185,3 +185,40 @@ def test_streams_go_once_they_are_learned_from(spark, monkeypatch):
     left = {name for path in made for name in os.listdir(path) if not name.endswith("-totals")}
     assert left == {"1-chunks"} and "part=stream" not in os.listdir(f"{made[0]}/1-chunks")
     assert scored.count() == 20
+
+
+def test_company_counts_equal_all_pairs_in_windows():
+    """Counted by the pairs that windows hold, across batches of them, without a row of all frequent subwords for each id."""
+    rng = np.random.default_rng(3)
+    size, windows = 300, 3 * language.BATCH_WINDOWS
+    stream = rng.integers(0, size, windows * attention.FRESH)
+    stream[rng.integers(0, len(stream), 90)] = size
+    stream[-1] = size
+    frequent = rng.permutation(size)[: language.COMPANY]
+    number = np.full(size, -1)
+    number[frequent] = np.arange(len(frequent))
+    got = np.zeros((size, language.COMPANY))
+    for part in (stream, stream[:0], np.array([size])):
+        language.count_company(part, number, got)
+    want = np.zeros_like(got)
+    for spots in language.training_windows(stream, size)[1]:
+        held = {int(i) for i in stream[spots[spots >= 0]] if i < size}
+        for i in held:
+            for j in held:
+                want[i, number[j]] += number[j] >= 0
+    assert want.sum() > 0 and (got == want).all()
+
+
+def test_gradients_add_up_equal_input_rows():
+    """Rows that come many times in a batch, next to some that never come."""
+    rng = np.random.default_rng(4)
+    p = attention.start(9, 5)
+    x, y = rng.integers(0, 4, (30, attention.WINDOW)), rng.integers(0, 5, (30, attention.WINDOW))
+    weight = (rng.random(x.shape) < 0.7).astype(np.float32)
+    _, whole = attention.gradients(p, x, y, weight)
+    parts = [attention.gradients(p, x[k : k + 1], y[k : k + 1], weight[k : k + 1])[1] for k in range(30)]
+    sizes = np.maximum(weight.sum(axis=1), 1)
+    for name in p:
+        added = sum(g[name] * n for g, n in zip(parts, sizes, strict=True)) / weight.sum()
+        assert np.allclose(whole[name], added, atol=1e-5) and whole[name].dtype == p[name].dtype
+    assert not whole["embed"][4:].any()

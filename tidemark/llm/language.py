@@ -20,7 +20,8 @@ from tidemark.scale import delete_path, tidy_shuffles
 HELD_OUT = 1
 CHUNK_WORDS = 1 << 22
 BLOCK_WORDS = 1 << 17
-BATCH_WINDOWS = 2048
+# Windows worked on at a time: what is computed of them stays in the processor's cache.
+BATCH_WINDOWS = 256
 # Subwords with an input vector of their own, the most frequent ones; all others share that of their class.
 OWN_VECTORS = 2048
 # Classes of subwords that start a word and of those inside words, found by the company they keep.
@@ -230,6 +231,27 @@ def make_model(counts: np.ndarray, first: np.ndarray, leads: np.ndarray, company
     return Model(*totals, classes, within, inputs, words)
 
 
+def count_company(stream: np.ndarray, number: np.ndarray, seen: np.ndarray) -> None:
+    """Adds to ``seen[id, k]`` the windows of ``stream`` in which id stands with the frequent subword that ``number`` calls k."""
+    size = len(number)
+    _, place, _ = training_windows(stream, size)
+    for at in range(0, len(place), BATCH_WINDOWS):
+        spots = place[at : at + BATCH_WINDOWS]
+        ids = np.sort(np.where(spots < 0, size, stream[spots]), axis=1)
+        once = ids < size
+        once[:, 1:] &= ids[:, 1:] != ids[:, :-1]
+        window, column = np.nonzero(once)
+        ids = ids[window, column]
+        near = number[ids]
+        held = near >= 0
+        # Each id of a window beside each frequent one in it; most windows hold few of those.
+        sizes = np.bincount(window[held], minlength=len(spots))
+        each = sizes[window]
+        stops = np.cumsum(each)
+        beside = np.arange(each.sum()) + np.repeat((np.cumsum(sizes) - sizes)[window] - stops + each, each)
+        np.add.at(seen.reshape(-1), np.repeat(ids * COMPANY, each) + near[held][beside], 1.0)
+
+
 def _company(frequent: np.ndarray, size: int):
     """(id, k, n): in how many windows id stands with the k-th frequent subword, counted per task."""
 
@@ -239,21 +261,7 @@ def _company(frequent: np.ndarray, size: int):
         seen = np.zeros((size, COMPANY), np.float64)
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                stream = _unpack(data)
-                _, place, _ = training_windows(stream, size)
-                for at in range(0, len(place), BATCH_WINDOWS):
-                    spots = place[at : at + BATCH_WINDOWS]
-                    ids = np.sort(np.where(spots < 0, size, stream[spots]), axis=1)
-                    once = ids < size
-                    once[:, 1:] &= ids[:, 1:] != ids[:, :-1]
-                    window, column = np.nonzero(once)
-                    ids = ids[window, column]
-                    near = number[ids]
-                    beside = np.zeros((len(spots), COMPANY), np.float32)
-                    beside[window[near >= 0], near[near >= 0]] = 1
-                    order = np.argsort(ids, kind="stable")
-                    some, first = np.unique(ids[order], return_index=True)
-                    seen[some] += np.add.reduceat(beside[window[order]], first)
+                count_company(_unpack(data), number, seen)
         ids, ks = np.nonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ks), pa.array(seen[ids, ks].astype(np.int64))], ["id", "k", "n"])
 
