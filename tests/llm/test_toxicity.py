@@ -108,3 +108,13 @@ def test_terms_of_another_language_are_swapped_and_counted(spark):
         return abs(np.log(a / (1 - a)) - np.log(b / (1 - b)))
 
     assert gap(fair) < 0.3 * gap(plain)
+
+
+def test_starts_of_words_have_the_features_of_the_words():
+    """Identity terms and words that begin like them stay whole; all others are looked up by their longest start."""
+    found = {"women", "womenfolk", "african", "africans", "christian", "christianity", "christi", "blesherand", "blesher", "bles", "of", "ß" * 9}
+    heads = tx.heads(found)
+    assert {f for w in found for f in tx.word_features(w)} == {f for w in heads for f in tx.word_features(w)}
+    assert {"african", "africans", "christian", "blesher"} <= heads and "blesherand" not in heads
+    many = [f"blesher{i}" for i in range(1000)]
+    assert len(tx.heads(many)) == 1

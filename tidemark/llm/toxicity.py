@@ -53,8 +53,8 @@ def swaps_of(terms: Terms) -> dict[str, str]:
 
 SWAPS = swaps_of(IDENTITY_TERMS)
 
-# Words whose features a task remembers; memory only.
-CACHED_WORDS = 100_000
+# Words or starts of words whose features a task remembers; memory only.
+CACHED_WORDS = 200_000
 # Texts whose features are counted together; Spark adds the counts up.
 COUNTED_ROWS = 2_000
 
@@ -77,6 +77,12 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def heads(found: Iterable[str], swaps: dict[str, str] = SWAPS) -> set[str]:
+    """What the features of words follow from: their longest start, or the whole word where an identity term starts alike."""
+    terms = {term[: STARTS[-1]] for term in swaps}
+    return {word if (start := word[: STARTS[-1]]) in terms else start for word in found}
+
+
 def features(found: set[str], known: UnitTable) -> set[int]:
     out: set[int] = set()
     out.update(*map(known.__getitem__, found))
@@ -112,7 +118,7 @@ class Model:
         out = []
         for text in texts:
             seen: set[int] = set()
-            seen.update(*map(known.__getitem__, set(words(text))))
+            seen.update(*map(known.__getitem__, heads(words(text), swaps)))
             z = self.bias + sum(self.weights[f] for f in sorted(seen))
             out.append(float(1 / (1 + np.exp(-np.clip(z, -500, 500)))))
         return out
@@ -127,7 +133,7 @@ def feature_counts(rows: DataFrame, swaps: dict[str, str] = SWAPS) -> DataFrame:
         for batch in (b.slice(at, COUNTED_ROWS) for b in batches for at in range(0, b.num_rows, COUNTED_ROWS)):
             counts = (Counter(), Counter())
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                counts[int(toxic == 1)].update(features(set(words(text.as_py())), known))
+                counts[int(toxic == 1)].update(features(heads(words(text.as_py()), swaps), known))
             both = sorted(set(counts[0]) | set(counts[1]))
             yield pa.RecordBatch.from_arrays(
                 [
