@@ -341,3 +341,45 @@ def test_folder_headers(spark, tmp_path):
     assert (str(first["request_date"]), first["request_reg_num"], first["files"]) == ("2024-02-03", "7", 2)
     assert first["request_pdf"].endswith("b.pdf") and first["request_description"] == f"{tmp_path}/list 2024-02-03"
     assert (rows["other"]["request_pdf"], str(rows["other"]["request_date"]), rows["hidden"]["files"]) == ("", "2024-05-06", 0)
+
+
+def test_small_files_share_tasks_and_what_is_cut_from_them_few_files(spark, tmp_path):
+    """400 folders of a file each; by Spark's settings 40 tasks would list them and about 100 cut them."""
+    from tidemark.sources import elements
+
+    kept = []
+    keys = ["spark.sql.files.openCostInBytes", "spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.files.maxPartitionBytes"]
+    before = {k: spark.conf.get(k) for k in keys}
+    for i in range(400):
+        folder = tmp_path / "in" / f"request={i}"
+        folder.mkdir(parents=True)
+        (folder / "part.xml").write_text(f"<Parcels><Parcel>{i}</Parcel></Parcels>")
+    cut = elements.cut_lineage
+    elements.cut_lineage = lambda df, name: kept.append(cut(df, name)) or kept[-1]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    try:
+        found = elements.xml_elements(spark, str(tmp_path / "in"), ["Parcel"], ["Parcels"])
+    finally:
+        elements.cut_lineage = cut
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before["spark.sql.files.maxPartitionBytes"])
+    texts = sorted(r.text for r in found.where("text IS NOT NULL").collect())
+    assert texts == sorted(f"<Parcel>{i}</Parcel>" for i in range(400))
+    assert found.where("problem IS NOT NULL").isEmpty()
+    assert len(kept[0].inputFiles()) < 40
+    assert {k: spark.conf.get(k) for k in keys} == before
+
+
+def test_settings_of_small_files_are_put_back_and_never_raised(spark):
+    from tidemark.scale import _SMALL_FILES, many_small_files
+
+    before = {k: spark.conf.get(k) for k in _SMALL_FILES}
+    try:
+        for cost, parallel, wanted in (("4194304", "10000", ["65536", "256"]), ("1k", "7", ["1024", "7"]), ("2mb", "300", ["65536", "256"])):
+            for key, value in zip(_SMALL_FILES, (cost, parallel), strict=True):
+                spark.conf.set(key, value)
+            with many_small_files(spark):
+                assert [spark.conf.get(k) for k in _SMALL_FILES] == wanted
+            assert [spark.conf.get(k) for k in _SMALL_FILES] == [cost, parallel]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
